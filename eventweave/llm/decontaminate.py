@@ -34,8 +34,9 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _probe_hash(part: Column, n: int) -> Column:
-    return F.xxhash64(part, F.lit(n))
+def _probe_hash(at, n: int) -> Column:
+    """at(j): the hash of the window's j-th word, from 0. Reading elements singly keeps a document's cost linear: slice() copies the array."""
+    return F.xxhash64(*[at(j) for j in range(n)], F.lit(n))
 
 
 def benchmark_windows(benchmark: DataFrame, n: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -51,8 +52,9 @@ def benchmark_windows(benchmark: DataFrame, n: int, item_id: str = "item_id", te
     wins = sized.select("item_id", "len", F.explode(F.transform(starts, lambda i: F.slice("ws", i, F.col("len")))).alias("part"))
     klen = F.when(F.col("len") == n, F.lit(n)).otherwise(F.least(F.col("len"), F.lit(3)))
     keyed = wins.withColumn("klen", klen)
-    hashed = F.slice(_hashes(F.col("part")), F.lit(1), F.col("klen"))
-    return keyed.select("item_id", F.concat_ws(" ", "part").alias("win"), "len", "klen", F.xxhash64(hashed, F.col("klen")).alias("h")).distinct()
+    at = lambda j: F.xxhash64(F.get("part", F.lit(j)))
+    h = F.coalesce(*[F.when(F.col("klen") == k, _probe_hash(at, k)) for k in sorted({n, *range(1, min(3, n) + 1)})])
+    return keyed.select("item_id", F.concat_ws(" ", "part").alias("win"), "len", "klen", h.alias("h")).distinct()
 
 
 def window_hits(docs: DataFrame, windows: DataFrame, n: int, block_bytes: int = 16 << 20) -> DataFrame:
@@ -72,7 +74,8 @@ def window_hits(docs: DataFrame, windows: DataFrame, n: int, block_bytes: int =
 
     def probes(k: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size("hw") - (k - 1), F.lit(1)))
-        made = F.transform(starts, lambda i: F.struct(i.cast("int").alias("pos"), _probe_hash(F.slice("hw", i, k), k).alias("h")))
+        hash_at = lambda i: _probe_hash(lambda j: F.get("hw", i + (j - 1)), k)
+        made = F.transform(starts, lambda i: F.struct(i.alias("pos"), hash_at(i).alias("h")))
         return F.when(F.size("hw") >= k, made).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
 
     first = F.array(F.struct(F.lit(0).alias("pos"), F.lit(None).cast("long").alias("h")))
@@ -80,7 +83,7 @@ def window_hits(docs: DataFrame, windows: DataFrame, n: int, block_bytes: int =
     for b in range(blocks):
         lists = [probes(k) for k in klens]
         probe = F.concat(first, *lists) if b == 0 else F.concat(*lists)
-        rows = hashed.withColumn("probe", probe).select("rid", *carried, "ws", F.inline("probe"))
+        rows = hashed.withColumn("probe", probe).select("rid", *carried, "ws", F.inline_outer("probe"))
         side = distinct.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == b).select(F.col("h").alias("wh"), "win", "len")
         met = rows.join(F.broadcast(side), rows.h == side.wh, "left")
         same = F.concat_ws(" ", F.slice("ws", F.col("pos"), F.col("len"))) == F.col("win")
