@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from eventweave.llm import decontaminate
+from eventweave.llm import decontaminate, simhash
 
 
 def queries() -> dict:
-    return {"op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination}
+    return {
+        "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
+        "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
