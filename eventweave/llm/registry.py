@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from eventweave.llm import decontaminate, simhash, token_counts, token_files
+from eventweave.llm import decontaminate, mixing, simhash, token_counts, token_files
 
 
 def queries() -> dict:
     return {
         "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
         "op3_token_files": token_files.op3_token_files,
+        "op5_source_mixing": mixing.op5_source_mixing,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     }
