@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventweave.llm import decontaminate, mixing, simhash, token_counts, token_files
+from eventweave.llm import decontaminate, mixing, quality, simhash, token_counts, token_files
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
         "op3_token_files": token_files.op3_token_files,
         "op5_source_mixing": mixing.op5_source_mixing,
+        "op6_quality_resampling": quality.op6_quality_resampling,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     }
