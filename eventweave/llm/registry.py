@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventweave.llm import decontaminate, mixing, quality, simhash, token_counts, token_files
+from eventweave.llm import decontaminate, mixing, neighbours, quality, simhash, token_counts, token_files
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_token_files": token_files.op3_token_files,
         "op5_source_mixing": mixing.op5_source_mixing,
         "op6_quality_resampling": quality.op6_quality_resampling,
+        "op7_nearest_neighbours": neighbours.op7_nearest_neighbours,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     }
