@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from eventweave.llm import decontaminate, mixing, neighbours, quality, simhash, token_counts, token_files
+from eventweave.llm import decontaminate, mixing, neighbours, quality, simhash, token_counts, token_files, toxicity
 
 
 def queries() -> dict:
     return {
         "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
         "op3_token_files": token_files.op3_token_files,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_source_mixing": mixing.op5_source_mixing,
         "op6_quality_resampling": quality.op6_quality_resampling,
         "op7_nearest_neighbours": neighbours.op7_nearest_neighbours,
