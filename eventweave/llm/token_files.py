@@ -26,6 +26,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +34,15 @@ from pyspark.sql import functions as F
 from eventweave.llm.common import fresh_path, ship, table
 
 #: Chunks remembered in a worker, characters encoded at a time, ids in a block.
-MEMO = 300_000
-TEXT_AT_ONCE = 1 << 20
+MEMO = 500_000
+TEXT_AT_ONCE = 4 << 20
 BLOCK_IDS = 1 << 20
 END = 0
 _encoders: dict = {}
 
 
 class Encoder:
-    """Whole texts to little-endian 32-bit ids, by the tokenizers library."""
+    """Whole texts to little-endian ids (16-bit where the vocabulary allows, else 32-bit), by the tokenizers library."""
 
     def __init__(self, name: str):
         import os
@@ -51,20 +52,51 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.width = 2 if size <= 1 << 16 else 4
         kind = repr(self.tokenizer.pre_tokenizer)
         self.splits = kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and self.tokenizer.normalizer is None
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Which ids begin with a space.
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: set) -> dict[str, bytes]:
+        """The ids of chunks that follow a space. They are encoded in one text and told apart by the spaces they begin with."""
+        memo, whole, tailed = self.later, set(), []
+        for c in chunks:
+            if c[-1:] in SIGNS and (stem := c[:-1]).isalnum() and max(stem) < "\u0600":
+                tailed.append(c)  # a sign after letters or digits is a pre-token of its own
+                if stem not in memo:
+                    whole.add(stem)
+            else:
+                whole.add(c)
+        whole, out = sorted(whole), {}
+        if whole:
+            ids = np.frombuffer(self._encode([" " + " ".join(whole)])[0], f"<u{self.width}")
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) == len(whole) and whole[0]:
+                raw, at = ids.tobytes(), [*(starts * self.width).tolist(), len(ids) * self.width]
+                out = dict(zip(whole, [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)], strict=True))
+            else:
+                out = dict(zip(whole, self._encode([" " + c for c in whole]), strict=True))
+        for c in tailed:
+            out[c] = (out.get(c[:-1]) or memo[c[:-1]]) + self._bare(c[-1])
+        if len(memo) + len(out) <= MEMO:  # what comes first is what is frequent
+            memo.update(out)
+        return out
 
-    def _remember(self, memo: dict, chunks: set, prefix: str) -> None:
-        new = [c for c in chunks if c not in memo]
-        if new:
-            memo.update(zip(new, self._encode([prefix + c for c in new]), strict=True))
+    def _bare(self, chunk: str) -> bytes:
+        ids = self.first.get(chunk)
+        if ids is None:
+            ids = self._encode([chunk])[0]
+            if len(self.first) < MEMO:
+                self.first[chunk] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -72,22 +104,38 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            odd = not self.splits or SPACES.search(text) or text[0] == " " or any(a in text for a in self.added)
+            odd = not self.splits or text[0] == " " or SPACES.search(text) or any(a in text for a in self.added)
             (whole if odd else split).append(i)
-        if len(self.later) + len(self.first) > MEMO:
-            self.first.clear()
-            self.later.clear()
-        words = [texts[i].split(" ") for i in split]
-        self._remember(self.first, {w[0] for w in words}, "")
-        self._remember(self.later, {c for w in words for c in w[1:]}, " ")
-        later = self.later
-        for i, w in zip(split, words, strict=True):
-            out[i] = b"".join([self.first[w[0]], *[later[c] for c in w[1:]]])
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids
+        if not split:
+            return out
+        # Arrow splits and numbers the chunks, so that Python sees each different chunk of the batch once
+        lists = pc.split_pattern(pa.array([texts[i] for i in split], pa.large_string()), " ")
+        offsets = lists.offsets.to_numpy()
+        coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        codes, chunks = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        offsets = offsets - offsets[0]
+        known = self.later.get
+        parts = list(map(known, chunks))
+        if None in parts:
+            new = self._learn({c for c, p in zip(chunks, parts, strict=True) if p is None})
+            parts = [new[c] if p is None else p for c, p in zip(chunks, parts, strict=True)]
+        sizes = np.array([len(p) for p in parts], np.int64) // self.width
+        starts = np.cumsum(sizes) - sizes
+        pool = np.frombuffer(b"".join(parts), f"<u{self.width}")
+        n = sizes[codes]
+        n[offsets[:-1]] = 0  # a text's first chunk has no space before it
+        ends = np.cumsum(n)
+        flat = pool[np.repeat(starts[codes] - (ends - n), n) + np.arange(ends[-1])]
+        cut = np.r_[0, ends][offsets]
+        for k, i in enumerate(split):
+            out[i] = self._bare(chunks[codes[offsets[k]]]) + flat[cut[k] : cut[k + 1]].tobytes()
         return out
 
 
+#: Signs that stand alone after letters or digits.
+SIGNS = ".,;:!?"
 #: A space after white space: such texts are encoded whole.
 SPACES = re.compile(r"\s ")
 
@@ -99,11 +147,14 @@ def encoder(name: str) -> Encoder:
 
 
 def encode_batches(batches, name: str):
-    """(doc_id, text) to (doc_id, ids: little-endian 16-bit or 32-bit, with the end id)."""
+    """(doc_id, text) to (doc_id, ids with the end id, counts): a partition's last row has no ids but its counts of all ids, 64-bit."""
     enc = encoder(name)
-    kind = np.dtype("<u2") if enc.size <= 1 << 16 else np.dtype("<u4")
+    kind = f"<u{enc.width}"
+    end_id = np.array([END], kind).tobytes()
+    total, id_type = np.zeros(len(enc.spaced), np.int64), None
+    names = ["doc_id", "ids", "counts"]
     for b in batches:
-        texts = b.column(1)
+        texts, id_type = b.column(1), b.column(0).type
         at = 0
         while at < len(texts):
             end, size, some = at, 0, []
@@ -111,21 +162,20 @@ def encode_batches(batches, name: str):
                 some.append(texts[end].as_py() or "")
                 size += len(some[-1])
                 end += 1
-            ids = [np.append(np.frombuffer(x, "<u4"), np.uint32(END)).astype(kind).tobytes() for x in enc.encode(some)]
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids = [x + end_id for x in enc.encode(some)]
+            total += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(total))
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), pa.array(ids, pa.binary()), pa.nulls(end - at, pa.binary())], names)
             at = end
+    if id_type is not None:
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], names)
 
 
-def count_ids(batches, width: int):
-    total = np.zeros(1, np.int64)
+def unpack_counts(batches):
     for b in batches:
         for x in b.column(0):
-            n = np.bincount(np.frombuffer(x.as_py(), f"<u{width}"))
-            if len(n) > len(total):
-                total = np.pad(total, (0, len(n) - len(total)))
-            total[: len(n)] += n
-    ids = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
+            n = np.frombuffer(x.as_py(), np.int64)
+            ids = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n[ids])], ["id", "n"])
 
 
 def encode_ranks(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -199,12 +249,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k
     ship(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    width = 2 if encoder(tokenizer).size <= 1 << 16 else 4
-    encoded = rows.mapInArrow(lambda it: encode_batches(it, tokenizer), f"doc_id {id_type}, ids binary")
+    width = encoder(tokenizer).width
+    encoded = rows.mapInArrow(lambda it: encode_batches(it, tokenizer), f"doc_id {id_type}, ids binary, counts binary")
     raw = fresh_path(spark, "ids")
     encoded.write.option("compression", "zstd").parquet(raw)
-    ids = spark.read.schema(encoded.schema).parquet(raw)
-    counted = ids.select("ids").mapInArrow(lambda it: count_ids(it, width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    written = spark.read.schema(encoded.schema).parquet(raw)
+    counts = written.select("counts").where("counts IS NOT NULL").mapInArrow(unpack_counts, "id long, n long")
+    counted = counts.groupBy("id").agg(F.sum("n").alias("n"))
+    ids = written.select("doc_id", "ids").where("ids IS NOT NULL")
     # at most one row for each entry of the vocabulary
     order = [r.id for r in sorted(counted.collect(), key=lambda r: (-r.n, r.id))]
     spark.createDataFrame(list(enumerate(order)), "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
