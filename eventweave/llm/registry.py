@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from eventweave.llm import decontaminate, mixing, neighbours, quality, simhash, token_counts, token_files, toxicity
+from eventweave.llm import decontaminate, line_dedup, mixing, neighbours, quality, simhash, substring_dedup, token_counts, token_files, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+        "op10_line_dedup": line_dedup.op10_line_dedup,
         "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
         "op3_token_files": token_files.op3_token_files,
         "op4_toxicity": toxicity.op4_toxicity,
@@ -19,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_benchmark_decontamination": decontaminate.ORACLE}
+    return {"op9_benchmark_decontamination": decontaminate.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
