@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from eventweave.llm.common import ascii_lower, saved
 
 DELIMITERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same in text that has not been lower-cased.
+RAW_DELIMITERS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -135,8 +137,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13, block_bytes
     spots = F.transform(F.sequence(F.lit(0), F.col("len") - 1), lambda k: F.col("pos") + k)
     cut = found.where("pos > 0").select("rid", F.explode(spots).alias("spot")).groupBy("rid").agg(F.collect_set("spot").alias("cut"))
     rows = found.where("pos = 0").select("rid", "row_").join(cut, "rid", "left")
-    pieces = F.regexp_extract_all("row_.text", F.lit(f"({WORDS}|{DELIMITERS})"), F.lit(1))
-    first_is_word = F.element_at("pieces", 1).rlike(f"^{WORDS}")
+    pieces = F.regexp_extract_all("row_.text", F.lit(f"({RAW_WORDS}|{RAW_DELIMITERS})"), F.lit(1))
+    first_is_word = F.element_at("pieces", 1).rlike(f"^{RAW_WORDS}")
     word_at = lambda i: F.when(first_is_word & (i % 2 == 0), (i / 2 + 1).cast("int")).when(~first_is_word & (i % 2 == 1), ((i + 1) / 2).cast("int"))
     drop = lambda i: F.coalesce(F.array_contains("cut", word_at(i)), F.lit(False))
     clean = F.array_join(F.filter("pieces", lambda p, i: ~drop(i)), "")
