@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from eventweave.llm.common import saved, ship, table, unit_uniform
 
 BUCKETS = 1 << 16
-MOST_LABELS = 200_000
+MOST_LABELS = 40_000
 MEMO = 500_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 _words: dict[str, int] = {}
@@ -120,7 +120,8 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     n = known.count()
     if n > most:
         known = known.where(unit_uniform(F.lit("labels"), "doc_id") <= 0.98 * most / n)
-    return docs.select("doc_id", "text").join(known, "doc_id")
+    # ``most`` rows of two numbers at most, so the texts need no shuffle
+    return docs.select("doc_id", "text").join(F.broadcast(saved(known, "label-sample")), "doc_id")
 
 
 def target_model(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS) -> dict:
