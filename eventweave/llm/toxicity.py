@@ -261,8 +261,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, held_out: Colum
     # a tenth less than the bound leaves room for chance
     part = {t: min(1.0, 0.9 * (most // 3 if t else most - most // 3) / n[t]) for t in n}
     share = F.when(F.col("toxic") == 1, part.get(1, 0.0)).otherwise(part.get(0, 0.0))
-    picked = known.where(unit_uniform(F.lit("toxic"), "doc_id") <= share)
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(picked, "doc_id")
+    picked = saved(known.where(unit_uniform(F.lit("toxic"), "doc_id") <= share), "toxic-sample")
+    # ``most`` rows of two numbers at most, so the texts need no shuffle
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(picked), "doc_id")
     # unordered rows would give another order of summing, and other last digits, at each run
     return sorted(((r.doc_id, r.text, r.toxic) for r in rows.toLocalIterator()), key=lambda r: (r[0], r[1]))
 
