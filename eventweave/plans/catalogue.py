@@ -541,3 +541,77 @@ def map_merge_last_wins(spark, sf_dir):
     merged = F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)
     entries = F.array_sort(F.transform(F.map_entries(merged), lambda e: F.concat_ws("=", e["key"], e["value"])))
     return x.select("c_custkey", F.array_join(entries, ",").alias("merged"))
+
+
+def _built(spark):
+    from eventweave.sources import fixtures, portal, triples
+
+    pages = fixtures.portal_pages(spark)
+    return triples.event_triples(portal.portal_events(pages)).unionByName(triples.topic_triples(portal.portal_topics(pages)))
+
+
+@query()
+def portal_events(spark, sf_dir):
+    """Events of a portal page in document order."""
+    from eventweave.sources import fixtures, portal
+
+    return portal.portal_events(fixtures.portal_pages(spark)).select("date", "category", "event_index", "text", "source_text", "parent_topics", F.size("sentences").alias("n_sentences"))
+
+
+@query()
+def portal_topics(spark, sf_dir):
+    from eventweave.sources import fixtures, portal
+
+    return portal.portal_topics(fixtures.portal_pages(spark)).select("date", "category", "topic_index", "text", "href", "parents")
+
+
+@query()
+def articles_parsed(spark, sf_dir):
+    """Articles with their coordinates, place flag and date rows."""
+    from eventweave.sources import articles, fixtures
+
+    a = articles.articles(fixtures.article_pages(spark))
+    flag = articles.location_flag(F.col("classes"), F.col("templates"), F.array(F.lit("Infobox_settlement")))
+    lat, lon = geo.dms_to_decimal(F.col("latitude_text")), geo.dms_to_decimal(F.col("longitude_text"))
+    dates = F.filter(F.transform("begin_texts", datetimes.parse_dates), lambda d: d.isNotNull())
+    return a.select("canonical", "name", "location_text", flag.alias("is_place"), lat.alias("lat"), lon.alias("lon"), F.get(dates, F.lit(0))["date"].alias("date"), F.get(dates, F.lit(0))["until"].alias("until"))
+
+
+@query()
+def jsonld_roundtrip(spark, sf_dir):
+    """The built graph written as JSON-LD nodes and read back."""
+    from eventweave.sources import triples
+
+    return triples.from_jsonld(triples.to_jsonld(_built(spark)))
+
+
+@query()
+def turtle_lines(spark, sf_dir):
+    from eventweave.sources import triples
+
+    return triples.to_ntriples(_built(spark))
+
+
+@query("SELECT page_id, len(list_distinct(regexp_extract_all(html, '<a\\s[^>]*?href=\"([^\"]*)\"', 1))) AS num FROM pages")
+def distinct_links_per_page(spark, sf_dir):
+    """Page scan to the set of linked targets, counted."""
+    return table(spark, sf_dir, "pages").select("page_id", F.size(F.array_distinct(text.anchors(F.col("html")))).cast("long").alias("num"))
+
+
+@query("SELECT label FROM (SELECT n_name AS label, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey DESC) AS r FROM nation) WHERE r = 1")
+def last_label_wins(spark, sf_dir):
+    """Snapshot lookups keep the last record of each key."""
+    w = Window.partitionBy("n_regionkey").orderBy(F.desc("n_nationkey"))
+    return table(spark, sf_dir, "nation").withColumn("r", F.row_number().over(w)).where("r = 1").select(F.col("n_name").alias("label"))
+
+
+@query("SELECT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders GROUP BY ALL HAVING year(o_orderdate) = 1997")
+def month_selection(spark, sf_dir):
+    """Months between two bounds, both included."""
+    e = table(spark, sf_dir, "orders").where(F.col("o_orderdate").between("1997-01-01", "1997-12-31 23:59:59"))
+    return e.select(F.year("o_orderdate").cast("long").alias("y"), F.month("o_orderdate").cast("long").alias("m")).distinct()
+
+
+@query("SELECT o_orderkey FROM orders WHERE day(o_orderdate) = 14")
+def day_filter(spark, sf_dir):
+    return table(spark, sf_dir, "orders").where(F.dayofmonth("o_orderdate") == 14).select("o_orderkey")
