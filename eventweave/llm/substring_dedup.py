@@ -2,11 +2,14 @@
 
 A text's units are its lines, cut further after sentence ends and before a
 capital that begins a word, so that a passage pasted into the middle of a line
-is cut like the original. Units are normalised (lower case, single spaces) and
-hashed to 128 bits. For every digest in the corpus the earliest document (by
-doc_id) keeps it; every later occurrence repeats it. Repeating units that stand
-side by side form runs, and a run of ``min_words`` words or more is removed, with
-its offsets in the original text. Shorter runs are chance or common phrases.
+is cut like the original. A unit of more than ``LONG`` words is cut further after
+words that a hash of the word alone chooses, so that an edit inside a long
+sentence spoils only its neighbourhood. Units are normalised (lower case, single
+spaces) and hashed to 128 bits. For every digest in the corpus the earliest
+document (by doc_id) keeps it; every later occurrence repeats it. Repeating units
+that stand side by side form runs, and a run is removed, with its offsets in the
+original text, if its units of ``FIRM`` words or more have ``min_words`` words.
+Lesser runs are chance or common phrases.
 
 A digest's grouping is combined on the map side, so a line that all documents
 share costs one row a task; marking occurrences is a join that Spark splits
@@ -18,6 +21,9 @@ equal doc_id count as one document: repeats between them stay.
 
 from __future__ import annotations
 
+import re
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -27,20 +33,38 @@ from pyspark.sql import functions as F
 
 from eventweave.llm.common import saved, ship, table
 
-MIN_WORDS = 30
+MIN_WORDS = 20
+FIRM = 4
+LONG = 12
 LAST = (1 << 63) - 1
 CUT = regex.compile(r"\n|(?<=[.!?])\s|\s(?=\p{Lu}\p{Ll}|\p{Lu}\s)")
 
 
+WORD = re.compile(r"\S+")
+
+
+def _parts(text: str, at: int, end: int):
+    words = text[at:end].lower().split()
+    if len(words) <= LONG:
+        if words:
+            yield at, end, " ".join(words)
+        return
+    first = 0
+    for i, m in enumerate(WORD.finditer(text, at, end)):
+        if i + 1 == len(words):
+            yield at, end, " ".join(words[first:])
+        elif zlib.crc32(words[i].encode("utf-8", "surrogatepass")) % LONG == 0:
+            yield at, m.end(), " ".join(words[first : i + 1])
+            first, at = i + 1, m.end() + 1
+
+
 def units(text: str) -> list[tuple[int, int, str]]:
     """(start, end, normalised) of each unit that has a word."""
     out, at = [], 0
     for m in CUT.finditer(text):
-        if m.start() > at and (words := text[at : m.start()].lower().split()):
-            out.append((at, m.start(), " ".join(words)))
+        out.extend(_parts(text, at, m.start()))
         at = m.end()
-    if words := text[at:].lower().split():
-        out.append((at, len(text), " ".join(words)))
+    out.extend(_parts(text, at, len(text)))
     return out
 
 
@@ -90,10 +114,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     run = F.col("pos") - F.row_number().over(Window.partitionBy("rank").orderBy("pos", "start"))
     runs = marked.withColumn("run", run).groupBy("rank", "run").agg(
         F.min("start").alias("span_start"), F.max("end").alias("span_end"), F.count("*").alias("n_units"),
-        F.sum("words").alias("n_words"), F.min("kept").alias("kept"),
+        F.sum("words").alias("n_words"), F.min("kept").alias("kept"), F.sum(F.when(F.col("words") >= FIRM, F.col("words"))).alias("firm"),
     )
     real = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    long_runs = runs.where(F.col("n_words") >= min_words)
+    long_runs = runs.where(F.col("firm") >= min_words)
     return long_runs.select(real("rank").alias("doc_id"), "span_start", "span_end", "n_units", "n_words", real("kept").alias("kept_doc_id"))
 
 

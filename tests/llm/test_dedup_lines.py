@@ -21,7 +21,7 @@ def brute_spans(rows, min_words):
             if norm is not None and norm in first:
                 run.append((s, e, len(norm.split()), first[norm]))
                 continue
-            if sum(u[2] for u in run) >= min_words:
+            if sum(u[2] for u in run if u[2] >= substring_dedup.FIRM) >= min_words:
                 out.append((d, run[0][0], run[-1][1], len(run), sum(u[2] for u in run), min(u[3] for u in run)))
             run = []
             if norm is not None:
@@ -58,10 +58,10 @@ def test_passages_pasted_into_lines_are_caught_and_clean_documents_left(spark):
 
 def test_substring_edges(spark):
     text = passage(random.Random(1), 5)
-    rows = [(1, None, 1), (2, "", 1), (3, text, 1), (3, text, 1), (None, text, 1), (4, text + "\n" + text, 1), (5, "ab cd. " * 200_000, 1)]
+    rows = [(1, None, 1), (2, "", 1), (3, text, 1), (3, text, 1), (None, text, 1), (4, text + "\n" + text, 1), (5, "ab cd ef gh. " * 100_000, 1)]
     docs = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.doc_id or 0, r.span_start, r.kept_doc_id) for r in substring_dedup.repeated_spans(docs).collect())
-    assert got == [(0, 0, 3), (4, 0, 3), (5, 7, 5)]
+    assert got == [(0, 0, 3), (4, 0, 3), (5, 13, 5)]
     assert substring_dedup.without_repeats(docs).columns == ["doc_id", "text", "rank", "removed"]
     assert substring_dedup.repeated_spans(docs.limit(0)).count() == 0
 
