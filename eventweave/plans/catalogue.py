@@ -605,7 +605,7 @@ def last_label_wins(spark, sf_dir):
     return table(spark, sf_dir, "nation").withColumn("r", F.row_number().over(w)).where("r = 1").select(F.col("n_name").alias("label"))
 
 
-@query("SELECT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders GROUP BY ALL HAVING year(o_orderdate) = 1997")
+@query("SELECT DISTINCT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders WHERE year(o_orderdate) = 1997")
 def month_selection(spark, sf_dir):
     """Months between two bounds, both included."""
     e = table(spark, sf_dir, "orders").where(F.col("o_orderdate").between("1997-01-01", "1997-12-31 23:59:59"))
