@@ -615,3 +615,38 @@ def month_selection(spark, sf_dir):
 @query("SELECT o_orderkey FROM orders WHERE day(o_orderdate) = 14")
 def day_filter(spark, sf_dir):
     return table(spark, sf_dir, "orders").where(F.dayofmonth("o_orderdate") == 14).select("o_orderkey")
+
+
+@query("""SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS num FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey = 3 GROUP BY ALL""")
+def sparql_events_under_root(spark, sf_dir):
+    """The flagship as query text."""
+    from eventweave.plans.sparql import sparql
+
+    t = graph.events(spark, sf_dir).unionByName(graph.topics(spark, sf_dir))
+    return sparql(t, """SELECT ?year ?month (COUNT(*) AS ?num) WHERE {
+        ?event a NewsSummary ; mentionDate ?day ; during/during/during ?root . ?root article/source ?page .
+        BIND(YEAR(?day) AS ?year) BIND(MONTH(?day) AS ?month) FILTER(?root = "topic/region/3") } GROUP BY ?year ?month""")
+
+
+@query("""SELECT 'topic/customer/' || c_custkey AS topic, c_name AS label, NULL AS article FROM customer WHERE c_nationkey <> 2
+UNION ALL SELECT 'topic/nation/' || n_nationkey, n_name, 'article/nation/' || n_nationkey FROM nation UNION ALL SELECT 'topic/region/' || r_regionkey, r_name, 'article/region/' || r_regionkey FROM region""")
+def sparql_optional_union(spark, sf_dir):
+    from eventweave.plans.sparql import sparql
+
+    return sparql(graph.topics(spark, sf_dir), """SELECT DISTINCT ?topic ?label ?article WHERE {
+        { ?topic a TextTopic FILTER NOT EXISTS { ?topic during "topic/nation/2" } } UNION { ?topic a ArticleTopic }
+        ?topic label ?label OPTIONAL { ?topic article ?article } }""")
+
+
+@query("SELECT 'place/supplier/' || s_suppkey AS place FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = 1 UNION ALL SELECT 'place/nation/' || n_nationkey FROM nation WHERE n_regionkey = 1 UNION ALL SELECT 'place/region/1'")
+def sparql_star_path(spark, sf_dir):
+    from eventweave.plans.sparql import sparql
+
+    return sparql(graph.places(spark, sf_dir), 'SELECT ?place WHERE { ?place locatedIn* "place/region/1" }')
+
+
+@query("SELECT count(*) > 0 AS answer FROM nation WHERE n_regionkey = 4")
+def sparql_ask(spark, sf_dir):
+    from eventweave.plans.sparql import sparql
+
+    return sparql(graph.places(spark, sf_dir), 'ASK { ?nation locatedIn "place/region/4" ; label ?name }')
