@@ -34,7 +34,8 @@ from eventweave.llm.common import saved, ship, table, unit_uniform
 
 BUCKETS = 1 << 16
 MOST_LABELS = 40_000
-MEMO = 500_000
+#: Words remembered inside a task.
+MEMO = 150_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 _words: dict[str, int] = {}
 _shapes: dict[str, int] = {}
@@ -43,8 +44,7 @@ _shapes: dict[str, int] = {}
 def ngrams(text: str) -> np.ndarray:
     """Bucket of every word, run of signs, and pair of neighbours in a text; letters keep their case."""
     if len(_words) > MEMO:
-        _words.clear()
-        _shapes.clear()
+        _forget()
     words = TOKEN.findall(text)
     for w in set(words).difference(_words):
         _words[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 7)
@@ -58,6 +58,12 @@ def ngrams(text: str) -> np.ndarray:
     return np.concatenate([h, pairs, shapes]) % np.uint64(BUCKETS)
 
 
+def _forget() -> None:
+    """Workers outlive tasks; what they remember would stay beside later stages."""
+    _words.clear()
+    _shapes.clear()
+
+
 def _shape(word: str) -> int:
     if word.isupper() and len(word) > 1:
         return 2
@@ -72,6 +78,7 @@ def count_batches(batches, column: int = 0):
         for x in b.column(column):
             if text := x.as_py():
                 total += np.bincount(ngrams(text), minlength=BUCKETS)
+    _forget()
     hit = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], ["bucket", "n"])
 
@@ -95,6 +102,7 @@ def score_batches(batches, ratio: np.ndarray):
                 out[i] = ratio[g].mean()
         keep = [i for i in range(b.num_columns) if i != at]
         yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(out)], [*(b.schema.names[i] for i in keep), "ratio"])
+    _forget()
 
 
 def fit_odds(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:

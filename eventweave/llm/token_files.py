@@ -21,7 +21,6 @@ chunks are encoded once a worker and remembered up to a bound.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -34,8 +33,8 @@ from pyspark.sql import functions as F
 from eventweave.llm.common import fresh_path, ship, table
 
 #: Chunks remembered in a worker, characters encoded at a time, ids in a block.
-MEMO = 500_000
-TEXT_AT_ONCE = 4 << 20
+MEMO = 250_000
+TEXT_AT_ONCE = 6 << 20
 BLOCK_IDS = 1 << 20
 END = 0
 _encoders: dict = {}
@@ -104,41 +103,48 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            odd = not self.splits or text[0] == " " or SPACES.search(text) or any(a in text for a in self.added)
-            (whole if odd else split).append(i)
+            (split if self.splits and not any(a in text for a in self.added) else whole).append(i)
+        self._split(texts, split, whole, out)
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids
+        return out
+
+    def _split(self, texts: list[str], split: list[int], whole: list[int], out: list[bytes]) -> None:
+        """Encode the texts of ``split`` by chunks; those with a space after white space are left to ``whole``."""
         if not split:
-            return out
+            return
         # Arrow splits and numbers the chunks, so that Python sees each different chunk of the batch once
         lists = pc.split_pattern(pa.array([texts[i] for i in split], pa.large_string()), " ")
         offsets = lists.offsets.to_numpy()
         coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        codes, chunks = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, chunks = coded.indices.to_numpy().copy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         offsets = offsets - offsets[0]
+        spaced = np.array([not c or c[-1].isspace() for c in chunks])
+        odd = np.logical_or.reduceat(spaced[codes], offsets[:-1])
         known = self.later.get
         parts = list(map(known, chunks))
         if None in parts:
             new = self._learn({c for c, p in zip(chunks, parts, strict=True) if p is None})
             parts = [new[c] if p is None else p for c, p in zip(chunks, parts, strict=True)]
-        sizes = np.array([len(p) for p in parts], np.int64) // self.width
-        starts = np.cumsum(sizes) - sizes
-        pool = np.frombuffer(b"".join(parts), f"<u{self.width}")
-        n = sizes[codes]
-        n[offsets[:-1]] = 0  # a text's first chunk has no space before it
-        ends = np.cumsum(n)
-        flat = pool[np.repeat(starts[codes] - (ends - n), n) + np.arange(ends[-1])]
-        cut = np.r_[0, ends][offsets]
-        for k, i in enumerate(split):
-            out[i] = self._bare(chunks[codes[offsets[k]]]) + flat[cut[k] : cut[k + 1]].tobytes()
-        return out
+        first = [chunks[c] for c in codes[offsets[:-1]]]
+        new = list(set(first).difference(self.first))
+        heads = dict(zip(new, self._encode(new), strict=True))
+        if len(self.first) + len(new) <= MEMO:
+            self.first.update(heads)
+        codes[offsets[:-1]] = len(parts)  # a text's first chunk has no space before it
+        laid = pa.array([*parts, b""], pa.large_binary()).take(pa.array(codes))
+        _, ends, data = laid.buffers()
+        cut = np.frombuffer(ends, np.int64)[offsets].tolist()
+        raw = memoryview(data) if data is not None else memoryview(b"")
+        for i, head, a, b, left in zip(split, first, cut[:-1], cut[1:], odd.tolist(), strict=True):
+            if left:
+                whole.append(i)
+            else:
+                out[i] = (self.first.get(head) or heads[head]) + raw[a:b]
 
 
 #: Signs that stand alone after letters or digits.
 SIGNS = ".,;:!?"
-#: A space after white space: such texts are encoded whole.
-SPACES = re.compile(r"\s ")
-
 
 def encoder(name: str) -> Encoder:
     if name not in _encoders:
