@@ -5,7 +5,7 @@ capital that begins a word, so that a passage pasted into the middle of a line
 is cut like the original. A unit of more than ``LONG`` words is cut further after
 words that a hash of the word alone chooses, so that an edit inside a long
 sentence spoils only its neighbourhood. Units are normalised (lower case, single
-spaces) and hashed to 128 bits. For every digest in the corpus the earliest
+spaces) and hashed to 96 bits. For every digest in the corpus the earliest
 document (by doc_id) keeps it; every later occurrence repeats it. Repeating units
 that stand side by side form runs, and a run is removed, with its offsets in the
 original text, if its units of ``FIRM`` words or more have ``min_words`` words.
@@ -78,7 +78,7 @@ def unit_batches(batches):
             seen = set()
             for pos, (start, end, norm) in enumerate(units(x.as_py() or "")):
                 h = xxhash.xxh3_128_intdigest(norm.encode("utf-8", "surrogatepass"))
-                for col, v in zip(rows, (rank, pos, start, end, norm.count(" ") + 1, h >> 64, h & (1 << 64) - 1, h in seen), strict=True):
+                for col, v in zip(rows, (rank, pos, start, end, norm.count(" ") + 1, h >> 64, h & (1 << 32) - 1, h in seen), strict=True):
                     col.append(v)
                 seen.add(h)
             held = len(rows[0])
@@ -92,7 +92,7 @@ def unit_batches(batches):
 def _batch(rows, names):
     kinds = [np.int64, np.int32, np.int32, np.int32, np.int32]
     cols = [pa.array(np.array(c, k)) for c, k in zip(rows[:5], kinds, strict=True)]
-    cols += [pa.array(np.array(c, np.uint64).view(np.int64)) for c in rows[5:7]]
+    cols += [pa.array(np.array(rows[5], np.uint64).view(np.int64)), pa.array(np.array(rows[6], np.uint32).view(np.int32))]
     return pa.RecordBatch.from_arrays([*cols, pa.array(rows[7], pa.bool_())], names)
 
 
@@ -103,7 +103,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     ship(docs.sparkSession)
     ranked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text")
-    schema = "rank long, pos int, start int, `end` int, words int, h1 long, h2 long, again boolean"
+    schema = "rank long, pos int, start int, `end` int, words int, h1 long, h2 int, again boolean"
     all_units = saved(ranked.mapInArrow(unit_batches, schema), "units")
     kept = all_units.groupBy("h1", "h2").agg(F.min("rank").alias("kept"), F.max("rank").alias("other"))
     shared = saved(kept.where("kept < other").select("h1", "h2", "kept"), "repeated-units")
