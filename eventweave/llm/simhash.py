@@ -295,13 +295,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, grouped=near_duplicates) -> DataFrame:
     """``docs`` (with doc_id and text) without all but one row of each group: the row with the group's smallest doc_id.
 
+    ``grouped`` gives each row of ``docs`` its doc_id and component_id.
     Rows whose doc_id is null stay only where their group has no other row.
     """
     columns = docs.columns
-    judged = saved(near_duplicates(docs).select("doc_id", "component_id"), "groups")
+    judged = saved(grouped(docs).select("doc_id", "component_id"), "groups")
     leaders = judged.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     lone = judged.where("doc_id IS NULL AND component_id IS NULL").count()
