@@ -146,17 +146,24 @@ def _grow(x: np.ndarray, threshold: int) -> tuple[list, list]:
 
 
 def _between(x: np.ndarray, y: np.ndarray, threshold: int) -> tuple[list, list]:
-    """Links between two tiles; a fingerprint of one tile keeps its first partner in each direction."""
+    """Links between two tiles that connect what all such links do: a spanning forest, grown from either side in turn."""
     left, right = [], []
-    seen = np.zeros(len(y), bool)
-    for a in x:
-        near = np.bitwise_count(y ^ a) <= threshold
-        if near.any():
-            new = near & ~seen
-            new[int(np.argmax(near))] = True
-            left.append(np.full(int(new.sum()), a))
-            right.append(y[new])
-            seen |= near
+    rest_x, rest_y = x, y
+    while len(rest_x) and len(rest_y):
+        queue, rest_x = [(rest_x[0], True)], rest_x[1:]
+        while queue:
+            now, of_x = queue.pop()
+            others = rest_y if of_x else rest_x
+            near = np.bitwise_count(others ^ now) <= threshold
+            if near.any():
+                found = others[near]
+                left.append(np.full(len(found), now))
+                right.append(found)
+                queue.extend((f, not of_x) for f in found)
+                if of_x:
+                    rest_y = others[~near]
+                else:
+                    rest_x = others[~near]
     return left, right
 
 

@@ -93,3 +93,32 @@ def test_edges_of_the_input(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def parts(pairs):
+    """The sets of values that pairs connect."""
+    root = {}
+
+    def find(v):
+        while root.setdefault(v, v) != v:
+            v = root[v]
+        return v
+
+    for u, v in pairs:
+        root[find(u)] = find(v)
+    return {frozenset(v for v in root if find(v) == r) for r in {find(v) for v in root}}
+
+
+@pytest.mark.parametrize("size", [2, 20, 100, 300])
+def test_links_between_two_tiles_connect_what_all_pairs_do(size):
+    rng = np.random.default_rng(size)
+    tiles = [([0xF << 40, 0xF], [0xFF, 0x0])]
+    tiles += [np.array_split(rng.permutation(np.unique(rng.integers(0, 1 << 22, 2 * size, np.uint64))), 2) for _ in range(20)]
+    for x, y in tiles:
+        x, y = np.array(x, np.uint64), np.array(y, np.uint64)
+        left, right = simhash._between(x, y, 4)
+        got = list(zip(np.concatenate(left).tolist(), np.concatenate(right).tolist(), strict=True)) if left else []
+        every = [(int(u), int(v)) for u in x for v in y[np.bitwise_count(y ^ u) <= 4]]
+        assert parts(got) == parts(every)
+        assert all((u ^ v).bit_count() <= 4 for u, v in got)
+        assert len(got) == sum(len(p) - 1 for p in parts(every))
