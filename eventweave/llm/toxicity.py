@@ -14,14 +14,16 @@ in clean ones. The field then weighs all features together.
 
 The model is fitted on the driver from at most ``most_docs`` labelled documents
 (chosen by hash, toxic ones up to a third) and ``most_words`` of their words in
-whole documents. Scoring covers every word of every document: long texts run as
-windows of ``WINDOW`` words with ``CONTEXT`` more on each side, over which a
-chain's memory has faded far below double precision's visible digits.
+whole documents: gradient steps on feature and pair weights alike, by the
+difference between the tags' counts and those expected under forward-backward.
+Scoring covers every word of every document. Long texts run as windows of
+``WINDOW`` words side by side, and the chain's messages are carried over the
+windows' edges, so marginals are those of the whole text.
 
 Nulls: null and empty texts have no words and get the score of a document with
 no evidence. A null label or doc_id in ``labels`` teaches nothing. Repeated rows
-are each scored. Where one class is missing, scores are the share of toxic
-labels, or 0 without labels.
+are each scored. Columns named like the results are replaced by them. Where one
+class is missing, scores are the share of toxic labels, or 0 without labels.
 """
 
 from __future__ import annotations
@@ -40,7 +42,6 @@ FEATURES = 1 << 18
 MOST_DOCS = 9_000
 MOST_WORDS = 1_000_000
 WINDOW = 2048
-CONTEXT = 64
 MEMO = 1_000_000
 WORD = re.compile(r"\w+")
 PER_WORD = 6
@@ -53,10 +54,18 @@ def features(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(p) % (FEATURES - 1) + 1 if p else 0 for p in parts]
 
 
-def marginals(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndarray:
+def _odds(e: np.ndarray) -> np.ndarray:
+    return np.exp(np.clip(e, -60, 60))
+
+
+def marginals(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None, pairs: np.ndarray | None = None) -> np.ndarray:
     """Marginals of tag 1 for sequences laid end to end; ``e``: log odds of tag 1 by word, ``trans``: weights of tag pairs.
 
-    Sequences of alike length run side by side, one step at a time.
+    ``enter`` and ``leave`` are messages from before and after a sequence, as ratios
+    of tag 1 to tag 0; where nothing stands before, ``enter`` is NaN, and where
+    nothing follows, ``leave`` is 1. The expected numbers of tag pairs inside
+    sequences are added to ``pairs``. Sequences of alike length run side by side,
+    one step at a time.
     """
     a = np.exp(trans)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
@@ -67,52 +76,88 @@ def marginals(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndarr
         width = int(lengths[mine].max())
         at = np.arange(width)[:, None] + starts[mine][None, :]
         inside = np.arange(width)[:, None] < lengths[mine][None, :]
-        odds = np.exp(np.clip(np.where(inside, e[np.minimum(at, len(e) - 1)], 0), -60, 60))
+        odds = _odds(np.where(inside, e[np.minimum(at, len(e) - 1)], 0))
         ahead = np.empty_like(odds)
         r = odds[0]
+        if enter is not None:
+            came = enter[mine]
+            r = np.where(np.isnan(came), r, r * (a[0, 1] + a[1, 1] * came) / (a[0, 0] + a[1, 0] * came))
         ahead[0] = r
         for t in range(1, width):
             r = odds[t] * (a[0, 1] + a[1, 1] * r) / (a[0, 0] + a[1, 0] * r)
             ahead[t] = r
-        back = np.ones(len(mine))
+        last = np.ones(len(mine)) if leave is None else leave[mine]
+        back = last
         for t in range(width - 1, -1, -1):
             both = ahead[t] * back
             ahead[t] = both / (1 + both)
             if t:
                 nxt = odds[t] * back
+                if pairs is not None:
+                    r = ahead[t - 1]
+                    p = np.stack([np.full_like(r, a[0, 0]), a[0, 1] * nxt, a[1, 0] * r, a[1, 1] * r * nxt])
+                    pairs += ((p / p.sum(0)) @ inside[t]).reshape(2, 2)
                 step = (a[1, 0] + a[1, 1] * nxt) / (a[0, 0] + a[0, 1] * nxt)
-                # past its end a sequence keeps the backward odds of its last word
-                back = np.where(inside[t], step, 1.0)
+                # past its end a sequence keeps the message from after its last word
+                back = np.where(inside[t], step, last)
         out[at[inside]] = ahead[inside]
     return out
 
 
-def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Cut documents laid end to end: first word, number of words, and the part of it to keep."""
-    first, size, lo, hi = [], [], [], []
-    at = 0
-    for n in lengths.tolist():
-        for s in range(0, n, WINDOW) if n > WINDOW + CONTEXT else (0,):
-            end = n if n <= WINDOW + CONTEXT else min(n, s + WINDOW)
-            a, b = max(0, s - CONTEXT), min(n, end + CONTEXT)
-            first.append(at + a)
-            size.append(b - a)
-            lo.append(s - a)
-            hi.append(end - a)
-        at += n
-    return tuple(np.array(x, np.int64) for x in (first, size, lo, hi))
-
-
-def document_marginals(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    first, size, lo, hi = windows(lengths)
-    if len(e) == 0:
+def _through(e: np.ndarray, first: np.ndarray, size: np.ndarray, head: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """For each window the product of its words' steps, up to a factor; a text's first word (``head``) is no step."""
+    out = np.tile(np.eye(2), (len(first), 1, 1))
+    for t in range(int(size.max())):
+        o = _odds(e[np.minimum(first + t, len(e) - 1)])
+        step = np.empty((len(first), 2, 2))
+        step[:, 0, 0], step[:, 0, 1], step[:, 1, 0], step[:, 1, 1] = a[0, 0], a[1, 0], o * a[0, 1], o * a[1, 1]
+        live = (t < size) & ~(head & (t == 0))
+        made = step @ out
+        made /= made.max(axis=(1, 2), keepdims=True)
+        out = np.where(live[:, None, None], made, out)
+    return out
+
+
+def document_marginals(e: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+    """:func:`marginals` of whole documents, long ones cut into windows that are joined by exact messages."""
+    if not len(e):
         return np.zeros(0)
-    if (size == lengths).all() if len(size) == len(lengths) else False:
-        return marginals(e, lengths, trans)
-    index = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-    m = marginals(e[index], size, trans)
-    place = np.arange(size.sum()) - np.repeat(np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-    return m[(place >= np.repeat(lo, size)) & (place < np.repeat(hi, size))]
+    if lengths.max() <= WINDOW:
+        return marginals(e, lengths, trans, pairs=pairs)
+    a = np.exp(trans)
+    parts = np.maximum(-(-lengths // WINDOW), 1)
+    doc = np.repeat(np.arange(len(lengths)), parts)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+    size = np.minimum(WINDOW, lengths[doc] - nth * WINDOW)
+    first = (np.cumsum(lengths) - lengths)[doc] + nth * WINDOW
+    enter, leave = np.full(len(doc), np.nan), np.ones(len(doc))
+    cut = np.flatnonzero(parts[doc] > 1)
+    through = _through(e, first[cut], size[cut], nth[cut] == 0, a)
+    for i, w in enumerate(cut):  # forward over the windows of each text
+        f = np.array([1.0, _odds(e[first[w]])]) if nth[w] == 0 else f  # noqa: F821
+        if nth[w]:
+            enter[w] = f[1] / f[0]
+        f = through[i] @ f
+        f = f / f.max()
+    for i in range(len(cut) - 1, -1, -1):  # and backward
+        w = cut[i]
+        if nth[w] == parts[doc[w]] - 1:
+            b = np.ones(2)
+        leave[w] = b[1] / b[0]
+        b = through[i].T @ b
+        b = b / b.max()
+    inner = None if pairs is None else np.zeros((2, 2))
+    out = marginals(e, size, trans, enter, leave, inner)
+    if pairs is not None:
+        pairs += inner
+        for w in np.flatnonzero(nth > 0):  # the pair over each edge
+            o = _odds(e[first[w]])
+            # the message after the window's first word follows from its marginal
+            ahead = o * (a[0, 1] + a[1, 1] * enter[w]) / (a[0, 0] + a[1, 0] * enter[w])
+            nxt = o * (out[first[w]] / max(1 - out[first[w]], 1e-300)) / ahead
+            p = np.array([[a[0, 0], a[0, 1] * nxt], [a[1, 0] * enter[w], a[1, 1] * enter[w] * nxt]])
+            pairs += p / p.sum()
+    return out
 
 
 def evidence(m: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -224,20 +269,26 @@ def fit(texts: list[str], labels: list[int], most_words: int = MOST_WORDS, round
     lengths = np.array([len(docs[i]) for i in chosen], np.int64)
     words = np.concatenate([docs[i] for i in chosen]) if chosen else np.zeros(0, np.int64)
     tags = (marked[words] & (np.repeat(y[chosen], lengths) == 1)).astype(np.int64)
-    # pair weights: smoothed log ratios of the tags' neighbours, against their chance by the tags alone
-    pairs = pair_counts(tags, lengths) + 1.0
+    # pair weights start from smoothed log ratios of the tags' neighbours, against their chance by the tags alone
+    seen = pair_counts(tags, lengths)
+    pairs = seen + 1.0
     trans = np.log(pairs / pairs.sum()) - np.log(pairs.sum(1, keepdims=True) / pairs.sum()) - np.log(pairs.sum(0, keepdims=True) / pairs.sum())
     trans = np.clip(trans - trans[0, 0], -3, 3)
     weights, grown, speed = np.zeros(FEATURES), np.zeros(FEATURES), 1.5
+    trans_grown = np.zeros((2, 2))
     bias = float(np.log((tags.sum() + 1) / (len(tags) - tags.sum() + 1)))
     for _ in range(rounds):
         score = weights[feats].sum(axis=1) + bias
-        m = document_marginals(score[words], lengths, trans)
+        expected = np.zeros((2, 2))
+        m = document_marginals(score[words], lengths, trans, expected)
         by_word = np.bincount(words, weights=tags - m, minlength=len(index))
         grad = np.bincount(feats.reshape(-1), weights=np.repeat(by_word, PER_WORD), minlength=FEATURES) - 0.02 * weights
         grad[0] = 0
         grown += grad * grad
         weights += speed * grad / (np.sqrt(grown) + 1e-8)
+        pair_grad = seen - expected - 0.02 * trans
+        trans_grown += pair_grad * pair_grad
+        trans = np.clip(trans + 0.3 * pair_grad / (np.sqrt(trans_grown) + 1e-8), -6, 6)
     model = Model(weights, trans, np.zeros(4))
     model.bias = bias
     all_lengths = np.array([len(d) for d in docs], np.int64)
@@ -314,10 +365,10 @@ def model_for(docs: DataFrame, labels: DataFrame, held_out: Column | None = None
 
 
 def scored(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
-    """(columns but text, score, and spans of (start, end) if asked) for every row of ``docs``."""
+    """(columns but text, score, and spans of (start, end) if asked) for every row of ``docs``; columns of these names are replaced."""
     spark = docs.sparkSession
     ship(spark)
-    keys = [f for f in docs.schema if f.name != "text"]
+    keys = [f for f in docs.schema if f.name not in ("text", "score", "spans")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys), "score double"] + ["spans array<struct<start:int,end:int>>"] * spans)
     shared = spark.sparkContext.broadcast(model)  # FEATURES weights, whatever the corpus
     return docs.select(*[f.name for f in keys], "text").mapInArrow(lambda it: score_batches(it, shared.value, spans), schema)
@@ -327,5 +378,5 @@ def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
     model = model_for(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), held_out)
-    out = scored(docs, model)
-    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = scored(docs, model, spans=True)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")

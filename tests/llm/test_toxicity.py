@@ -31,6 +31,31 @@ def test_windows_do_not_show():
     assert np.allclose(toxicity.document_marginals(e, lengths, trans), toxicity.marginals(e, lengths, trans), atol=1e-9)
 
 
+def test_windows_and_pairs_are_exact_where_memory_is_long(monkeypatch):
+    rng = np.random.default_rng(2)
+    monkeypatch.setattr(toxicity, "WINDOW", 7)
+    lengths = np.array([3, 29, 0, 7, 8, 100])
+    for trans in (np.array([[0.0, -6.0], [-6.0, 0.0]]), np.array([[0.0, -3.0], [-3.0, 3.0]]), rng.normal(size=(2, 2)) * 3):
+        e = rng.normal(size=lengths.sum()) * 0.01
+        want, got = np.zeros((2, 2)), np.zeros((2, 2))
+        a, b = toxicity.marginals(e, lengths, trans, pairs=want), toxicity.document_marginals(e, lengths, trans, got)
+        assert np.allclose(a, b, atol=1e-12) and np.allclose(want, got, atol=1e-9)
+        assert abs(want.sum() - sum(max(n - 1, 0) for n in lengths)) < 1e-9
+
+
+def test_expected_pairs_against_all_paths():
+    rng = np.random.default_rng(3)
+    trans, e = rng.normal(size=(2, 2)), rng.normal(size=6)
+    got, want, total = np.zeros((2, 2)), np.zeros((2, 2)), 0.0
+    toxicity.marginals(e, np.array([6]), trans, pairs=got)
+    for tags in itertools.product((0, 1), repeat=6):
+        w = math.exp(sum(e[i] for i in range(6) if tags[i]) + sum(trans[a, b] for a, b in itertools.pairwise(tags)))
+        total += w
+        for a, b in itertools.pairwise(tags):
+            want[a, b] += w
+    assert np.allclose(got, want / total)
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
@@ -68,6 +93,8 @@ def test_nulls_long_texts_one_class_and_no_rows(spark, tables):
     odd = [(None, "you idiot", 1), (-1, None, 1), (-2, "", 1), (-2, "", 1), (-3, "word " * 400_000, 1)]
     out = toxicity.scored(spark.createDataFrame(odd, "doc_id long, text string, score int").drop("score"), model).collect()
     assert len(out) == 5 and all(0 <= r.score <= 1 for r in out)
+    clash = spark.createDataFrame([(1, "a text", 7, "x")], "doc_id long, text string, score int, spans string")
+    assert toxicity.scored(clash, model, spans=True).columns == ["doc_id", "score", "spans"]
     none = toxicity.model_for(docs, labels.limit(0))
     assert {r.score for r in toxicity.scored(few, none).collect()} == {0.0}
     clean = toxicity.model_for(docs, labels.withColumn("toxic", F.lit(0)))
