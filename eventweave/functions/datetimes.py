@@ -1,7 +1,7 @@
 """Dates and times in free text, as one cascade of column expressions.
 
 Each date pattern is tried in a fixed order and the first that yields a real
-calendar date wins, as in the survey's grammar. Offsets are in minutes.
+calendar date wins. Offsets are in minutes.
 """
 
 from __future__ import annotations
@@ -16,24 +16,36 @@ from eventweave.functions.terms import plain_dashes
 # fixed values: English month names in calendar order
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 
-DAY, MONTH, YEAR = r"(\d{1,2})", r"(\w{3,9})", r"(\d{2,4})"
-TO = r"\s*(?:-|until|to)\s*"
-ONGOING = r"(present|ongoing)"
-MDY, DMY = rf"{MONTH}\s+{DAY},?\s+{YEAR}", rf"{DAY}\s+{MONTH}\s+{YEAR}"
-
-#: (pattern, places of day, month, year, second day, month, year, ongoing), in the order they are tried; 0: absent.
-PATTERNS = [
-    (MDY + TO + MDY, (2, 1, 3, 5, 4, 6, 0)),
-    (DMY + TO + DMY, (1, 2, 3, 4, 5, 6, 0)),
-    (rf"{MONTH}\s+{DAY}{TO}{MONTH}\s+{DAY},?\s+{YEAR}", (2, 1, 5, 4, 3, 5, 0)),
-    (rf"{DAY}\s+{MONTH}{TO}{DMY}", (1, 2, 5, 3, 4, 5, 0)),
-    (rf"{MONTH}\s+{DAY}{TO}{DAY},?\s+{YEAR}", (2, 1, 4, 3, 1, 4, 0)),
-    (rf"{DAY}{TO}{DAY}\s+{MONTH}\s+{YEAR}", (1, 3, 4, 2, 3, 4, 0)),
-    (MDY + TO + ONGOING, (2, 1, 3, 0, 0, 0, 4)),
-    (DMY + TO + ONGOING, (1, 2, 3, 0, 0, 0, 4)),
-    (MDY, (2, 1, 3, 0, 0, 0, 0)),
-    (DMY, (1, 2, 3, 0, 0, 0, 0)),
-]
+# fixed values: what may stand between the parts of a date, and the words of an open end
+DAY, MONTH, YEAR = r"(\d\d?)", r"(\w{3,9})", r"(\d{2,4})"
+TO, ONGOING = r"\s*(?:-|until|to)\s*", r"([Pp]resent|[Oo]ngoing)"
+AFTER_MONTH, BEFORE_YEAR = r"\s*(?:/|\s)\s*", r"\s*[/,]\s*"
+
+
+def _grammar() -> list[tuple[str, str]]:
+    """(pattern, parts in order of its groups), in the order they are tried.
+
+    Parts: d, m, y of the first day, D, M, Y of the second, o for an open end. Month
+    first takes a slash or space before the day and needs a comma or slash before
+    the year; day first takes spaces alone.
+    """
+    md, dm = MONTH + AFTER_MONTH + DAY, DAY + r"\s+" + MONTH
+    mdy, dmy = md + BEFORE_YEAR + YEAR, dm + r"\s+" + YEAR
+    return [
+        (mdy + TO + mdy, "mdyMDY"),
+        (dmy + TO + dmy, "dmyDMY"),
+        (md + TO + MONTH + r"\s*" + DAY + BEFORE_YEAR + YEAR, "mdMDy"),
+        (dm + TO + dmy, "dmDMy"),
+        (md + TO + DAY + BEFORE_YEAR + YEAR, "mdDy"),
+        (DAY + TO + dmy, "dDmy"),
+        (mdy + TO + ONGOING, "mdyo"),
+        (dmy + TO + ONGOING, "dmyo"),
+        (mdy, "mdy"),
+        (dmy, "dmy"),
+    ]
+
+
+MARK = "\x01"
 
 
 def _let(value: Column, body) -> Column:
@@ -49,24 +61,37 @@ def parse_dates(text: Column) -> Column:
     """struct(date, until, ongoing), or null where no pattern gives a calendar date."""
     value = plain_dashes(text)
 
-    def attempt(pattern: str, places: tuple) -> Column:
-        def group(i: int) -> Column:
-            got = F.regexp_extract(value, f"(?Ui){pattern}", i)
-            return F.when(got != "", got)
+    def attempt(pattern: str, parts: str) -> Column:
+        # all groups of the first match by one replacement, each after a mark; without a match nothing begins with the mark
+        groups = F.regexp_replace(value, f"(?Us)^.*?{pattern}.*$", "".join(f"{MARK}${i + 1}" for i in range(len(parts))))
+
+        def judge(found: Column) -> Column:
+            def group(part: str) -> Column:
+                return F.get(found, F.lit(parts.index(part) + 1))
+
+            def day(d: str, m: str, y: str) -> Column:
+                zero = F.lit(0)
+                stamp = F.try_make_timestamp_ntz(group(y).cast("int"), month_number(group(m)), group(d).cast("int"), zero, zero, zero.cast("decimal(8,6)"))
+                return stamp.cast("date")
+
+            first = day("d", "m", "y")
+            second = day("D", "M" if "M" in parts else "m", "Y" if "Y" in parts else "y") if "D" in parts else F.lit(None).cast("date")
+            good = first.isNotNull() & (second.isNotNull() if "D" in parts else F.lit(True))
+            return F.when(good, F.struct(first.alias("date"), second.alias("until"), F.lit("o" in parts).alias("ongoing")))
+
+        return F.when(F.startswith(groups, F.lit(MARK)), _let(F.split(groups, MARK), judge))
+
+    return F.coalesce(*[attempt(p, parts) for p, parts in _grammar()])
+
 
-        def day(d: int, m: int, y: int) -> Column:
-            zero = F.lit(0)
-            stamp = F.try_make_timestamp_ntz(group(y).cast("int"), month_number(group(m)), group(d).cast("int"), zero, zero, zero.cast("decimal(8,6)"))
-            return stamp.cast("date")
+def microformat_date(text: Column) -> Column:
+    """The first yyyy-mm-dd in a text as a timestamp; a year alone gives null."""
+    return F.try_to_timestamp(F.regexp_extract(text, r"\d{4}-\d{2}-\d{2}", 0), F.lit("yyyy-MM-dd")).cast("timestamp_ntz")
 
-        d, m, y, d2, m2, y2, on = places
-        first = day(d, m, y)
-        until = day(d2, m2, y2) if d2 else F.lit(None).cast("date")
-        ongoing = group(on).isNotNull() if on else F.lit(False)
-        good = first.isNotNull() & (until.isNotNull() if d2 else F.lit(True))
-        return F.when(good, F.struct(first.alias("date"), until.alias("until"), ongoing.alias("ongoing")))
 
-    return F.coalesce(*[attempt(p, places) for p, places in PATTERNS])
+def iso_timestamp(text: Column) -> Column:
+    """A date or date and time in ISO form as a timestamp; null where it is neither."""
+    return text.try_cast("timestamp_ntz")
 
 
 CLOCK = r"(\d{1,2}):(\d{2})\s*(?:([ap])\.?m\.?)?"

@@ -17,24 +17,71 @@ def dms_to_decimal(text: Column) -> Column:
     return F.when(n.between(2, 4), value * sign)
 
 
-def ring(wkt: Column) -> Column:
-    """The outer ring of a WKT polygon as an array of struct(x, y)."""
-    inside = F.regexp_extract(wkt, r"\(\(([^()]*)\)", 1)
+def rings(wkt: Column) -> Column:
+    """All rings of a WKT POLYGON or MULTIPOLYGON, holes too, as arrays of struct(x, y); a POINT is a ring of one; null stays null."""
     pair = lambda p: F.split(F.trim(p), r"\s+")
-    return F.transform(F.split(inside, ","), lambda p: F.struct(F.get(pair(p), F.lit(0)).cast("double").alias("x"), F.get(pair(p), F.lit(1)).cast("double").alias("y")))
+    point = lambda p: F.struct(F.get(pair(p), F.lit(0)).try_cast("double").alias("x"), F.get(pair(p), F.lit(1)).try_cast("double").alias("y"))
+    return F.transform(F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1)), lambda r: F.transform(F.split(r, ","), point))
 
 
-def within(x: Column, y: Column, points: Column) -> Column:
-    """Is the point inside the closed ring, by the number of edges that a ray to the right crosses."""
-    edges = F.zip_with(F.slice(points, F.lit(1), F.size(points) - 1), F.slice(points, F.lit(2), F.size(points) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+def _edges(ring: Column) -> Column:
+    n = F.size(ring) - 1
+    return F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def edges_of(shape: Column) -> Column:
+    """The edges struct(a, b) of all rings."""
+    return F.flatten(F.transform(shape, _edges))
+
+
+def _crossing(e: Column, y: Column) -> Column:
+    a, b = e["a"], e["b"]
+    return (b["x"] - a["x"]) * (y - a["y"]) / F.when(b["y"] != a["y"], b["y"] - a["y"]).otherwise(1.0) + a["x"]
+
+
+def within(x: Column, y: Column, edges: Column) -> Column:
+    """Is the point inside, not on, a shape: a ray to the right crosses an odd number of all rings' edges, so holes are outside."""
 
     def crosses(e: Column) -> Column:
+        return ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & (x < _crossing(e, y))
+
+    def touches(e: Column) -> Column:
         a, b = e["a"], e["b"]
-        spans = (a["y"] > y) != (b["y"] > y)
-        at = (b["x"] - a["x"]) * (y - a["y"]) / F.when(b["y"] != a["y"], b["y"] - a["y"]).otherwise(1.0) + a["x"]
-        return spans & (x < at)
+        level = (b["x"] - a["x"]) * (y - a["y"]) == (b["y"] - a["y"]) * (x - a["x"])
+        return level & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+
+    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, touches)
 
-    return F.size(F.filter(edges, crosses)) % 2 == 1
+
+def _extent(shape: Column, c: str) -> tuple[Column, Column]:
+    values = F.transform(F.flatten(shape), lambda p: p[c])
+    return F.array_min(values), F.array_max(values)
+
+
+def box_area(wkt: Column) -> Column:
+    shape = rings(wkt)
+    (x0, x1), (y0, y1) = _extent(shape, "x"), _extent(shape, "y")
+    return (x1 - x0) * (y1 - y0)
+
+
+def inner_point(wkt: Column) -> Column:
+    """struct(x, y) inside a shape: the middle of the widest inner stretch at half height (a POINT: itself).
+
+    Should a corner lie at half height, the line is a little above it.
+    """
+    shape = rings(wkt)
+    edges = edges_of(shape)
+    low, high = _extent(shape, "y")
+    corners = F.transform(F.flatten(shape), lambda p: p["y"])
+    middle = (low + high) / 2
+    above = F.array_min(F.filter(corners, lambda v: v > middle))
+    y = F.when(F.array_contains(corners, middle), (middle + above) / 2).otherwise(middle)
+    xs = F.array_sort(F.transform(F.filter(edges, lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y)), lambda e: _crossing(e, y)))
+    places = F.sequence(F.lit(0), F.greatest((F.size(xs) / 2).cast("int") - 1, F.lit(0)))
+    spans = F.transform(places, lambda i: F.struct((F.get(xs, i * 2 + 1) - F.get(xs, i * 2)).alias("w"), ((F.get(xs, i * 2 + 1) + F.get(xs, i * 2)) / 2).alias("x")))
+    single = F.get(F.get(shape, F.lit(0)), F.lit(0))
+    found = F.struct(F.array_max(spans)["x"].alias("x"), y.alias("y"))
+    return F.when(F.size(F.flatten(shape)) == 1, F.struct(single["x"].alias("x"), single["y"].alias("y"))).otherwise(found)
 
 
 def points_in_regions(points: DataFrame, regions: DataFrame, cell: float = 0.25) -> DataFrame:
@@ -43,11 +90,10 @@ def points_in_regions(points: DataFrame, regions: DataFrame, cell: float = 0.25)
     Both sides meet on grid cells: a region is listed once for each cell of its
     bounding box, a point falls into one, and only those pairs are tested.
     """
-    shaped = regions.select("region", ring(F.col("wkt")).alias("ring_"))
-    low = lambda c: F.array_min(F.transform("ring_", lambda p: p[c]))
-    high = lambda c: F.array_max(F.transform("ring_", lambda p: p[c]))
-    span = lambda c: F.sequence(F.floor(low(c) / cell), F.floor(high(c) / cell))
-    cells = shaped.withColumn("cx_", F.explode(span("x"))).withColumn("cy_", F.explode(span("y")))
+    shaped = regions.select("region", rings(F.col("wkt")).alias("shape_"))
+    span = lambda c: F.sequence(*[F.floor(v / cell) for v in _extent(F.col("shape_"), c)])
+    cells = shaped.select("region", edges_of(F.col("shape_")).alias("edges_"), F.explode(span("x")).alias("cx_"), "shape_")
+    cells = cells.select("region", "edges_", "cx_", F.explode(span("y")).alias("cy_"))
     placed = points.withColumns({"cx_": F.floor(F.col("x") / cell), "cy_": F.floor(F.col("y") / cell)})
-    met = placed.join(cells, ["cx_", "cy_"]).where(within(F.col("x"), F.col("y"), F.col("ring_")))
+    met = placed.join(cells, ["cx_", "cy_"]).where(within(F.col("x"), F.col("y"), F.col("edges_")))
     return met.select(*points.columns, "region")

@@ -46,7 +46,7 @@ def linker_text(text: Column) -> Column:
 
 def is_article_url(url: Column, prefix: str = WIKI) -> Column:
     """Starts with the wiki prefix, and what follows is not a name space, a run of word characters before a colon."""
-    rest = F.substring(url, len(prefix) + 1, 100_000)
+    rest = F.substring(url, F.lit(len(prefix) + 1), F.char_length(url))
     return F.coalesce(F.startswith(url, F.lit(prefix)) & ~rest.rlike(r"(?U)^\w+:"), F.lit(False))
 
 

@@ -1,13 +1,16 @@
 """Transitive closure, reduction, levels and trees over edges (src, dst).
 
-The closure doubles path lengths each round (pairs joined with pairs), so depth
-d takes about log2(d) rounds; set semantics, and cycles end because a round that
-adds no pair is the last. Rounds are checkpointed, which cuts the plan.
+The closure doubles path lengths each round by joining the pairs that are new with
+all pairs, on either side, so depth d takes about log2(d) rounds and no pair of old
+pairs meets again; set semantics, and cycles end because a round that adds no pair
+is the last. With one end given, :func:`reach` walks from it and never builds the
+rest. Rounds are checkpointed, which cuts the plan.
 """
 
 from __future__ import annotations
 
 import tempfile
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,19 +29,36 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """Distinct (src, dst) joined by a path of one edge or more."""
-    pairs = cut(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct())
-    n = pairs.count()
+    """Distinct (src, dst) joined by a path of one edge or more. ``rounds`` doublings reach any depth that fits a table."""
+    pairs = new = cut(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+
+    def step(a: DataFrame, b: DataFrame) -> DataFrame:
+        met = a.select("src", F.col("dst").alias("via")).join(b.select(F.col("src").alias("via"), "dst"), "via")
+        return met.select("src", "dst")
+
     for _ in range(rounds):
-        far = pairs.alias("a").join(pairs.alias("b"), F.col("a.dst") == F.col("b.src")).select(F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
-        pairs = cut(pairs.unionByName(far).distinct())
-        now = pairs.count()
-        if now == n:
+        far = step(new, pairs).unionByName(step(pairs, new)).distinct()
+        new = cut(far.join(pairs, ["src", "dst"], "left_anti"))
+        if new.isEmpty():
             return pairs
-        n = now
+        pairs = cut(pairs.unionByName(new))
     raise RuntimeError(f"the closure did not settle in {rounds} rounds")
 
 
+def reach(edges: DataFrame, seeds: DataFrame, backward: bool = False) -> DataFrame:
+    """The closure's pairs (src, dst) whose src (``backward``: dst) is among the seeds (node): a walk of as many rounds as the longest path has edges."""
+    near, far = ("dst", "src") if backward else ("src", "dst")
+    e = edges.select(F.col(near).alias("near"), F.col(far).alias("far")).where("near IS NOT NULL AND far IS NOT NULL").distinct()
+    front = seeds.select(F.col("node").alias("seed"), F.col("node").alias("near")).distinct()
+    seen = None
+    while True:
+        next_ = front.join(e, "near").select("seed", F.col("far").alias("near")).distinct()
+        front = cut(next_ if seen is None else next_.join(seen, ["seed", "near"], "left_anti"))
+        if front.isEmpty():
+            return (front if seen is None else seen).select(F.col("seed").alias(near), F.col("near").alias(far)).select("src", "dst")
+        seen = front if seen is None else cut(seen.unionByName(front))
+
+
 def transitive_reduction(edges: DataFrame) -> DataFrame:
     """The edges of an acyclic graph that no longer path implies."""
     e = edges.select("src", "dst").distinct()
@@ -47,19 +67,25 @@ def transitive_reduction(edges: DataFrame) -> DataFrame:
     return e.join(implied.distinct(), ["src", "dst"], "left_anti")
 
 
-def levels(edges: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(node, level) of an acyclic graph: the length of the longest path that ends at the node."""
-    e = cut(edges.select("src", "dst").distinct())
-    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
-    out = cut(nodes.join(e.select(F.col("dst").alias("node")).distinct(), "node", "left_anti").withColumn("level", F.lit(0)))
-    front, level = out, 0
-    while level < rounds:
+def levels(edges: DataFrame) -> DataFrame:
+    """(node, level) of an acyclic graph: the length of the longest path that ends at the node.
+
+    Each round takes the nodes that nothing left leads to; if none is free while
+    some are left, the graph has a cycle, which is an error.
+    """
+    rest = cut(edges.select("src", "dst").distinct())
+    left = cut(rest.select(F.col("src").alias("node")).union(rest.select("dst")).distinct())
+    out, level = None, 0
+    while not left.isEmpty():
+        free = cut(left.join(rest.select(F.col("dst").alias("node")).distinct(), "node", "left_anti"))
+        if free.isEmpty():
+            raise ValueError("the graph has a cycle")
+        found = free.withColumn("level", F.lit(level))
+        out = found if out is None else out.unionByName(found)
+        left = cut(left.join(free, "node", "left_anti"))
+        rest = cut(rest.join(free.withColumnRenamed("node", "src"), "src", "left_anti"))
         level += 1
-        front = cut(front.join(e, front.node == e.src).select(F.col("dst").alias("node")).distinct().withColumn("level", F.lit(level)))
-        if front.isEmpty():
-            return out.groupBy("node").agg(F.max("level").alias("level"))
-        out = out.unionByName(front)
-    raise RuntimeError("the graph has a cycle or is too deep")
+    return left.withColumn("level", F.lit(0)) if out is None else out
 
 
 def _reaches(adjacent: dict, a, b) -> bool:
@@ -91,19 +117,34 @@ def _tree(pdf: pd.DataFrame, root: str) -> pd.DataFrame:
             del days[a, b]
         else:
             adjacent[a].add(b)
+    parents = Counter(b for _, b in days)
     for (a, b), _ in sorted(days.items(), key=lambda x: (x[1], x[0]), reverse=True):
-        if sum(b in out for out in adjacent.values()) > 1:
+        if parents[b] > 1:
             adjacent[a].discard(b)
             if _reaches(adjacent, root, b):
                 del days[a, b]
+                parents[b] -= 1
             else:
                 adjacent[a].add(b)
     rows = [(a, b, d) for (a, b), d in days.items()]
     return pd.DataFrame(rows, columns=["src", "dst", "day"])
 
 
+def label_graph(pairs: DataFrame, root: str) -> DataFrame:
+    """(graph, src, dst, day): the distinct edges of pairs (graph, parent, topic, day) by first day, with an edge from ``root`` to each parent that is no topic."""
+    edges = pairs.groupBy("graph", F.col("parent").alias("src"), F.col("topic").alias("dst")).agg(F.min("day").alias("day"))
+    tops = edges.join(edges.select("graph", F.col("dst").alias("src")).distinct(), ["graph", "src"], "left_anti")
+    heads = tops.groupBy("graph", F.col("src").alias("dst")).agg(F.min("day").alias("day")).select("graph", F.lit(root).alias("src"), "dst", "day")
+    return edges.unionByName(heads)
+
+
 def topic_trees(edges: DataFrame, root: str) -> DataFrame:
-    """(graph, src, dst, day): an acyclic, pruned tree for each ``graph``. The order of insertion decides, so each graph is one task's work."""
+    """(graph, src, dst, day): an acyclic, pruned tree for each ``graph``.
+
+    The order of insertion decides, so each graph is one task's work: every edge is
+    a search among the edges kept before it, so a graph of 10,000 edges is well
+    within a task and one of 1,000,000 is not.
+    """
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         out = _tree(pdf, root)

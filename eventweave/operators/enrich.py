@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventweave.functions import terms
-from eventweave.operators.closure import closure
+from eventweave.operators.closure import closure, cut
 
 
 def entity_id(uri: Column) -> Column:
@@ -91,14 +91,64 @@ def expanded(urls: DataFrame, articles: DataFrame, rounds: int = 2) -> DataFrame
     return out.groupBy("url").agg(F.min("depth").alias("depth"))
 
 
-def event_types(topic_types: DataFrame, parents: DataFrame, event_topics: DataFrame, levels: int = 8) -> DataFrame:
-    """(event, types): the union of the topics' classes; where a group of topics has none, of the next topics up."""
-    front, out = event_topics.select("event", "topic").distinct(), None
-    for _ in range(levels):
-        hit = front.join(topic_types, "topic").groupBy("event").agg(F.array_sort(F.collect_set("class")).alias("types"))
+def event_types(topic_types: DataFrame, parents: DataFrame, event_topics: DataFrame) -> DataFrame:
+    """(event, types): the union of the topics' classes; where a group of topics has none, of the next topics up, however far.
+
+    Topics already tried for an event are not tried again, so cycles end.
+    """
+    front = cut(event_topics.select("event", "topic").distinct())
+    tried, out = front, None
+    while True:
+        hit = cut(front.join(topic_types, "topic").groupBy("event").agg(F.array_sort(F.collect_set("class")).alias("types")))
         out = hit if out is None else out.unionByName(hit)
-        front = front.join(hit.select("event"), "event", "left_anti").join(parents, "topic").select("event", F.col("parent").alias("topic")).distinct()
-    return out
+        up = front.join(hit.select("event"), "event", "left_anti").join(parents, "topic").select("event", F.col("parent").alias("topic")).distinct()
+        front = cut(up.join(tried, ["event", "topic"], "left_anti"))
+        if front.isEmpty():
+            return out
+        tried = cut(tried.join(hit.select("event"), "event", "left_anti").unionByName(front))
+
+
+def resolved(links: DataFrame, articles: DataFrame) -> DataFrame:
+    """Links (url, others) with the article that their url leads to (canonical, entity, is_place), null where there is none."""
+    return links.join(articles.select("url", "canonical", "entity", "is_place").dropDuplicates(["url"]), "url", "left")
+
+
+def with_services(articles: DataFrame, labels: DataFrame, parents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Articles with their entity's id, label, parent locations and outline ids, each null where unknown; tables keyed by entity_id."""
+    keyed = articles.withColumn("entity_id", entity_id(F.col("entity")))
+    return keyed.join(labels, "entity_id", "left").join(parents, "entity_id", "left").join(ids, "entity_id", "left")
+
+
+def location_chain(articles: DataFrame, entity_links: DataFrame, sitelinks: DataFrame) -> DataFrame:
+    """(canonical, place): the places named by articles' location texts: text to linked entities to article urls to articles that are places."""
+    texts = articles.where("location_text IS NOT NULL AND location_text <> ''").select("canonical", F.col("location_text").alias("text"))
+    linked = linked_entities(texts, entity_links).select("text", F.explode("wikidata").alias("entity_uri"))
+    keyed = texts.join(linked, "text").select("canonical", entity_id(F.col("entity_uri")).alias("entity_id")).distinct()
+    urls = article_urls(keyed, sitelinks).where("article_url IS NOT NULL")
+    places = articles.where("is_place").select("url", F.col("canonical").alias("place"))
+    return keyed.join(urls, "entity_id").join(places, F.col("article_url") == F.col("url")).select("canonical", "place").distinct()
+
+
+def leaf_places(located: DataFrame, parents: DataFrame) -> DataFrame:
+    """(event, place) without the places that hold another place of the same event."""
+    holds = located.join(parents, "place").select("event", F.col("parent").alias("place"), F.col("place").alias("inner")).where("place <> inner")
+    return located.join(holds.select("event", "place").distinct(), ["event", "place"], "left_anti")
+
+
+def cited(citations: DataFrame, references: DataFrame) -> DataFrame:
+    """(page, event, refs): each event's references by number, from (page, event, nr) and (page, nr, ref)."""
+    met = citations.select("page", "event", "nr").distinct().join(references, ["page", "nr"])
+    return met.groupBy("page", "event").agg(F.transform(F.array_sort(F.collect_list(F.struct("nr", "ref"))), lambda x: x["ref"]).alias("refs"))
+
+
+def geocoded_text(texts: DataFrame, outlines: DataFrame) -> DataFrame:
+    """Texts (text) with their first outline; the search table is keyed by the text as asked."""
+    return geocoded(texts.select(F.col("text").alias("query_key")), outlines).withColumnRenamed("query_key", "text")
+
+
+def save_locations(rows: DataFrame, path: str) -> None:
+    """The flat events of :func:`events_with_location` as JSON lines."""
+    rows.write.mode("overwrite").json(path)
 
 
 def contained_places(located: DataFrame, parents: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.operators.closure import closure
+from eventweave.operators.closure import closure, reach
 
 
 def triple(t: DataFrame, predicate: str, s: str, o: str) -> DataFrame:
@@ -21,8 +21,9 @@ def of_type(t: DataFrame, kind: str, s: str) -> DataFrame:
 
 
 def both(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on the variables that the two have in common (bag semantics)."""
-    return a.join(b, [c for c in a.columns if c in b.columns], how)
+    """Join on the variables that the two have in common (bag semantics); without any, each solution meets each, as the algebra says."""
+    keys = [c for c in a.columns if c in b.columns]
+    return a.join(b, keys or F.lit(True), how)
 
 
 def bgp(*parts: DataFrame) -> DataFrame:
@@ -56,15 +57,22 @@ def sequence(t: DataFrame, predicates: list[str], s: str, o: str) -> DataFrame:
     return out.select(s, F.col(f"v{len(predicates) - 1}_").alias(o))
 
 
-def plus(t: DataFrame, predicate: str, s: str, o: str) -> DataFrame:
-    """p+: distinct pairs over one step or more."""
-    return closure(triple(t, predicate, "src", "dst")).select(F.col("src").alias(s), F.col("dst").alias(o))
+def plus(t: DataFrame, predicate: str, s: str, o: str, start: DataFrame | None = None, end: DataFrame | None = None) -> DataFrame:
+    """p+: distinct pairs over one step or more. With nodes (one column) to ``start`` from or to ``end`` at, only these are walked."""
+    edges = triple(t, predicate, "src", "dst")
+    if start is None and end is None:
+        pairs = closure(edges)
+    else:
+        seeds = start if start is not None else end
+        pairs = reach(edges, seeds.select(F.col(seeds.columns[0]).alias("node")), backward=start is None)
+    return pairs.select(F.col("src").alias(s), F.col("dst").alias(o))
 
 
-def star(t: DataFrame, predicate: str, s: str, o: str, nodes: DataFrame) -> DataFrame:
-    """p*: p+ and every node (one column) with itself."""
-    own = nodes.select(F.col(nodes.columns[0]).alias(s)).distinct().select(s, F.col(s).alias(o))
-    return plus(t, predicate, s, o).unionByName(own).distinct()
+def star(t: DataFrame, predicate: str, s: str, o: str, nodes: DataFrame, start: DataFrame | None = None, end: DataFrame | None = None) -> DataFrame:
+    """p*: p+ and every node (one column) with itself; a ``start`` or ``end`` stands for all nodes."""
+    given = start if start is not None else end if end is not None else nodes
+    own = given.select(F.col(given.columns[0]).alias(s)).distinct().select(s, F.col(s).alias(o))
+    return plus(t, predicate, s, o, start, end).unionByName(own).distinct()
 
 
 def maybe(t: DataFrame, predicate: str, s: str, o: str, nodes: DataFrame) -> DataFrame:

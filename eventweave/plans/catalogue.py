@@ -6,23 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventweave.functions import datetimes, geo, terms, text
-from eventweave.operators import closure, maintain, metrics, patterns
+from eventweave.operators import closure, enrich, eventmap, maintain, metrics, patterns
 from eventweave.plans import graph
 from eventweave.plans.graph import table
-
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
+from eventweave.plans.registry import query
 
 def _year_month(day):
     d = F.to_date(day)
@@ -183,7 +170,8 @@ def exists_flag(spark, sf_dir):
 @query("""SELECT 'type' AS p, p_type AS o FROM part WHERE p_partkey = 4 UNION ALL SELECT 'label', p_name FROM part WHERE p_partkey = 4
 UNION ALL SELECT 'size', CAST(p_size AS VARCHAR) FROM part WHERE p_partkey = 4 UNION ALL SELECT 'brand', p_brand FROM part WHERE p_partkey = 4""")
 def one_hop(spark, sf_dir):
-    return graph.entities(spark, sf_dir).where("s = 'entity/4'").select("p", "o")
+    asked = spark.createDataFrame([("entity/4",)], "entity_id string")
+    return enrich.one_hop(asked, graph.entities(spark, sf_dir)).select("p", "o")
 
 
 @query("SELECT 'topic/nation/' || n_nationkey AS topic FROM nation UNION ALL SELECT 'topic/region/' || r_regionkey FROM region")
@@ -195,11 +183,12 @@ def subjects_by_type(spark, sf_dir):
 UNION ALL SELECT 'place/nation/' || s_nationkey, 'locatedIn', count(*) FROM supplier GROUP BY s_nationkey""")
 def parent_relations_grouped(spark, sf_dir):
     """Relations that are sub-properties of location but not of image, by location."""
-    props = spark.createDataFrame([("locatedIn", "administrative"), ("administrative", "location"), ("brand", "image"), ("image", "location")], "src string, dst string")
-    below = closure.closure(props).where("dst = 'location'").select(F.col("src").alias("p"))
-    good = below.join(props.where("dst = 'image'").select(F.col("src").alias("p")), "p", "left_anti")
-    t = graph.places(spark, sf_dir).unionByName(graph.entities(spark, sf_dir)).join(F.broadcast(good), "p", "left_semi")  # a handful of properties
-    return t.groupBy(F.col("o").alias("location")).agg(F.array_join(F.array_sort(F.collect_set("p")), ",").alias("relations"), F.count_distinct("s").alias("num"))
+    props = spark.createDataFrame([("locatedIn", "administrative"), ("administrative", "location"), ("brand", "image"), ("image", "location")], "property string, parent string")
+    t = graph.places(spark, sf_dir).unionByName(graph.entities(spark, sf_dir)).withColumn("o_kind", F.lit("uri"))
+    asked, direct = t.select(F.col("s").alias("entity_id")), props.select("property", F.col("property").alias("predicate"))
+    found = enrich.parent_locations(asked, t, props, direct).select("entity_id", F.explode("location").alias("location", "relations"))
+    each = found.select("entity_id", "location", F.explode("relations").alias("relation"))
+    return each.groupBy("location").agg(F.array_join(F.array_sort(F.collect_set("relation")), ",").alias("relations"), F.count_distinct("entity_id").alias("num"))
 
 
 def _event_places(spark, sf_dir):
@@ -219,16 +208,13 @@ up AS (SELECT 'place/supplier/' || s_suppkey AS place, 'place/nation/' || s_nati
 @query(PLACES + " SELECT DISTINCT 'event/' || a.e AS event, a.place, b.place AS parent FROM ep a JOIN up USING (place) JOIN ep b ON b.e = a.e AND b.place = up.parent WHERE a.place <> b.place")
 def sibling_containment(spark, sf_dir):
     """A place is located in a parent that the same event links to."""
-    ep, up = _event_places(spark, sf_dir)
-    return ep.join(up, "place").join(ep.select("event", F.col("place").alias("parent")), ["event", "parent"]).where("place <> parent").select("event", "place", "parent").distinct()
+    return enrich.contained_places(*_event_places(spark, sf_dir))
 
 
 @query(PLACES + """ SELECT count(*) AS num FROM (SELECT e FROM ep WHERE NOT EXISTS (SELECT 1 FROM ep c JOIN up ON up.place = c.place WHERE c.e = ep.e AND up.parent = ep.place) GROUP BY e HAVING count(*) > 1)""")
 def leaf_location_events(spark, sf_dir):
     """Events with more than one place that is no parent of another place of the event."""
-    ep, up = _event_places(spark, sf_dir)
-    parents = ep.join(up, "place").select("event", F.col("parent").alias("place"))
-    leaves = ep.join(parents, ["event", "place"], "left_anti").groupBy("event").count()
+    leaves = enrich.leaf_places(*_event_places(spark, sf_dir)).groupBy("event").count()
     return leaves.agg(F.count_if(F.col("count") > 1).alias("num"))
 
 
@@ -237,42 +223,46 @@ SELECT o_orderkey, c_mktsegment AS t FROM orders JOIN customer ON c_custkey = o_
 UNION ALL SELECT o_orderkey, r_name FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE c_mktsegment = 'BUILDING') GROUP BY ALL""")
 def event_types_inherited(spark, sf_dir):
     """An event's types are its topics'; where those have none, the nearest ancestors'."""
-    own = F.when(F.col("c_mktsegment") != "BUILDING", F.array("c_mktsegment"))
-    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    up = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", F.array("r_name").alias("above"))
-    c = table(spark, sf_dir, "customer").withColumn("own", own).join(up, F.col("c_nationkey") == F.col("n_nationkey"))
-    o = table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
-    return o.select(F.col("o_orderkey").alias("event"), F.array_join(F.array_sort(F.coalesce("own", "above")), ",").alias("types"))
+    c, r = table(spark, sf_dir, "customer"), table(spark, sf_dir, "region")
+    own = c.where("c_mktsegment <> 'BUILDING'").select(key_("topic/customer", "c_custkey").alias("topic"), F.col("c_mktsegment").alias("class"))
+    types = own.unionByName(r.select(key_("topic/region", "r_regionkey").alias("topic"), F.col("r_name").alias("class")))
+    parents = patterns.triple(graph.topics(spark, sf_dir), "during", "topic", "parent")
+    topics = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event"), key_("topic/customer", "o_custkey").alias("topic"))
+    return enrich.event_types(types, parents, topics).select("event", F.array_join("types", ",").alias("types"))
 
 
 @query("""SELECT l_orderkey AS event, string_agg(DISTINCT p_name, ',' ORDER BY p_name) AS refs FROM lineitem JOIN part ON p_partkey = l_partkey AND p_size <= 10 GROUP BY ALL""")
 def citation_join(spark, sf_dir):
     """Citations of an event that the page's reference list has."""
-    refs = table(spark, sf_dir, "part").where("p_size <= 10").select("p_partkey", "p_name")
-    cited = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(refs, F.col("l_partkey") == F.col("p_partkey"))
-    return cited.groupBy(F.col("l_orderkey").alias("event")).agg(F.array_join(F.array_sort(F.collect_set("p_name")), ",").alias("refs"))
+    page = F.lit("page").alias("page")
+    refs = table(spark, sf_dir, "part").where("p_size <= 10").select(page, F.col("p_partkey").alias("nr"), F.col("p_name").alias("ref"))
+    found = enrich.cited(table(spark, sf_dir, "lineitem").select(page, F.col("l_orderkey").alias("event"), F.col("l_partkey").alias("nr")), refs)
+    return found.select("event", F.array_join(F.array_sort(F.array_distinct("refs")), ",").alias("refs"))
 
 
-@query("""SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 3 = 0 THEN 'relation/' || s_suppkey ELSE 'way/' || s_nationkey END AS outline FROM supplier WHERE s_suppkey % 5 <> 0""")
+@query("""SELECT 'Q' || s_suppkey AS entity, CASE WHEN s_suppkey % 3 = 0 THEN 'relation/' || s_suppkey WHEN s_suppkey % 3 = 1 THEN 'way/' || s_nationkey END AS outline FROM supplier""")
 def outline_fallback(spark, sf_dir):
-    """Relation outlines, and object outlines only where there is no relation."""
-    s = table(spark, sf_dir, "supplier").where("s_suppkey % 5 <> 0")
-    relations = F.when(F.col("s_suppkey") % 3 == 0, F.array(key_("relation", "s_suppkey"))).otherwise(F.array().cast("array<string>"))
-    chosen = F.when(F.size(relations) > 0, relations).otherwise(F.array(key_("way", "s_nationkey")))
-    return s.select(F.col("s_suppkey").alias("entity"), F.explode(chosen).alias("outline"))
+    """Relation outlines, object outlines only where there is no relation, and null for entities with neither."""
+    s = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(F.concat(F.lit("Q"), s).alias("entity_id"), s.alias("k"), "s_nationkey")
+    relation = F.when(F.col("k") % 3 == 0, F.col("k").cast("string")).otherwise("none")
+    ids = rows.select(F.concat(F.lit("http://www.wikidata.org/entity/"), "entity_id").alias("entity_uri"), relation.alias("osmrelid"), F.when(F.col("k") % 3 < 2, key_("way", "s_nationkey")).otherwise("area/1").alias("osmobj"))
+    keys = enrich.outline_keys(enrich.osm_ids(rows, ids))
+    return rows.select("entity_id").join(keys, "entity_id", "left").select(F.col("entity_id").alias("entity"), F.col("query_key").alias("outline"))
 
 
 key_ = graph.key
 
 
-@query("""SELECT DISTINCT l_orderkey AS event, 1 AS depth, 'supplier/' || l_suppkey AS article FROM lineitem
-UNION SELECT DISTINCT l_orderkey, 2, 'nation/' || s_nationkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey""")
+@query("""SELECT 'https://en.wikipedia.org/wiki/Supplier_' || s_suppkey AS url, 1 AS depth FROM supplier UNION SELECT 'https://en.wikipedia.org/wiki/' || n_name, 2 FROM nation JOIN supplier ON s_nationkey = n_nationkey""")
 def two_level_expansion(spark, sf_dir):
-    """Exactly two rounds of linked articles."""
-    l, s = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
-    one = l.select(F.col("l_orderkey").alias("event"), F.lit(1).alias("depth"), "l_suppkey").distinct()
-    two = one.join(s, F.col("l_suppkey") == F.col("s_suppkey")).select("event", F.lit(2).alias("depth"), key_("nation", "s_nationkey").alias("article")).distinct()
-    return one.select("event", "depth", key_("supplier", "l_suppkey").alias("article")).unionByName(two)
+    """Articles and what their location rows link to, for exactly two rounds, although nations link on to regions."""
+    n, r, s = (table(spark, sf_dir, t) for t in ("nation", "region", "supplier"))
+    wiki = lambda *c: F.concat(F.lit(terms.WIKI), *c)
+    link = lambda u: F.array(F.struct(u.alias("href")))
+    supplier = s.join(n, s.s_nationkey == n.n_nationkey).select(wiki(F.lit("Supplier_"), "s_suppkey").alias("url"), link(wiki("n_name", F.lit("#top"))).alias("location_links"))
+    nation = n.join(r, n.n_regionkey == r.r_regionkey).select(wiki("n_name").alias("url"), link(wiki("r_name")).alias("location_links"))
+    return enrich.expanded(supplier.select("url"), supplier.unionByName(nation))
 
 
 @query("SELECT conv_id, turn, lag(turn) OVER w AS previous, lead(turn) OVER w AS next FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
@@ -379,12 +369,9 @@ def layered_sums(spark, sf_dir):
     t = graph.places(spark, sf_dir)
     near = patterns.triple(t, "locatedIn", "place", "area").where(F.col("place").startswith("place/supplier/")).groupBy("area").agg(F.count("*").alias("n"))
     nations = t.where("p = 'type'").where(F.col("s").startswith("place/nation/")).select(F.col("s").alias("area")).join(near, "area", "left").na.fill(0, ["n"])
-    up = patterns.triple(t, "locatedIn", "area", "above").where(F.col("area").startswith("place/nation/"))
-    regions = nations.join(up, "area").groupBy(F.col("above").alias("area")).agg(F.sum("n").alias("n"))
-    own = nations.unionByName(regions)
-    pairs = patterns.plus(t.where(F.col("s").startswith("place/nation/")), "locatedIn", "area", "above")
-    above = pairs.join(own.select(F.col("area").alias("above"), F.col("n").alias("m")), "above").groupBy("area").agg(F.sum("m").alias("m"))
-    return own.join(above, "area", "left").select("area", (F.col("n") + F.coalesce("m", F.lit(0))).alias("total"))
+    edges = patterns.triple(t, "locatedIn", "dst", "src").where(F.col("dst").startswith("place/nation/"))
+    regions = nations.join(edges, F.col("area") == F.col("dst")).groupBy(F.col("src").alias("area")).agg(F.sum("n").alias("n"))
+    return eventmap.layered_sums(nations.unionByName(regions), edges)
 
 
 @query("""WITH p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings)
@@ -402,7 +389,7 @@ SELECT predicate, tp, fp, fn, tn, round(tp / (tp + fp), 9) AS precision, round(t
 def confusion_metrics(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") > 1000).alias("long"), (F.col("lang") == "en").alias("english"))
     x = table(spark, sf_dir, "labels").join(d, "doc_id").withColumn("truth", F.col("quality") == 1).withColumn("either", F.col("long") | F.col("english"))
-    m = metrics.confusion(x, "truth", ["long", "english", "either"])
+    m = metrics.confusion(x, "truth", ["long", "english", "either"]).drop("support")
     return m.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "accuracy", "f1")})
 
 
@@ -543,55 +530,6 @@ def map_merge_last_wins(spark, sf_dir):
     return x.select("c_custkey", F.array_join(entries, ",").alias("merged"))
 
 
-def _built(spark):
-    from eventweave.sources import fixtures, portal, triples
-
-    pages = fixtures.portal_pages(spark)
-    return triples.event_triples(portal.portal_events(pages)).unionByName(triples.topic_triples(portal.portal_topics(pages)))
-
-
-@query()
-def portal_events(spark, sf_dir):
-    """Events of a portal page in document order."""
-    from eventweave.sources import fixtures, portal
-
-    return portal.portal_events(fixtures.portal_pages(spark)).select("date", "category", "event_index", "text", "source_text", "parent_topics", F.size("sentences").alias("n_sentences"))
-
-
-@query()
-def portal_topics(spark, sf_dir):
-    from eventweave.sources import fixtures, portal
-
-    return portal.portal_topics(fixtures.portal_pages(spark)).select("date", "category", "topic_index", "text", "href", "parents")
-
-
-@query()
-def articles_parsed(spark, sf_dir):
-    """Articles with their coordinates, place flag and date rows."""
-    from eventweave.sources import articles, fixtures
-
-    a = articles.articles(fixtures.article_pages(spark))
-    flag = articles.location_flag(F.col("classes"), F.col("templates"), F.array(F.lit("Infobox_settlement")))
-    lat, lon = geo.dms_to_decimal(F.col("latitude_text")), geo.dms_to_decimal(F.col("longitude_text"))
-    dates = F.filter(F.transform("begin_texts", datetimes.parse_dates), lambda d: d.isNotNull())
-    return a.select("canonical", "name", "location_text", flag.alias("is_place"), lat.alias("lat"), lon.alias("lon"), F.get(dates, F.lit(0))["date"].alias("date"), F.get(dates, F.lit(0))["until"].alias("until"))
-
-
-@query()
-def jsonld_roundtrip(spark, sf_dir):
-    """The built graph written as JSON-LD nodes and read back."""
-    from eventweave.sources import triples
-
-    return triples.from_jsonld(triples.to_jsonld(_built(spark)))
-
-
-@query()
-def turtle_lines(spark, sf_dir):
-    from eventweave.sources import triples
-
-    return triples.to_ntriples(_built(spark))
-
-
 @query("SELECT page_id, len(list_distinct(regexp_extract_all(html, '<a\\s[^>]*?href=\"([^\"]*)\"', 1))) AS num FROM pages")
 def distinct_links_per_page(spark, sf_dir):
     """Page scan to the set of linked targets, counted."""

@@ -127,6 +127,10 @@ class Query:
         return self.next()[1:], made
 
     # graph patterns
+    def one_row(self) -> DataFrame:
+        """The empty group's solution, which binds nothing."""
+        return self.t.sparkSession.range(1).select(F.lit(1).alias(self.hidden()))
+
     def group(self) -> DataFrame:
         """{ ... }: parts are joined in order; filters hold for the whole group."""
         self.next("{")
@@ -135,7 +139,7 @@ class Query:
             if self.take("."):
                 continue
             if self.take("OPTIONAL"):
-                df = patterns.both(df, self.group(), "left")
+                df = patterns.both(self.one_row() if df is None else df, self.group(), "left")
             elif self.take("FILTER"):
                 negated = self.take("NOT")
                 if self.take("EXISTS"):
@@ -148,7 +152,7 @@ class Query:
                 self.next("(")
                 value = self.value()
                 self.next("AS")
-                df = df.withColumn(self.next()[1:], value)
+                df = (self.one_row() if df is None else df).withColumn(self.next()[1:], value)
                 self.next(")")
             elif self.peek() == "{":
                 part = self.group()
@@ -158,6 +162,7 @@ class Query:
             else:
                 for part in self.triples():
                     df = part if df is None else patterns.both(df, part)
+        df = self.one_row() if df is None else df
         for how, x in filters:
             if how is None:
                 df = df.where(x)
@@ -194,8 +199,16 @@ class Query:
                 part = self.t.select(F.col("s").alias(s), F.col("p").alias(name[1:]), F.col("o").alias(o))
             elif sign:
                 nodes = self.t.select("s").union(self.t.select("o"))
-                made = {"+": lambda *a: patterns.plus(*a[:4]), "*": patterns.star, "?": patterns.maybe}[sign]
-                part = made(self.t, self.term(name), s, o, nodes)
+                # a constant end is where the walk begins, so nothing else is built
+                at = lambda token: None if token.startswith("?") else self.t.sparkSession.range(1).select(F.lit(self.term(token)).alias("node"))
+                start = at(subject) if i == 0 else None
+                end = at(obj) if i == len(path) - 1 and start is None else None
+                if sign == "+":
+                    part = patterns.plus(self.t, self.term(name), s, o, start, end)
+                elif sign == "*":
+                    part = patterns.star(self.t, self.term(name), s, o, nodes, start, end)
+                else:
+                    part = patterns.maybe(self.t, self.term(name), s, o, nodes)
             else:
                 part = patterns.triple(self.t, self.term(name), s, o)
             df = part if df is None else patterns.both(df, part)

@@ -20,7 +20,7 @@ PORTAL = """<html><body>
 ARTICLE = """<html><head><script type="application/ld+json">{"url": "https://en.wikipedia.org/wiki/Storm_Ada#top", "name": "Storm Ada", "mainEntity": "http://www.wikidata.org/entity/Q900001", "datePublished": "2022-01-01T00:00:00Z"}</script>
 <script>RLQ.push(function(){mw.config.set({"wgPageParseReport":{"limitreport":{"timingprofile":["100.00% 1.0 1 -total"," 20.00% 0.2 1 Template:Infobox_storm"]}}});});</script></head><body>
 <table class="infobox vevent"><tbody><tr><th class="infobox-label">Areas affected</th><td class="infobox-data"><div class="location"><a href="/wiki/Northtown">Northtown</a>, coast</div></td></tr>
-<tr><th>Date</th><td>January 1, 2022 – January 3, 2022<sup>[1]</sup></td></tr><tr><th>Time</th><td>10:41 a.m. - 9:22 p.m. (UTC+3)</td></tr><tr><th>Duration</th><td>as of January 2022</td></tr>
+<tr><th>Date</th><td>January 1, 2022 – January 3, 2022<sup>[1]</sup></td></tr><tr><th>Time</th><td>6:25 a.m. - 8:05 p.m. (UTC+3)</td></tr><tr><th>Duration</th><td>as of January 2022</td></tr>
 <tr><td colspan="2"><span class="dtstart">2022-01-01</span></td></tr></tbody></table>
 <div id="coordinates"><span class="geo-dms"><span class="latitude">36°13′50.3″N</span><span class="longitude">5°30′W</span></span></div></body></html>"""
 

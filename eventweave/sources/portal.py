@@ -14,6 +14,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from eventweave.sources.dom import Node, parse
 
@@ -180,14 +181,19 @@ def parse_page(month: str, url: str, html: str) -> tuple[list[dict], list[dict]]
     return events, topics
 
 
-def _rows(pages: DataFrame, which: int, schema: str) -> DataFrame:
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """(events, topics) of each page (month, url, html), one row a page: a page is parsed once for both."""
+    events, topics = _names(EVENTS), _names(TOPICS)
+    kind = lambda names: "array<struct<" + ",".join(f"{c.split(' ', 1)[0]}:{c.split(' ', 1)[1]}" for c in names) + ">>"
+
     def run(batches):
         for pdf in batches:
-            rows = [r for p in pdf.itertuples() for r in parse_page(p.month, p.url, p.html)[which]]
-            if rows:
-                yield pd.DataFrame(rows)[[c.split()[0] for c in _names(schema)]]
+            parsed = [parse_page(p.month, p.url, p.html) for p in pdf.itertuples()]
+            if parsed:
+                yield pd.DataFrame({"events": [p[0] for p in parsed], "topics": [p[1] for p in parsed]})
 
-    return pages.select("month", "url", "html").mapInPandas(run, schema)
+    # a month's page is large and there are few; each is a row of work
+    return pages.select("month", "url", "html").mapInPandas(run, f"events {kind(events)}, topics {kind(topics)}")
 
 
 def _names(schema: str) -> list[str]:
@@ -203,8 +209,12 @@ def _names(schema: str) -> list[str]:
 
 
 def portal_events(pages: DataFrame) -> DataFrame:
-    return _rows(pages, 0, EVENTS)
+    """The events of pages, or of what :func:`parse_pages` made of them."""
+    parsed = parse_pages(pages) if "html" in pages.columns else pages
+    return parsed.select(F.inline("events"))
 
 
 def portal_topics(pages: DataFrame) -> DataFrame:
-    return _rows(pages, 1, TOPICS)
+    """The topics of pages, or of what :func:`parse_pages` made of them."""
+    parsed = parse_pages(pages) if "html" in pages.columns else pages
+    return parsed.select(F.inline("topics"))

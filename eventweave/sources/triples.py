@@ -116,8 +116,8 @@ def from_jsonld(lines: DataFrame) -> DataFrame:
     return fact.select("module", "month", "s", "p", F.coalesce("v.@value", "v.@id").alias("o"), kind.alias("o_kind"), F.col("v.@type").alias("o_datatype"), F.col("v.@language").alias("o_lang"))
 
 
-def to_ntriples(triples: DataFrame, base: str = "https://example.org/") -> DataFrame:
-    """(value): N-Triples lines, which are Turtle too."""
+def to_ntriples(triples: DataFrame, base: str = "https://example.org/", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(value): N-Triples lines, which are Turtle too; columns in ``keep`` stay beside them."""
     def iri(c: Column) -> Column:
         return F.concat(F.lit("<"), F.when(c.contains("://"), c).otherwise(F.concat(F.lit(base), c)), F.lit(">"))
 
@@ -127,4 +127,103 @@ def to_ntriples(triples: DataFrame, base: str = "https://example.org/") -> DataF
     kind = F.regexp_replace("o_datatype", "^xsd:", "http://www.w3.org/2001/XMLSchema#")
     tail = F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), "o_lang")).when(F.col("o_datatype").isNotNull(), F.concat(F.lit("^^"), iri(kind))).otherwise("")
     term = F.when(F.col("o_kind") == "literal", F.concat(F.lit('"'), quoted, F.lit('"'), tail)).when(F.col("o_kind") == "bnode", F.col("o")).otherwise(iri(F.col("o")))
-    return triples.select(F.concat_ws(" ", iri(F.col("s")), iri(F.col("p")), term, F.lit(".")).alias("value")).distinct()
+    return triples.select(*keep, F.concat_ws(" ", iri(F.col("s")), iri(F.col("p")), term, F.lit(".")).alias("value")).distinct()
+
+
+def article_triples(articles: DataFrame) -> DataFrame:
+    """base and raw triples of articles (month, canonical, name, headline, date_published, date_modified, entity, infobox, is_place, is_topic, location_text, lat, lon).
+
+    A place stands beside an article that is one, and beside every topic's article.
+    """
+    ids = articles.withColumn("id", terms.last_segment(F.col("canonical")))
+    article, place, point = F.concat(F.lit("article/"), "id"), F.concat(F.lit("place/"), "id"), terms.point_uri(F.col("lat").cast("string"), F.col("lon").cast("string"))
+    own = facts(
+        ids, "base", article, uri("type", F.lit("WikipediaArticle")), literal("label", F.col("name")), uri("source", F.col("canonical")), uri("sameAs", F.col("entity")),
+        literal("datePublished", F.col("date_published"), "xsd:dateTime"), literal("dateModified", F.col("date_modified"), "xsd:dateTime"), literal("name", F.col("name")), literal("headline", F.col("headline")),
+    )
+    page = facts(ids, "base", F.col("canonical"), uri("type", F.lit("Document")))
+    raw = facts(ids, "raw", article, literal("hasRawHtml", F.col("infobox")))
+    placed = ids.where("is_place OR is_topic")
+    at = lambda c: F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), c)
+    spot = facts(
+        placed, "base", place, uri("type", F.lit("Location")), literal("label", F.col("name")), literal("isIdentifiedBy", F.col("location_text")), uri("wikipediaArticle", article), uri("sameAs", F.col("entity")),
+        uri("hasGeometry", at(point)), literal("hasLatitude", at(F.col("lat")), "xsd:decimal"), literal("hasLongitude", at(F.col("lon")), "xsd:decimal"),
+    )
+    points = facts(
+        placed.where("lat IS NOT NULL AND lon IS NOT NULL"), "base", point, uri("type", F.lit("Point")), literal("label", F.concat_ws(" ", "lat", "lon")),
+        literal("lat", F.col("lat"), "xsd:float"), literal("long", F.col("lon"), "xsd:float"),
+    )
+    return own.unionByName(page).unionByName(raw).unionByName(spot).unionByName(points)
+
+
+def nested_place_triples(pairs: DataFrame) -> DataFrame:
+    """place isLocatedIn parent, from rows (month, canonical, parent_canonical)."""
+    of = lambda c: F.concat(F.lit("place/"), terms.last_segment(F.col(c)))
+    return facts(pairs.where("canonical <> parent_canonical"), "base", of("canonical"), uri("isLocatedIn", of("parent_canonical")))
+
+
+def timespan_triples(spans: DataFrame) -> DataFrame:
+    """Topics' time spans, from rows (month, canonical, start, until, ongoing, evidence); spans without any part give nothing. Equal spans share their key."""
+    day, clock = lambda c: F.date_format(c, "yyyy-MM-dd"), lambda c: F.when(F.date_format(c, "HH:mm") != "00:00", F.date_format(c, "HH:mm"))
+    known = spans.where("start IS NOT NULL OR until IS NOT NULL OR ongoing")
+    none = F.lit(None).cast("string")
+    key = terms.timespan_uri(day("start"), day("until"), F.col("ongoing"), clock("start"), clock("until"), none)
+    keyed = known.withColumn("key", key).withColumn("topic", F.concat(F.lit("topic/article/"), terms.last_segment(F.col("canonical"))))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    own = facts(
+        keyed, "base", F.col("key"), uri("type", F.lit("Timespan")), literal("label", F.col("evidence")), literal("hasStartDate", stamp("start"), "xsd:dateTime"),
+        literal("hasEndDate", stamp("until"), "xsd:dateTime"), literal("hasOngoingSpan", F.when(F.col("until").isNull() & F.col("ongoing"), F.lit("true")), "xsd:boolean"),
+        literal("hasStartTimestamp", clock("start"), "xsd:time"), literal("hasEndTimestamp", clock("until"), "xsd:time"),
+    )
+    return own.unionByName(facts(keyed, "base", F.col("topic"), uri("hasTimespan", F.col("key"))))
+
+
+def topic_place_triples(topics: DataFrame) -> DataFrame:
+    """Topics with an article have the article's place as their location, from rows (month, canonical)."""
+    ident = terms.last_segment(F.col("canonical"))
+    return facts(topics, "base", F.concat(F.lit("topic/article/"), ident), uri("hasLocation", F.concat(F.lit("place/"), ident)))
+
+
+def osm_triples(outlines: DataFrame) -> DataFrame:
+    """Outlines of owners, from rows (month, owner, osm_id, osm_type, wkt): only those with any field, keyed by type and id."""
+    known = outlines.where("osm_id IS NOT NULL OR osm_type IS NOT NULL OR wkt IS NOT NULL")
+    key = F.concat(F.lit("osm/"), F.concat_ws("_", "osm_type", "osm_id"))
+    own = facts(
+        known, "osm", key, uri("type", F.lit("OsmElement")), literal("label", F.concat_ws(" ", "osm_type", "osm_id")), literal("hasOsmType", F.col("osm_type")),
+        literal("hasOsmId", F.col("osm_id"), "xsd:integer"), literal("asWKT", F.col("wkt"), "geo:wktLiteral"),
+    )
+    return own.unionByName(facts(known, "osm", F.col("owner"), uri("hasOsmElement", key)))
+
+
+def claim_triples(claims: DataFrame) -> DataFrame:
+    """One-hop claims, from rows (month, s, p, o, o_kind, o_datatype, o_lang)."""
+    return claims.select(F.lit("ohg").alias("module"), "month", *TERM)
+
+
+def event_type_triples(types: DataFrame, labels: DataFrame) -> DataFrame:
+    """Events' classes and the classes' labels, from rows (month, event, types) and (entity_id, label)."""
+    each = types.select("month", "event", F.explode("types").alias("class"))
+    named = each.select("month", "class").distinct().join(labels.withColumnRenamed("entity_id", "class"), "class")
+    of = F.concat(F.lit("http://www.wikidata.org/entity/"), "class")
+    return facts(each, "base", F.col("event"), uri("hasWikidataEventType", of)).unionByName(facts(named, "base", of, literal("label", F.col("label"))))
+
+
+def news_triples(events: DataFrame) -> DataFrame:
+    """The linked news of parsed events: url type News, with the anchor's text as label."""
+    sources = F.transform("source_links", lambda x: F.struct(x["href"].alias("url"), x["text"].alias("label")))
+    refs = F.transform("refs", lambda x: F.struct(x["url"].alias("url"), x["anchor_text"].alias("label")))
+    each = events.select("month", F.inline(F.concat(sources, refs)))
+    return facts(each, "base", F.col("url"), uri("type", F.lit("News")), literal("label", F.col("label")))
+
+
+def from_bindings(rows: DataFrame, binding: str = "binding") -> DataFrame:
+    """Terms from JSON result bindings, a column of {type, value, datatype, xml:lang}: adds o, o_kind, o_datatype, o_lang; another type raises."""
+    kind = F.get_json_object(binding, "$.type")
+    known = F.when(kind == "uri", "uri").when(kind.isin("literal", "typed-literal"), "literal").when(kind == "bnode", "bnode")
+    bad = F.raise_error(F.concat(F.lit("unknown kind of term: "), F.coalesce(kind, F.lit("none")))).cast("string")
+    return rows.withColumns(
+        {
+            "o": F.get_json_object(binding, "$.value"), "o_kind": F.coalesce(known, bad),
+            "o_datatype": F.get_json_object(binding, "$.datatype"), "o_lang": F.get_json_object(binding, "$['xml:lang']"),
+        }
+    )

@@ -52,6 +52,6 @@ def test_types_come_from_the_nearest_level(spark):
     topics = make([("e1", "a"), ("e2", "b"), ("e3", "z")], "event string, topic string")
     types = make([("a", "X"), ("a", "Y"), ("p", "Z")], "topic string, class string")
     parents = make([("a", "p"), ("b", "p")], "topic string, parent string")
-    assert rows(enrich.event_types(types, parents, topics, levels=3)) == [("e1", ["X", "Y"]), ("e2", ["Z"])]
+    assert rows(enrich.event_types(types, parents, topics)) == [("e1", ["X", "Y"]), ("e2", ["Z"])]
     located = make([("e1", "n"), ("e1", "c"), ("e2", "n")], "event string, place string")
     assert rows(enrich.contained_places(located, make([("n", "c"), ("n", "n")], "place string, parent string"))) == [("e1", "n", "c")]
