@@ -17,6 +17,11 @@ def dms_to_decimal(text: Column) -> Column:
     return F.when(n.between(2, 4), value * sign)
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with value computed once for each row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def rings(wkt: Column) -> Column:
     """All rings of a WKT POLYGON or MULTIPOLYGON, holes too, as arrays of struct(x, y); a POINT is a ring of one; null stays null."""
     pair = lambda p: F.split(F.trim(p), r"\s+")
@@ -59,29 +64,41 @@ def _extent(shape: Column, c: str) -> tuple[Column, Column]:
 
 
 def box_area(wkt: Column) -> Column:
-    shape = rings(wkt)
-    (x0, x1), (y0, y1) = _extent(shape, "x"), _extent(shape, "y")
-    return (x1 - x0) * (y1 - y0)
+    def area(shape: Column) -> Column:
+        (x0, x1), (y0, y1) = _extent(shape, "x"), _extent(shape, "y")
+        return (x1 - x0) * (y1 - y0)
+
+    return _let(rings(wkt), area)
 
 
 def inner_point(wkt: Column) -> Column:
-    """struct(x, y) inside a shape: the middle of the widest inner stretch at half height (a POINT: itself).
+    """struct(x, y) inside a shape: the middle of the widest inner stretch among the lines halfway between corners' heights (a POINT: itself)."""
 
-    Should a corner lie at half height, the line is a little above it.
-    """
-    shape = rings(wkt)
-    edges = edges_of(shape)
-    low, high = _extent(shape, "y")
-    corners = F.transform(F.flatten(shape), lambda p: p["y"])
-    middle = (low + high) / 2
-    above = F.array_min(F.filter(corners, lambda v: v > middle))
-    y = F.when(F.array_contains(corners, middle), (middle + above) / 2).otherwise(middle)
-    xs = F.array_sort(F.transform(F.filter(edges, lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y)), lambda e: _crossing(e, y)))
-    places = F.sequence(F.lit(0), F.greatest((F.size(xs) / 2).cast("int") - 1, F.lit(0)))
-    spans = F.transform(places, lambda i: F.struct((F.get(xs, i * 2 + 1) - F.get(xs, i * 2)).alias("w"), ((F.get(xs, i * 2 + 1) + F.get(xs, i * 2)) / 2).alias("x")))
-    single = F.get(F.get(shape, F.lit(0)), F.lit(0))
-    found = F.struct(F.array_max(spans)["x"].alias("x"), y.alias("y"))
-    return F.when(F.size(F.flatten(shape)) == 1, F.struct(single["x"].alias("x"), single["y"].alias("y"))).otherwise(found)
+    def widest(xs: Column, y: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest((F.size(xs) / 2).cast("int") - 1, F.lit(0)))
+        spans = F.transform(places, lambda i: F.struct((F.get(xs, i * 2 + 1) - F.get(xs, i * 2)).alias("w"), ((F.get(xs, i * 2 + 1) + F.get(xs, i * 2)) / 2).alias("x")))
+        return _let(F.array_max(spans), lambda s: F.struct(s["w"].alias("w"), s["x"].alias("x"), y.alias("y")))
+
+    def at_height(edges: Column, y: Column) -> Column:
+        crossed = F.filter(edges, lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y))
+        return _let(F.array_sort(F.transform(crossed, lambda e: _crossing(e, y))), lambda xs: widest(xs, y))
+
+    def between(corners: Column) -> Column:
+        return F.zip_with(F.slice(corners, F.lit(1), F.size(corners) - 1), F.slice(corners, F.lit(2), F.size(corners) - 1), lambda a, b: (a + b) / 2)
+
+    def of(shape: Column) -> Column:
+        single = F.get(F.get(shape, F.lit(0)), F.lit(0))
+        heights = _let(F.array_sort(F.array_distinct(F.transform(F.flatten(shape), lambda p: p["y"]))), between)
+        best = _let(edges_of(shape), lambda edges: F.array_max(F.transform(heights, lambda y: at_height(edges, y))))
+        found = F.struct(best["x"].alias("x"), best["y"].alias("y"))
+        return F.when(F.size(F.flatten(shape)) == 1, F.struct(single["x"].alias("x"), single["y"].alias("y"))).otherwise(found)
+
+    return _let(rings(wkt), of)
+
+
+def _boxed(shape: Column) -> Column:
+    (x0, x1), (y0, y1) = _extent(shape, "x"), _extent(shape, "y")
+    return F.struct(edges_of(shape).alias("edges"), x0.alias("x0"), x1.alias("x1"), y0.alias("y0"), y1.alias("y1"))
 
 
 def points_in_regions(points: DataFrame, regions: DataFrame, cell: float = 0.25) -> DataFrame:
@@ -90,9 +107,9 @@ def points_in_regions(points: DataFrame, regions: DataFrame, cell: float = 0.25)
     Both sides meet on grid cells: a region is listed once for each cell of its
     bounding box, a point falls into one, and only those pairs are tested.
     """
-    shaped = regions.select("region", rings(F.col("wkt")).alias("shape_"))
-    span = lambda c: F.sequence(*[F.floor(v / cell) for v in _extent(F.col("shape_"), c)])
-    cells = shaped.select("region", edges_of(F.col("shape_")).alias("edges_"), F.explode(span("x")).alias("cx_"), "shape_")
+    shaped = regions.select("region", F.inline(F.array(_let(rings(F.col("wkt")), _boxed))))
+    span = lambda c: F.sequence(F.floor(F.col(f"{c}0") / cell), F.floor(F.col(f"{c}1") / cell))
+    cells = shaped.select("region", F.col("edges").alias("edges_"), "y0", "y1", F.explode(span("x")).alias("cx_"))
     cells = cells.select("region", "edges_", "cx_", F.explode(span("y")).alias("cy_"))
     placed = points.withColumns({"cx_": F.floor(F.col("x") / cell), "cy_": F.floor(F.col("y") / cell)})
     met = placed.join(cells, ["cx_", "cy_"]).where(within(F.col("x"), F.col("y"), F.col("edges_")))

@@ -1 +1,341 @@
-"""Registered queries over snapshot tables."""
+"""Registered queries over snapshot tables, metrics, page caches and map frames: each calls the library and has its SQL beside it."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from eventweave.functions import datetimes, geo, terms
+from eventweave.operators import closure, enrich, eventmap, metrics
+from eventweave.plans import extracted, graph
+from eventweave.plans.graph import table
+from eventweave.plans.registry import query
+from eventweave.sources import modules, pages, portal, triples
+
+WIKI = terms.WIKI
+ENTITY = extracted.ENTITY
+
+
+def _q(column, plus: int = 0):
+    return F.concat(F.lit("Q"), (F.col(column) + plus).cast("string"))
+
+
+def _asked(spark, sf_dir):
+    return table(spark, sf_dir, "nation").select(_q("n_nationkey", 1000).alias("entity_id"), "n_nationkey", "n_name", "n_regionkey")
+
+
+@query("SELECT 'Q' || (n_nationkey + 1000) AS entity_id, n_name AS label FROM nation WHERE n_nationkey % 5 > 0")
+def entity_labels(spark, sf_dir):
+    """English labels of entities; some have none."""
+    n = _asked(spark, sf_dir)
+    labels = n.where("n_nationkey % 5 > 0").select("entity_id", F.col("n_name").alias("label"), F.lit("en").alias("lang")).unionByName(n.select("entity_id", F.lower("n_name").alias("label"), F.lit("de").alias("lang")))
+    return enrich.labels_of(n.unionByName(n), labels)
+
+
+@query("SELECT 'Q' || (n_nationkey + 1000) AS entity_id, CASE WHEN n_nationkey % 4 > 0 THEN 'https://en.wikipedia.org/wiki/' || n_name END AS article_url FROM nation")
+def entity_articles(spark, sf_dir):
+    """Entities with their articles, null for known misses and unknown ones."""
+    n = _asked(spark, sf_dir)
+    known = n.where("n_nationkey % 4 <> 2").select("entity_id", F.when(F.col("n_nationkey") % 4 > 0, F.concat(F.lit(WIKI), "n_name")).alias("article_url"))
+    missed = n.where("n_nationkey % 4 = 2").select("entity_id", F.concat(F.lit(WIKI), "n_name").alias("article_url"))
+    return enrich.article_urls(n, known.unionByName(missed))
+
+
+@query("SELECT n_name || ' \"x\"' AS text, CASE WHEN n_nationkey % 2 = 0 THEN 'Q' || (n_nationkey + 1000) ELSE '' END AS wikidata, 0 AS dbpedia FROM nation")
+def linked_texts(spark, sf_dir):
+    """Texts with the entities that the linker's table has for them, cleaned alike on both sides."""
+    n = _asked(spark, sf_dir)
+    links = n.where("n_nationkey % 2 = 0").select(F.concat("n_name", F.lit(" x")).alias("text"), F.array(F.concat(F.lit(ENTITY), "entity_id")).alias("wikidata"), F.array().cast("array<string>").alias("dbpedia"))
+    found = enrich.linked_entities(n.select(F.concat("n_name", F.lit(' "x"')).alias("text")), links)
+    return found.select("text", F.coalesce(enrich.entity_id(F.get("wikidata", F.lit(0))), F.lit("")).alias("wikidata"), F.size("dbpedia").alias("dbpedia"))
+
+
+@query("SELECT 'https://en.wikipedia.org/wiki/Supplier_' || s_suppkey AS canonical, 'https://en.wikipedia.org/wiki/' || n_name AS place FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_nationkey % 3 < 2 AND n_nationkey % 2 = 0")
+def places_by_text(spark, sf_dir):
+    """Articles' location texts through linked entities and their articles to places."""
+    n = _asked(spark, sf_dir).where("n_nationkey % 2 = 0")
+    links = n.select(F.concat("n_name", F.lit(", coast")).alias("text"), F.array(F.concat(F.lit(ENTITY), "entity_id")).alias("wikidata"), F.array().cast("array<string>").alias("dbpedia"))
+    sites = n.select("entity_id", F.concat(F.lit(WIKI), "n_name").alias("article_url"))
+    return enrich.location_chain(extracted.known_articles(spark, sf_dir), links, sites)
+
+
+@query("SELECT 'https://en.wikipedia.org/wiki/' || n_name AS canonical, CASE WHEN n_nationkey % 5 > 0 THEN n_name END AS label, 'Q' || (r_regionkey + 1) || '=locatedIn' AS parents, 'relation/' || n_nationkey AS outline FROM nation JOIN region ON r_regionkey = n_regionkey")
+def articles_with_services(spark, sf_dir):
+    """Articles with what the entity services know: label, parent locations with their relations, outline ids."""
+    n = _asked(spark, sf_dir)
+    labels = enrich.labels_of(n, n.where("n_nationkey % 5 > 0").select("entity_id", F.col("n_name").alias("label"), F.lit("en").alias("lang")))
+    claims = n.select(F.col("entity_id").alias("s"), F.lit("locatedIn").alias("p"), _q("n_regionkey", 1).alias("o"), F.lit("uri").alias("o_kind"))
+    props = spark.createDataFrame([("locatedIn", "location")], "property string, parent string")
+    parents = enrich.parent_locations(n, claims, props, props.select("property", F.col("property").alias("predicate")))
+    ids = enrich.osm_ids(n, n.select(F.concat(F.lit(ENTITY), "entity_id").alias("entity_uri"), F.col("n_nationkey").cast("string").alias("osmrelid"), F.lit(None).cast("string").alias("osmobj")))
+    own = extracted.known_articles(spark, sf_dir).where(~F.col("canonical").contains("Supplier_"))
+    found = enrich.with_services(own, labels, parents, ids)
+    relations = F.array_join(F.transform(F.map_entries("location"), lambda e: F.concat_ws("=", e["key"], F.array_join(e["value"], "+"))), ",")
+    return found.select("canonical", "label", relations.alias("parents"), F.concat(F.lit("relation/"), F.get("relations", F.lit(0))).alias("outline"))
+
+
+@query("SELECT n_name AS text, CASE WHEN n_nationkey % 3 > 0 THEN 'relation' END AS osm_type, CASE WHEN n_nationkey % 3 > 0 THEN CAST(n_nationkey AS VARCHAR) END AS osm_id FROM nation")
+def geocoded_texts(spark, sf_dir):
+    """Texts looked up by what was asked, the first answer counting."""
+    n = _asked(spark, sf_dir)
+    hit = n.where("n_nationkey % 3 > 0").select(F.col("n_name").alias("query_key"), F.col("n_nationkey").cast("string").alias("osm_id"), F.lit("relation").alias("osm_type"), F.lit("POINT (1 1)").alias("wkt"))
+    more = hit.withColumn("osm_id", F.concat("osm_id", F.lit("zz")))
+    return enrich.geocoded_text(n.select(F.col("n_name").alias("text")), hit.unionByName(more)).select("text", "osm_type", "osm_id")
+
+
+@query(extracted.ORDERS + "SELECT id, 'https://en.wikipedia.org/wiki/' || n AS url, CASE WHEN n IN (SELECT n_name FROM nation) THEN 'Q' || (nk + 1000) END AS entity, nk % 3 < 2 AS is_place FROM w")
+def links_resolved(spark, sf_dir):
+    """First sentences' links with the articles that they lead to."""
+    links = enrich.article_links(portal.portal_events(extracted.parsed(spark, sf_dir))).where("sentence = 0")
+    found = enrich.resolved(links, extracted.known_articles(spark, sf_dir))
+    return found.select(terms.event_id(F.col("date"), F.col("event_index")).alias("id"), "url", enrich.entity_id(F.col("entity")).alias("entity"), "is_place")
+
+
+@query(extracted.ORDERS + "SELECT count(*) FILTER (nk % 3 < 2) AS events_with, 0 AS events_with_more, 0 AS sentences_with_more FROM w")
+def location_counters(spark, sf_dir):
+    """Events that name a place, more than one, and sentences that name more than one."""
+    links = enrich.article_links(portal.portal_events(extracted.parsed(spark, sf_dir)))
+    return enrich.location_counts(links, extracted.known_articles(spark, sf_dir).where("is_place").select("url"))
+
+
+@query(extracted.ORDERS + "SELECT id, u || n AS place_url FROM w WHERE nk % 3 < 2")
+def flat_located_events(spark, sf_dir):
+    """Flat rows of events with the first place that they name, by way of a JSON-lines file."""
+    events = portal.portal_events(extracted.parsed(spark, sf_dir))
+    places = extracted.known_articles(spark, sf_dir).where("is_place").select("url")
+    path = extracted._shared(spark, f"located-{abs(hash(sf_dir))}")
+    enrich.save_locations(enrich.events_with_location(enrich.article_links(events), events, places), path)
+    back = spark.read.schema("date date, event_index int, text string, place_url string").json(path)
+    return back.select(terms.event_id(F.col("date"), F.col("event_index")).alias("id"), "place_url")
+
+
+DATE_FORMS = [
+    ("MMMM d, yyyy", None, None, None), ("MMMM d,yyyy", None, None, None), ("MMMM d/yyyy", None, None, None), ("MMMM/d/yyyy", None, None, None), ("d MMMM yyyy", None, None, None), ("MMMM d yyyy", None, None, "none"),
+    ("MMMM d, yyyy", " - ", "MMMM d, yyyy", None), ("d MMMM yyyy", " until ", "d MMMM yyyy", None), ("MMMM d, yyyy", " – ", "present", "open"), ("d MMMM yyyy", " to ", "ongoing", "open"),
+    ("MMMM d", " - ", "MMMM d, yyyy", "year"), ("d MMMM", "-", "d MMMM yyyy", "year"), ("MMMM d", "-", "d, yyyy", "month"), ("d", " - ", "d MMMM yyyy", "month"),
+]
+
+
+@query("""WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_orderkey % 14 AS INT) AS k FROM orders),
+x AS (SELECT *, CASE WHEN k IN (6, 7) THEN d + 40 WHEN k IN (10, 11) THEN CASE WHEN year(d + 40) = year(d) THEN d + 40 ELSE d END WHEN k IN (12, 13) THEN CASE WHEN month(d + 3) = month(d) THEN d + 3 ELSE d END END AS e FROM o)
+SELECT o_orderkey, CASE WHEN k <> 5 THEN d END AS date, e AS until, CASE WHEN k <> 5 THEN k IN (8, 9) END AS ongoing FROM x""")
+def date_forms(spark, sf_dir):
+    """All forms of dates and spans, written out and read back; month first needs a comma or slash before the year."""
+    d, k = F.to_date("o_orderdate"), F.col("o_orderkey") % len(DATE_FORMS)
+    same = lambda part, days: F.when(part(F.date_add(d, days)) == part(d), F.date_add(d, days)).otherwise(d)
+    cases = None
+    for i, (first, between, second, kind) in enumerate(DATE_FORMS):
+        end = F.date_add(d, 40) if kind is None else same(F.year, 40) if kind == "year" else same(F.month, 3)
+        written = F.date_format(d, first)
+        if between:
+            written = F.concat(written, F.lit(between), F.lit(second) if kind == "open" else F.date_format(end, second))
+        cases = F.when(k == i, written) if cases is None else cases.when(k == i, written)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", datetimes.parse_dates(cases).alias("x"))
+    return rows.select("o_orderkey", "x.date", "x.until", "x.ongoing")
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN TIMESTAMP '2020-02-01' + to_days(CAST(p_size AS INT)) END AS day, p_partkey % 2 = 0 AS is_iso FROM part")
+def microformats(spark, sf_dir):
+    """yyyy-mm-dd anywhere in a text; a year alone is no date; and ISO stamps read as times."""
+    day = F.date_format(F.date_add(F.lit("2020-02-01").cast("date"), F.col("p_size")), "yyyy-MM-dd")
+    text = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("from "), day, F.lit(" on"))).otherwise("2020")
+    iso = F.when(F.col("p_partkey") % 2 == 0, F.concat(day, F.lit("T10:20:30"))).otherwise("soon")
+    return table(spark, sf_dir, "part").select("p_partkey", datetimes.microformat_date(text).cast("timestamp").alias("day"), datetimes.iso_timestamp(iso).isNotNull().alias("is_iso"))
+
+
+@query("SELECT page_id, md5(html) AS digest FROM pages")
+def page_cache(spark, sf_dir):
+    """Pages kept as zstd bytes and read back."""
+    p = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("key"), "html")
+    return pages.unpacked_table(pages.packed_table(p)).select(F.col("key").cast("long").alias("page_id"), F.md5("html").alias("digest"))
+
+
+@query(extracted.ORDERS + "SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n FROM w WHERE day BETWEEN DATE '1996-01-20' AND DATE '1996-03-05' AND i = 1 GROUP BY ALL")
+def sampled_day_span(spark, sf_dir):
+    """From the 20th of one month to the 5th of another, the second event of each day."""
+    e = portal.portal_events(extracted.parsed(spark, sf_dir).join(datetimes.month_range(spark, "1996-01", "1996-03").select(F.col("name").alias("m")), F.get("events", F.lit(0))["month"] == F.col("m"), "left_semi"))
+    days = pages.sample(pages.in_days(e, "1996-01-20", "1996-03-05"), "event_index", 1)
+    return days.groupBy(F.date_format("date", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT n_nationkey AS k, CASE WHEN n_nationkey < 10 THEN n_name ELSE lower(n_name) END AS label, 'filled' AS mode FROM nation UNION ALL SELECT n_nationkey, lower(n_name), 'forced' FROM nation")
+def service_refresh(spark, sf_dir):
+    """A service's table filled up where keys were missing, and replaced where all are asked anew."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("label"))
+    known, fresh = n.where("k < 10"), n.select("k", F.lower("label").alias("label"))
+    return pages.refresh(known, fresh, ["k"]).withColumn("mode", F.lit("filled")).unionByName(pages.refresh(known, fresh, ["k"], force=True).withColumn("mode", F.lit("forced")))
+
+
+@query(extracted.ORDERS + "SELECT count(*) AS events, count(DISTINCT n) AS nations FROM w")
+def merged_dataset(spark, sf_dir):
+    """All months' base modules as one dataset: events are of one month, topics and articles of many."""
+    whole = modules.merged(extracted.built(spark, sf_dir)).where("month = 'dataset' AND module = 'base'")
+    of = lambda kind, prefix: F.count_if((F.col("p") == "type") & (F.col("o") == kind) & F.col("s").startswith(prefix))
+    suppliers = F.count_if((F.col("p") == "type") & (F.col("o") == "WikipediaArticle") & F.col("s").contains("Supplier_"))
+    return whole.agg(of("NewsSummary", "event/").alias("events"), (of("WikipediaArticle", "article/") - suppliers).alias("nations"))
+
+
+@query("SELECT 'ib-country' AS class, count(*) AS n FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT 'infobox', (SELECT count(*) FROM nation) + (SELECT count(*) FROM supplier) UNION ALL SELECT 'vevent', count(*) FROM supplier")
+def infobox_classes(spark, sf_dir):
+    """How often each infobox class occurs, counted by part and merged, the most frequent first."""
+    a = extracted.known_articles(spark, sf_dir).select(F.col("canonical").contains("Supplier_").alias("part"), F.explode("classes").alias("class"))
+    return metrics.merged_histograms(a.groupBy("part", "class").agg(F.count("*").alias("n")), ["class"])
+
+
+@query("""WITH d AS (SELECT n_chars > 1000 AS a, lang = 'en' AS b, source IS NOT NULL AND length(source) % 2 = 0 AS c, quality = 1 AS t FROM labels JOIN documents USING (doc_id)),
+l AS (SELECT t, unnest(['a', 'b', 'c', 'a_or_b', 'a_or_c', 'b_or_c', 'a_or_b_or_c']) AS predicate, unnest([a, b, c, a OR b, a OR c, b OR c, a OR b OR c]) AS s FROM d),
+m AS (SELECT predicate, 5 + count(*) FILTER (s AND t) AS tp, count(*) FILTER (s AND NOT t) AS fp, count(*) FILTER (NOT s AND t) AS fn, 7 + count(*) FILTER (NOT s AND NOT t) AS tn FROM l GROUP BY ALL)
+SELECT predicate, tp, fp, fn, tn, tp + fn AS support, round(2 * tp / (2 * tp + fp + fn), 9) AS f1 FROM m""")
+def classifier_scores(spark, sf_dir):
+    """Three flags and their four alternatives against a truth, with 5 true and 7 false cases that nobody listed."""
+    d = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") > 1000).alias("a"), (F.col("lang") == "en").alias("b"), (F.col("source").isNotNull() & (F.length("source") % 2 == 0)).alias("c"))
+    x = metrics.with_alternatives(table(spark, sf_dir, "labels").join(d, "doc_id").withColumn("truth", F.col("quality") == 1), ["a", "b", "c"])
+    m = metrics.confusion(x, "truth", ["a", "b", "c", "a_or_b", "a_or_c", "b_or_c", "a_or_b_or_c"], 5, 7)
+    return m.select("predicate", "tp", "fp", "fn", "tn", "support", F.round("f1", 9).alias("f1"))
+
+
+@query("SELECT n_nationkey % 3 < 2 AS is_place, count(*) AS n FROM nation WHERE n_nationkey >= 5 GROUP BY ALL")
+def unlisted_articles(spark, sf_dir):
+    """Articles by place flag without the names that a list has."""
+    a = extracted.known_articles(spark, sf_dir).where(~F.col("canonical").contains("Supplier_"))
+    return metrics.unlisted_counts(a.unionByName(a), table(spark, sf_dir, "nation").where("n_nationkey < 5").select(F.col("n_name").alias("name")))
+
+
+@query("SELECT user_id AS name, arg_max(event_type = 'click', event_id) AS flag FROM events GROUP BY ALL")
+def last_log_records(spark, sf_dir):
+    """A classifier's log: of each name's JSON lines the last one counts."""
+    path = extracted._shared(spark, f"log-{abs(hash(sf_dir))}")
+    e = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.col("user_id").alias("name"), (F.col("event_type") == "click").alias("flag"))).alias("value"))
+    e.coalesce(1).sortWithinPartitions("event_id").select("value").write.mode("overwrite").text(path)
+    return metrics.last_records(metrics.scan_lines(spark, path, "name long, flag boolean")).select("name", "flag")
+
+
+@query("SELECT CAST(ts AS DATE) AS day, count(*) AS events, 0 AS absent, round(sum(value), 3) AS seconds, round(sum(value) / 60, 4) AS minutes FROM events GROUP BY ALL")
+def metrics_files(spark, sf_dir):
+    """Daily metrics written as files and read under a schema: what a file lacks is 0; times also in minutes."""
+    path = extracted._shared(spark, f"metrics-{abs(hash(sf_dir))}")
+    days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("events"), F.sum("value").alias("wait_s"), F.lit(9).alias("debug"))
+    metrics.save_metrics(days, path, development=("debug",))
+    m = metrics.in_units(metrics.load_metrics(spark, path, "day date, events long, absent long, debug long, wait_s double"))
+    return m.where("debug = 0").select("day", "events", "absent", F.round("wait_s", 3).alias("seconds"), F.round("wait_min", 4).alias("minutes"))
+
+
+@query("SELECT user_id, count(*) AS n FROM (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events) WHERE before IS NULL OR before <> event_type GROUP BY ALL")
+def runs_of_types(spark, sf_dir):
+    """Events in order without those of the same type as the one before, counted by user."""
+    return metrics.without_repeats(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], "event_type").groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+@query(extracted.ORDERS + "SELECT count(DISTINCT 'Order ' || k) AS texts, count(DISTINCT j) FILTER (j IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 4 = 1)) AS link_texts FROM w")
+def distinct_texts(spark, sf_dir):
+    """Distinct texts of events, and of links to entities of one class."""
+    t = extracted._graph(spark, sf_dir)
+    texts = t.where(F.col("s").startswith("event/") & (F.col("p") == "label")).agg(F.count_distinct("o").alias("texts"))
+    phrase = t.where("p = 'wikipediaArticle'").select(F.col("s").alias("phrase"), F.col("o").alias("article"))
+    kind = t.where(F.col("p") == "sameAs").select(F.col("s").alias("article"), F.col("o").alias("e")).join(t.where((F.col("p") == "P31") & (F.col("o") == ENTITY + "Q501")).select(F.col("s").alias("e")), "e")
+    anchors = t.where("p = 'anchorOf'").select(F.col("s").alias("phrase"), F.col("o").alias("text"))
+    return texts.crossJoin(phrase.join(kind, "article").join(anchors, "phrase").agg(F.count_distinct("text").alias("link_texts")))
+
+
+def _daily(spark, sf_dir):
+    """(wkt, day, n) from orders: a box for each region."""
+    o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    day, box = F.to_date("o_orderdate").alias("day"), F.concat(F.lit("box"), F.col("n_regionkey")).alias("wkt")
+    rows = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("o_orderkey").alias("event"), day, box)
+    return eventmap.daily_counts(rows)
+
+
+DAILY = "WITH x AS (SELECT 'box' || n_regionkey AS wkt, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL) "
+
+
+@query(DAILY + "SELECT wkt, sum(n) AS total, round(log10(sum(n)), 9) AS log_total FROM x GROUP BY ALL")
+def outline_totals(spark, sf_dir):
+    """Events by outline over all days, with logarithms."""
+    t = eventmap.with_logs(eventmap.row_sums(_daily(spark, sf_dir)), "total")
+    return t.select("wkt", "total", F.round("log_total", 9).alias("log_total"))
+
+
+@query(DAILY + ", m AS (SELECT strftime(day, '%Y-%m') AS month, max(n) AS most FROM x GROUP BY ALL) SELECT month, most, (SELECT max(most) FROM m) AS most_of_all FROM m")
+def frame_maxima(spark, sf_dir):
+    """Each month's largest count and that of all months, which the frames' colours share."""
+    return eventmap.frame_maximum(_daily(spark, sf_dir).withColumn("month", F.date_format("day", "yyyy-MM")), ["month"])
+
+
+@query(DAILY + "SELECT wkt, CAST(row_number() OVER (ORDER BY min(day), wkt) - 1 AS BIGINT) AS geometry FROM x GROUP BY wkt")
+def outline_numbers(spark, sf_dir):
+    """Outlines numbered by the day they are first seen."""
+    return eventmap.geometry_ids(_daily(spark, sf_dir)).select("wkt", F.col("geometry").cast("long").alias("geometry"))
+
+
+def _shapes(spark, sf_dir):
+    """Each supplier's box inside its nation's, inside its region's; nations' shapes have a hole and a second part."""
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    box = lambda x0, y0, x1, y1: F.concat(F.lit("(("), *_corners(x0, y0, x1, y1), F.lit("))"))
+    k = F.col("n_nationkey")
+    region = n.select(F.concat(F.lit("r"), "n_regionkey").alias("area"), (F.col("n_regionkey") * 100).alias("y")).distinct()
+    region = region.select("area", F.concat(F.lit("POLYGON "), box(F.lit(-1), F.col("y") - 1, F.lit(200), F.col("y") + 98)).alias("wkt"))
+    y = F.col("n_regionkey") * 100
+    outer, hole, other = (F.concat(F.lit("("), *_corners(a, b, c, d), F.lit(")")) for a, b, c, d in ((k * 7, y, k * 7 + 6, y + 6), (k * 7 + 4, y + 1, k * 7 + 5, y + 2), (k * 7, y + 8, k * 7 + 1, y + 9)))
+    nation = n.select(F.concat(F.lit("n"), k).alias("area"), F.concat(F.lit("MULTIPOLYGON (("), outer, F.lit(", "), hole, F.lit("), ("), other, F.lit("))")).alias("wkt"))
+    j = s.join(n, s.s_nationkey == n.n_nationkey)
+    x, yy = k * 7 + F.when(F.col("s_suppkey") % 2 == 0, 1.0).otherwise(4.25), y + F.when(F.col("s_suppkey") % 2 == 0, 1.0).otherwise(1.25)
+    shop = j.select(F.concat(F.lit("s"), "s_suppkey").alias("area"), F.concat(F.lit("POINT ("), x.cast("string"), F.lit(" "), yy.cast("string"), F.lit(")")).alias("wkt"))
+    return region.unionByName(nation).unionByName(shop)
+
+
+def _corners(x0, y0, x1, y1):
+    at = lambda x, y: [x.cast("string"), F.lit(" "), y.cast("string")]
+    sep = F.lit(", ")
+    return [*at(x0, y0), sep, *at(x1, y0), sep, *at(x1, y1), sep, *at(x0, y1), sep, *at(x0, y0)]
+
+
+@query("SELECT 'r' || n_regionkey AS src, 'n' || n_nationkey AS dst FROM nation UNION ALL SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'n' || n_nationkey ELSE 'r' || n_regionkey END, 's' || s_suppkey FROM supplier JOIN nation ON n_nationkey = s_nationkey")
+def containment_tree(spark, sf_dir):
+    """Which area directly holds which: points in a nation's hole belong to the region alone."""
+    return eventmap.containment_tree(_shapes(spark, sf_dir), cell=10.0)
+
+
+@query("SELECT 'n' || n_nationkey AS area, TRUE AS inside, (n_regionkey * 100 + 9 - n_regionkey * 100) * 6 AS box FROM nation")
+def inner_points(spark, sf_dir):
+    """A point inside each shape of two parts with a hole, and the area of its box."""
+    s = _shapes(spark, sf_dir).where(F.col("area").startswith("n"))
+    p = geo.inner_point(F.col("wkt"))
+    inside = geo.within(F.col("p.x"), F.col("p.y"), geo.edges_of(geo.rings(F.col("wkt"))))
+    return s.withColumn("p", p).select("area", inside.alias("inside"), F.round(geo.box_area(F.col("wkt"))).cast("long").alias("box"))
+
+
+@query("SELECT CAST(n_regionkey AS VARCHAR) AS graph, n_name AS src, c_name AS dst, CAST(min(o_orderdate) AS DATE) AS day FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL UNION ALL SELECT CAST(n_regionkey AS VARCHAR), 'root', n_name, CAST(min(o_orderdate) AS DATE) FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL")
+def acyclic_topic_tree(spark, sf_dir):
+    """Labels as a graph for each region, made acyclic by date, reduced and pruned: what the tables hold is a tree, and shortcuts added to it go."""
+    o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    rows = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    pairs = rows.select(F.col("n_regionkey").cast("string").alias("graph"), F.col("n_name").alias("parent"), F.col("c_name").alias("topic"), F.to_date("o_orderdate").alias("day"))
+    loops = pairs.select("graph", "parent", F.col("parent").alias("topic"), F.lit("1990-01-01").cast("date").alias("day"))
+    back = pairs.select("graph", F.col("topic").alias("parent"), F.col("parent").alias("topic"), F.lit("2030-01-01").cast("date").alias("day"))
+    whole = closure.label_graph(pairs, "root")
+    return closure.topic_trees(whole.unionByName(closure.label_graph(loops.unionByName(back), "root").where("src <> 'root'")), "root")
+
+
+@query("SELECT n_nationkey AS k, CASE n_nationkey % 3 WHEN 0 THEN 'uri' WHEN 1 THEN 'literal' ELSE 'bnode' END AS o_kind, n_name AS o, CASE WHEN n_nationkey % 3 = 1 THEN 'de' END AS o_lang FROM nation")
+def result_terms(spark, sf_dir):
+    """Terms read from JSON result bindings."""
+    kind = F.element_at(F.array(F.lit("uri"), F.lit("literal"), F.lit("bnode")), F.col("n_nationkey") % 3 + 1)
+    lang = F.when(F.col("n_nationkey") % 3 == 1, "de")
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.to_json(F.struct(kind.alias("type"), F.col("n_name").alias("value"), lang.alias("xml:lang"))).alias("binding"))
+    return triples.from_bindings(rows).select("k", "o_kind", "o", "o_lang")
+
+
+@query("SELECT n_nationkey AS k, n_name AS plain, CASE WHEN n_nationkey % 2 = 0 THEN '1_9' END AS span, 'May_2020' AS month, 'osm' AS module FROM nation")
+def stripped_and_split(spark, sf_dir):
+    """White space and colons gone at both ends, and module files' names taken apart."""
+    odd = F.concat(F.lit("  :\n"), "n_name", F.lit(": \t"))
+    name = F.concat(F.lit("file:/a/b_c/"), F.when(F.col("n_nationkey") % 2 == 0, "1_9_").otherwise(""), F.lit("May_2020_osm.jsonld/part-0.txt"))
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), terms.strip(odd, ":").alias("plain"), modules.name_parts(name).alias("x")).select("k", "plain", "x.span", "x.month", "x.module")
+
+
+@query("SELECT topic, article, count(*) AS n FROM (SELECT 'topic/customer/' || c_custkey AS topic, NULL AS article FROM customer UNION ALL SELECT 'topic/nation/' || n_nationkey, 'article/nation/' || n_nationkey FROM nation) GROUP BY ALL ORDER BY topic LIMIT 20")
+def sparql_ordered_top(spark, sf_dir):
+    """ORDER BY and LIMIT in query text: the first topics by name, optional articles, in a group that begins with an optional part."""
+    from eventweave.plans.sparql import sparql
+
+    t = graph.topics(spark, sf_dir).where("s NOT LIKE 'topic/region/%'")
+    return sparql(t, "SELECT ?topic ?article (COUNT(*) AS ?n) WHERE { OPTIONAL { ?x no_such_predicate ?y } ?topic label ?l OPTIONAL { ?topic article ?article } } GROUP BY ?topic ?article ORDER BY ?topic LIMIT 20")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 def article_key(url: Column) -> Column:
@@ -16,7 +17,7 @@ def article_key(url: Column) -> Column:
     return F.get(F.split(url, "/"), F.lit(4))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _plain(content: pd.Series) -> pd.Series:
     import zstandard
 
@@ -24,7 +25,7 @@ def _plain(content: pd.Series) -> pd.Series:
     return content.map(lambda b: None if b is None else reader.stream_reader(b).read().decode("utf-8", "replace"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _packed(text: pd.Series) -> pd.Series:
     import zstandard
 
