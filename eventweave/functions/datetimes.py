@@ -59,13 +59,15 @@ def month_number(name: Column) -> Column:
 
 def parse_dates(text: Column) -> Column:
     """struct(date, until, ongoing), or null where no pattern gives a calendar date."""
-    value = plain_dashes(text)
+    return _let(plain_dashes(text), _dates)
 
+
+def _dates(value: Column) -> Column:
     def attempt(pattern: str, parts: str) -> Column:
         # all groups of the first match by one replacement, each after a mark; without a match nothing begins with the mark
         groups = F.regexp_replace(value, f"(?Us)^.*?{pattern}.*$", "".join(f"{MARK}${i + 1}" for i in range(len(parts))))
 
-        def judge(found: Column) -> Column:
+        def judge(found: Column) -> Column:  # the text's parts at the marks; one part where nothing matched
             def group(part: str) -> Column:
                 return F.get(found, F.lit(parts.index(part) + 1))
 
@@ -79,7 +81,7 @@ def parse_dates(text: Column) -> Column:
             good = first.isNotNull() & (second.isNotNull() if "D" in parts else F.lit(True))
             return F.when(good, F.struct(first.alias("date"), second.alias("until"), F.lit("o" in parts).alias("ongoing")))
 
-        return F.when(F.startswith(groups, F.lit(MARK)), _let(F.split(groups, MARK), judge))
+        return _let(F.split(groups, MARK), lambda found: F.when(F.size(found) == len(parts) + 1, judge(found)))
 
     return F.coalesce(*[attempt(p, parts) for p, parts in _grammar()])
 
@@ -105,7 +107,10 @@ def _minutes(hour: Column, minute: Column, half: Column) -> Column:
 
 def parse_times(text: Column) -> Column:
     """struct(start_minute, end_minute, offset_minutes), or null without a clock time."""
-    value = plain_dashes(text)
+    return _let(plain_dashes(text), _times)
+
+
+def _times(value: Column) -> Column:
     both = rf"(?i){CLOCK}(?:[^\d:]{{0,3}}?\s*(?:-|and|to)\s*{CLOCK})?"
     group = lambda i: F.regexp_extract(value, both, i)
     start = _minutes(group(1), group(2), group(3))
@@ -122,10 +127,14 @@ def combine(dates: Column, times: Column) -> Column:
     def at(day: Column, minute: Column) -> Column:
         return F.timestamp_add("MINUTE", minute, day.cast("timestamp_ntz"))
 
-    single = dates["until"].isNull() & ~dates["ongoing"] & times.isNotNull()
-    start = F.when(single, at(dates["date"], times["start_minute"])).otherwise(dates["date"].cast("timestamp_ntz"))
-    until = F.when(single, at(dates["date"], times["end_minute"])).otherwise(dates["until"].cast("timestamp_ntz"))
-    return F.when(dates.isNotNull(), F.struct(start.alias("start"), until.alias("until"), dates["ongoing"].alias("ongoing")))
+    def both(x: Column) -> Column:
+        d, t = x["d"], x["t"]
+        single = d["until"].isNull() & ~d["ongoing"] & t.isNotNull()
+        start = F.when(single, at(d["date"], t["start_minute"])).otherwise(d["date"].cast("timestamp_ntz"))
+        until = F.when(single, at(d["date"], t["end_minute"])).otherwise(d["until"].cast("timestamp_ntz"))
+        return F.when(d.isNotNull(), F.struct(start.alias("start"), until.alias("until"), d["ongoing"].alias("ongoing")))
+
+    return _let(F.struct(dates.alias("d"), times.alias("t")), both)
 
 
 def fill_timespan(microformats: Column, rows: Column) -> Column:
@@ -135,16 +144,19 @@ def fill_timespan(microformats: Column, rows: Column) -> Column:
     keeps the ongoing flag out; a start alone is its own end unless ongoing.
     """
     none = F.lit(None).cast("timestamp_ntz")
-    begin = F.struct(F.coalesce(microformats["dtstart"], none).alias("start"), F.coalesce(microformats["dtend"], none).alias("until"), F.lit(False).alias("ongoing"))
+    begin = _let(microformats, lambda m: F.struct(F.coalesce(m["dtstart"], none).alias("start"), F.coalesce(m["dtend"], none).alias("until"), F.lit(False).alias("ongoing")))
 
     def step(a: Column, r: Column) -> Column:
         ongoing = a["ongoing"] | (r["ongoing"] & a["until"].isNull())
         until = F.coalesce(a["until"], F.when(~ongoing, r["until"]))
         return F.struct(F.coalesce(a["start"], r["start"]).alias("start"), until.alias("until"), ongoing.alias("ongoing"))
 
-    filled = F.aggregate(F.coalesce(rows, F.array().cast("array<struct<start:timestamp_ntz,until:timestamp_ntz,ongoing:boolean>>")), begin, step)
-    end = F.when(filled["until"].isNull() & ~filled["ongoing"], filled["start"]).otherwise(filled["until"])
-    return F.struct(filled["start"].alias("start"), end.alias("until"), filled["ongoing"].alias("ongoing"))
+    def closed(x: Column) -> Column:
+        end = F.when(x["until"].isNull() & ~x["ongoing"], x["start"]).otherwise(x["until"])
+        return F.struct(x["start"].alias("start"), end.alias("until"), x["ongoing"].alias("ongoing"))
+
+    empty = F.array().cast("array<struct<start:timestamp_ntz,until:timestamp_ntz,ongoing:boolean>>")
+    return _let(F.aggregate(F.coalesce(rows, empty), begin, step), closed)
 
 
 def month_range(spark, first: str, last: str):
