@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.llm.common import saved, ship, table
+from eventweave.llm.common import saved, scratch, ship, table
 from eventweave.llm.components import components
 
 SHINGLE = 4
@@ -282,6 +282,19 @@ def links(fps: DataFrame, threshold: int = THRESHOLD, tile: int = TILE) -> DataF
     return found.where("kind = 0").select("u", "v").unionByName(_tiled(members, hot, tile, threshold)).distinct()
 
 
+def classes(rows: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """(rid, doc_id, fp, class) for every row of ``rows`` (rid, doc_id, text); equal classes are one group."""
+    ship(rows.sparkSession)
+    keyed = rows.select("rid", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    id_type = keyed.schema["doc_id"].dataType.simpleString()
+    with scratch(rows.sparkSession) as keep:
+        prints = saved(keyed.mapInArrow(lambda it: fingerprints_of(it, shingle), f"rid long, doc_id {id_type}, fp long"), "fingerprints")
+        roots = saved(components(links(prints.select("fp").distinct(), threshold)), "fingerprint-roots")
+        # most fingerprints have no link; those that have lead to their root
+        found = prints.join(roots, F.col("fp") == F.col("node"), "left").select("rid", "doc_id", "fp", F.coalesce("root", "fp").alias("class"))
+        return keep(saved(found, "classes"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -290,32 +303,28 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     and never names a group; a group of such rows alone has component_id null.
     Repeated rows are all returned.
     """
-    ship(docs.sparkSession)
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    id_type = keyed.schema["doc_id"].dataType.simpleString()
-    prints = saved(keyed.mapInArrow(lambda it: fingerprints_of(it, shingle), f"doc_id {id_type}, fp long"), "fingerprints")
-    groups = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = saved(components(links(groups.select("fp"), threshold)), "fingerprint-roots")
-    rooted = groups.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    rows = docs.select(F.lit(0).cast("long").alias("rid"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    classed = classes(rows, shingle, threshold)
+    # written first, so that the join deals both sides anew and Spark can split a class of very many rows
+    least = saved(classed.groupBy("class").agg(F.min("doc_id").alias("component_id")), "class-ids")
+    named = classed.join(least, "class")
+    return named.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, grouped=near_duplicates) -> DataFrame:
-    """``docs`` (with doc_id and text) without all but one row of each group: the row with the group's smallest doc_id.
+def keep_one(docs: DataFrame, classed=classes) -> DataFrame:
+    """``docs`` (with doc_id and text) without all but one row of each group: a row with the group's smallest doc_id.
 
-    ``grouped`` gives each row of ``docs`` its doc_id and component_id.
-    Rows whose doc_id is null stay only where their group has no other row.
+    ``classed`` gives rows (rid, doc_id, text) their class. Rows are told apart
+    by a number of their own, so two rows with one doc_id, or with none, are two
+    rows. A row whose doc_id is null stays only where no row of its group has one.
     """
-    columns = docs.columns
-    judged = saved(grouped(docs).select("doc_id", "component_id"), "groups")
-    leaders = judged.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    lone = judged.where("doc_id IS NULL AND component_id IS NULL").count()
-    if lone:
-        kept = kept.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
-    return kept.select(*columns)
+    numbered = saved(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row_")), "numbered")
+    with scratch(docs.sparkSession) as keep:
+        judged = classed(numbered.select("rid", F.col("row_.doc_id").alias("doc_id"), F.col("row_.text").alias("text")))
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
+        kept = keep(saved(judged.groupBy("class").agg(first.alias("first")).select("first.rid"), "kept-rows"))
+    # both sides grow with the corpus, so it is a sort-merge join at any size
+    return numbered.join(kept.hint("merge"), "rid", "left_semi").select("row_.*")
 
 
 def op2_simhash_near_dedup(spark, sf_dir):

@@ -1,7 +1,11 @@
 import random
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from eventweave.llm import near_copies, simhash
+from tests.llm.test_simhash import parts
 
 DIR = "/root/testdata/sf0.001"
 
@@ -69,3 +73,41 @@ def test_groups_against_brute_force(spark):
     rows += [(30_000, None), (30_001, ""), (30_002, "a b"), (30_003, "A  b")]
     got = near_copies.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.component_id for r in got.collect()} == brute(rows)
+
+
+@pytest.mark.parametrize("tile", [300, 1 << 21])
+def test_buckets_of_one_template_with_unlike_members(spark, tile):
+    rng = random.Random(8)
+    base = [f"t{i}" for i in range(120)]
+    rows = [(k, edited(rng, base, rng.randrange(1, 12))) for k in range(150)]
+    docs = spark.createDataFrame([(d, d, t) for d, t in rows], "rid long, doc_id long, text string")
+    got = {r.doc_id: r["class"] for r in near_copies.classes(docs, tile).collect()}
+    want = brute(rows)
+    assert 3 < len(set(want.values())) < 140
+    groups = lambda m: {frozenset(k for k in m if m[k] == r) for r in set(m.values())}
+    assert groups(got) == groups(want)
+
+
+def test_growth_between_two_sides_connects_what_all_pairs_do():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        sets = [np.unique(np.r_[np.arange(40), rng.integers(40, 60, rng.integers(0, 9))]).astype(np.uint64) for _ in range(12)]
+        roots, side = rng.integers(0, 9, 12), rng.integers(0, 2, 12)
+        a, b = near_copies.grown(sets, roots, side)
+        similar = lambda i, j: 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
+        assert all(similar(i, j) and roots[i] != roots[j] for i, j in zip(a, b, strict=True))
+        two = side.min() != side.max()
+        every = [(i, j) for i in range(12) for j in range(i) if similar(i, j) and (side[i] != side[j] or not two)]
+        same = [(i, j) for i in range(12) for j in range(i) if roots[i] == roots[j]]
+        assert parts(every + same) == parts(list(zip(a, b, strict=True)) + same)
+
+
+def test_rows_are_told_apart_and_one_of_each_group_stays(spark):
+    rows = [(None, "one two three four five six", 1), (None, "other words here that stand alone", 2), (7, "a b c d e f g", 3), (7, "h i j k l m n", 4), (7, "a b c d e f g", 5)]
+    docs = spark.createDataFrame([*rows, (9, "One two three four five six", 6), (None, None, 7), (None, " ", 8)], "doc_id long, text string, class int")
+    for classed in (near_copies.classes, simhash.classes):
+        kept = simhash.keep_one(docs, classed)
+        assert kept.columns == docs.columns
+        got = sorted(r["class"] for r in kept.collect())
+        assert got[:3] == [2, got[1], 4] and got[1] in (3, 5) and got[3] == 6 and got[4] in (7, 8) and len(got) == 5
+    assert simhash.keep_one(docs.limit(0), near_copies.classes).count() == 0
