@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventweave.llm.common import ascii_lower, saved
+from eventweave.llm.common import ascii_lower, saved, scratch
 
 DELIMITERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same in text that has not been lower-cased.
@@ -71,7 +71,10 @@ def window_hits(docs: DataFrame, windows: DataFrame, n: int, block_bytes: int =
     klens = sorted(facts.klens)
     blocks = max(1, -(-facts.bytes // block_bytes))
     carried = [c for c in docs.columns if c != "text"]
-    words = docs.select(F.monotonically_increasing_id().alias("rid"), *carried, words_of(F.col("text")).alias("ws"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), *carried, "text")
+    if blocks > 1:  # read once for each block, so the numbers must stay
+        numbered = saved(numbered, "numbered")
+    words = numbered.select("rid", *carried, words_of(F.col("text")).alias("ws"))
     hashed = words.withColumn("hw", _hashes(F.col("ws")))
 
     def probes(k: int) -> Column:
@@ -96,18 +99,20 @@ def window_hits(docs: DataFrame, windows: DataFrame, n: int, block_bytes: int =
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 16 << 20) -> DataFrame:
-    """Per document row: its other columns, n_words, n_hit, items (sorted item ids as strings), n_items, contaminated.
+    """Per document row: its other columns, n_words, n_hit, items (sorted item ids as strings), n_items, contaminated, whole_window.
 
-    A document is contaminated if it has hit words and they are at least one in ``share``.
+    A document is contaminated if it has hit words and they are at least one in
+    ``share``; ``whole_window`` tells whether a window of all ``n`` words occurs.
     """
     windows = saved(benchmark_windows(benchmark, n), "windows")
-    found = saved(window_hits(docs, windows, n, block_bytes), "hits")
+    with scratch(docs.sparkSession) as keep:
+        found = keep(saved(window_hits(docs, windows, n, block_bytes), "hits"))
     hits = found.where("pos > 0").select("rid", "pos", "len", "win")
     end = F.col("pos") + F.col("len")
     before = Window.partitionBy("rid").orderBy("pos", "len").rowsBetween(Window.unboundedPreceding, -1)
     covered = (
         hits.select("rid", "pos", "len").distinct().withColumn("seen", F.coalesce(F.max(end).over(before), F.lit(0)))
-        .groupBy("rid").agg(F.sum(F.greatest(F.lit(0), end - F.greatest("pos", "seen"))).alias("n_hit"))
+        .groupBy("rid").agg(F.sum(F.greatest(F.lit(0), end - F.greatest("pos", "seen"))).alias("n_hit"), F.max("len").alias("longest"))
     )
     items = (
         hits.select("rid", "win").distinct().join(windows.select("win", "item_id"), "win").select("rid", "item_id").distinct()
@@ -118,15 +123,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int
     none = F.array().cast("array<string>")
     full = joined.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0)).cast("long"), "items": F.coalesce("items", none)})
     return full.withColumns(
-        {"n_items": F.size("items").cast("long"), "contaminated": (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))}
-    ).drop("rid")
+        {
+            "n_items": F.size("items").cast("long"),
+            "contaminated": (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")),
+            "whole_window": F.coalesce(F.col("longest") >= n, F.lit(False)),
+        }
+    ).drop("rid", "longest")
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 16 << 20) -> DataFrame:
-    """``docs`` without its contaminated rows, all columns unchanged."""
+def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20, block_bytes: int = 16 << 20, whole_windows: bool = False) -> DataFrame:
+    """``docs`` without its contaminated rows, all columns unchanged.
+
+    With ``whole_windows`` rows that hold any window of all ``n`` words go too: a
+    long document can hold a whole benchmark passage in far less than one
+    ``share``-th of its words. Items of fewer than ``n`` words, which ordinary text
+    holds by chance, count by share alone.
+    """
     whole = F.struct(*docs.columns).alias("row_")
     judged = contamination(docs.select(whole, "text"), benchmark, n, share, block_bytes)
-    return judged.where(~F.col("contaminated")).select("row_.*")
+    bad = F.col("contaminated") | F.col("whole_window") if whole_windows else F.col("contaminated")
+    return judged.where(~bad).select("row_.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13, block_bytes: int = 16 << 20) -> DataFrame:

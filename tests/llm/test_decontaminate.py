@@ -50,6 +50,8 @@ def test_documents_and_spans_go(spark):
     kept = decontaminate.remove_documents(docs, items)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 8, 9]
+    strict = decontaminate.remove_documents(docs, items, whole_windows=True)
+    assert sorted(r.doc_id for r in strict.collect()) == [4, 5, 6, 8]
     spans = decontaminate.remove_spans(docs, items)
     assert spans.columns == docs.columns
     texts = {r.doc_id: r.text for r in spans.collect()}
