@@ -29,8 +29,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from eventweave.llm.common import saved, ship, table, unit_uniform
+from eventweave.llm.common import saved, scratch, ship, table, unit_uniform
 
 BUCKETS = 1 << 16
 MOST_LABELS = 40_000
@@ -92,15 +93,15 @@ def counts(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def score_batches(batches, ratio: np.ndarray):
-    """(keys..., text) to (keys..., ratio): mean log ratio per n-gram, 0 without any."""
-    for b in batches:
+def score_batches(batches, ratio: np.ndarray, keep_text: bool = False):
+    """(keys..., text) to (keys..., ratio), and the text if asked: mean log ratio per n-gram, 0 without any."""
+    for b in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
         at = b.schema.get_field_index("text")
         out = np.zeros(b.num_rows)
         for i, x in enumerate(b.column(at)):
             if (text := x.as_py()) and len(g := ngrams(text)):
                 out[i] = ratio[g].mean()
-        keep = [i for i in range(b.num_columns) if i != at]
+        keep = [i for i in range(b.num_columns) if i != at or keep_text]
         yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(out)], [*(b.schema.names[i] for i in keep), "ratio"])
     _forget()
 
@@ -135,6 +136,11 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 def target_model(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS) -> dict:
     """The log ratio of each bucket and the logistic map to log odds."""
     ship(docs.sparkSession)
+    with scratch(docs.sparkSession):
+        return _fitted(docs, labels, most_labels)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, most_labels: int) -> dict:
     known = saved(labelled(docs, labels, most_labels), "labelled")
     raw = counts(docs)
     # the map is fitted on other documents than the target model
@@ -155,12 +161,11 @@ def target_model(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LAB
     return {"ratio": smooth(parts[0] + parts[1]) - smooth(raw), "slope": slope, "intercept": intercept}
 
 
-def weighted(docs: DataFrame, model: dict) -> DataFrame:
-    """(columns but text, log_odds) for rows with a text column."""
+def weighted(docs: DataFrame, model: dict, keep_text: bool = False) -> DataFrame:
+    """(columns but text unless asked, log_odds) for rows with a text column."""
     ratio = model["ratio"].astype(np.float32)
-    keys = [c for c in docs.columns if c != "text"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    rows = docs.select(*keys, "text").mapInArrow(lambda it: score_batches(it, ratio), f"{kinds}, ratio double")
+    fields = [f for f in docs.schema if f.name != "text" or keep_text]
+    rows = docs.mapInArrow(lambda it: score_batches(it, ratio, keep_text), StructType([*fields, StructField("ratio", DoubleType())]))
     return rows.withColumn("log_odds", F.col("ratio") * model["slope"] + model["intercept"])
 
 
@@ -186,10 +191,9 @@ def kth_largest(rows: DataFrame, column: str, k: int, bits: int = 13) -> float |
     return (prefix - (1 << 50)) / float(1 << 30)
 
 
-def resampled(docs: DataFrame, labels: DataFrame, seed: int = 0, most_labels: int = MOST_LABELS, even: float = 0.5) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, log_odds, key, kept."""
-    model = target_model(docs, labels, most_labels)
-    scored = weighted(docs.select("doc_id", "text"), model).drop("ratio")
+def drawn(rows: DataFrame, model: dict, seed: int = 0, even: float = 0.5, keep_text: bool = False) -> DataFrame:
+    """``rows`` (doc_id, text, others), text only if asked, with log_odds, key and kept."""
+    scored = weighted(rows, model, keep_text).drop("ratio")
     # noise depends on the document alone, so reruns agree and repeated rows go together
     noise = -F.log(-F.log(unit_uniform(F.lit(seed), "doc_id")))
     keyed = saved(scored.withColumn("key", F.col("log_odds") + noise), "weighted")
@@ -201,11 +205,20 @@ def resampled(docs: DataFrame, labels: DataFrame, seed: int = 0, most_labels: in
     return keyed.withColumn("kept", scaled >= F.lit(cut * float(1 << 30)) if cut is not None else F.lit(False))
 
 
+def resampled(docs: DataFrame, labels: DataFrame, seed: int = 0, most_labels: int = MOST_LABELS, even: float = 0.5) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, log_odds, key, kept."""
+    return drawn(docs.select("doc_id", "text"), target_model(docs, labels, most_labels), seed, even)
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 0, most_labels: int = MOST_LABELS) -> DataFrame:
-    """``docs`` without the documents that the draw rejects, all columns unchanged."""
-    judged = resampled(docs, labels, seed, most_labels)
-    kept = judged.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.kept_id), "left_semi")
+    """``docs`` without the documents that the draw rejects, all columns unchanged.
+
+    Each row is judged by its own text and carried along, so rows that share a
+    doc_id, or have none, keep their own verdicts.
+    """
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row_")
+    rows = drawn(docs.select("doc_id", others, "text"), target_model(docs, labels, most_labels), seed, keep_text=True).where("kept")
+    return rows.select(*["text" if c == "text" else F.col("row_")[c].alias(c) for c in docs.columns])
 
 
 def op6_quality_resampling(spark, sf_dir):

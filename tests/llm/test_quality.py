@@ -61,3 +61,35 @@ def test_nulls_repeats_and_no_rows(spark, tables):
     assert quality.keep_good(docs.limit(0), labels).count() == 0
     assert quality.keep_good(docs, labels.limit(0)).count() == docs.count()
     assert quality.keep_good(docs, labels.withColumn("quality", F.lit(None).cast("int"))).count() == docs.count()
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark, tables):
+    docs, labels = tables
+    judged = {r.doc_id: r for r in quality.resampled(docs, labels).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    by_odds = sorted(judged.values(), key=lambda r: r.log_odds)
+    bad, good = texts[by_odds[0].doc_id], texts[by_odds[-1].doc_id]
+    odd = spark.createDataFrame([(None, bad), (None, good), (-1, bad), (-1, good)], "doc_id long, text string")
+    kept = quality.keep_good(docs.select("doc_id", "text").unionByName(odd), labels).where("doc_id is null or doc_id < 0")
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(-1, good), (0, good)]
+
+
+def test_weights_and_draw_against_a_plain_version(spark):
+    rng = random.Random(4)
+    good, junk = [f"g{i}" for i in range(12)], [f"j{i}" for i in range(12)]
+    texts = {d: " ".join(rng.choices(good if d % 3 else junk, k=rng.randrange(20, 60)) + rng.choices(good + junk, k=10)) for d in range(400)}
+    quality_of = {d: int(d % 3 > 0) for d in range(0, 400, 2)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame(list(quality_of.items()), "doc_id long, quality int")
+    model = quality.target_model(docs, labels)
+    count = lambda ids: np.sum([np.bincount(quality.ngrams(texts[d]), minlength=quality.BUCKETS) for d in ids], axis=0)
+    smooth = lambda c: np.log((c + 0.5) / (c.sum() + 0.5 * quality.BUCKETS))
+    want = smooth(count([d for d, q in quality_of.items() if q])) - smooth(count(texts))
+    assert np.allclose(model["ratio"], want, atol=1e-12)
+    rows = {r.doc_id: r for r in quality.resampled(docs, labels).collect()}
+    uniform = {r.doc_id: r.u for r in docs.select("doc_id", quality.unit_uniform(F.lit(0), "doc_id").alias("u")).collect()}
+    odds = {d: float(want.astype(np.float32)[quality.ngrams(t)].mean()) * model["slope"] + model["intercept"] for d, t in texts.items()}
+    keys = {d: o - np.log(-np.log(uniform[d])) for d, o in odds.items()}
+    assert all(abs(rows[d].log_odds - odds[d]) < 1e-4 and abs(rows[d].key - keys[d]) < 1e-4 for d in texts)
+    k = sum(o >= 0 for o in odds.values())
+    assert {d for d, r in rows.items() if r.kept} == set(sorted(keys, key=keys.get)[-k:]) and 0 < k < len(texts)
