@@ -13,10 +13,12 @@ one source and one size class (powers of two) to at most one fractional
 document; these meet in the next level. Nodes are formed by hash of the doc_id
 and exact counts, so neither a hot source nor the number of partitions matters
 and reruns agree. When a source has no more than ``LAST`` fractional documents
-in each size class, some hundreds in all, they are settled from large to small:
-each is taken if at least half of its size is owed by then, and what it was
-given beyond or short of that is owed on. So the source's words end within about
-half a small document of the target.
+in each size class, some hundreds in all, they are settled from large to small,
+and what a document was given beyond or short of the words owed is owed on. Where
+the smaller documents left can make up for either outcome, it is drawn with the
+odds of the words owed to the document's size; where they cannot, the nearer
+outcome is taken. So a source ends within about a small document of its target,
+which meetings down to one document, of any size, would not give.
 
 All of it is DataFrame and SQL functions. Nulls: a null text has size 0; a null
 source is a source of its own, the last; null doc_ids are kept like others.
@@ -28,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventweave.llm.common import saved, table, unit_uniform
+from eventweave.llm.common import saved, scratch, table, unit_uniform
 
 WORD = r"[^\x20\x09-\x0D]+"
 FAN = 64
@@ -147,12 +149,21 @@ def rounded(items: DataFrame, seed: int = 0, fan: int = FAN) -> DataFrame:
         level += 1
     item = F.struct((-F.col("class")).alias("c"), "h", "size", "rid", "mass")
     last = now.groupBy("source").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    start = F.struct(F.lit(0.0).alias("owed"), F.array().cast(DONE).alias("done"))
+    # what later documents still want, and what they could take beyond that
+    total = lambda f: F.aggregate("items", F.lit(0.0), lambda a, x: a + f(x))
+    wanted, room = total(lambda x: x["mass"]), total(lambda x: x["size"] - x["mass"])
+    start = F.struct(F.lit(0.0).alias("owed"), wanted.alias("wanted"), room.alias("room"), F.array().cast(DONE).alias("done"))
 
     def settle(acc: Column, x: Column) -> Column:
+        later_wanted, later_room = acc["wanted"] - x["mass"], acc["room"] - (x["size"] - x["mass"])
+
         def decide(owed: Column) -> Column:
-            take = (owed * 2 >= x["size"]).cast("int")
-            return F.struct((owed - take * x["size"]).alias("owed"), F.concat(acc["done"], F.array(F.struct(x["rid"].alias("rid"), take.alias("one")))).alias("done"))
+            free = (x["size"] - owed <= later_wanted) & (owed <= later_room)
+            drawn = unit_uniform(F.lit(seed), F.lit(-1), x["h"]) * x["size"] < owed
+            take = F.when(free, drawn).otherwise(owed * 2 >= x["size"]).cast("int")
+            fact = F.struct(x["rid"].alias("rid"), take.alias("one"))
+            left = (owed - take * x["size"]).alias("owed")
+            return F.struct(left, later_wanted.alias("wanted"), later_room.alias("room"), F.concat(acc["done"], F.array(fact)).alias("done"))
 
         return _let(acc["owed"] + x["mass"], decide)
 
@@ -163,35 +174,40 @@ def rounded(items: DataFrame, seed: int = 0, fan: int = FAN) -> DataFrame:
     return out
 
 
+def _copies(rows: DataFrame, weights, share: float, most: int, seed: int) -> DataFrame:
+    """Rows (rid, source, size, h) with source_size, target and copies."""
+    with scratch(rows.sparkSession) as keep:
+        goals = targets(rows, weights, share, most).select(F.col("source").alias("s_"), "source_size", "target")
+        # one row a source: Spark broadcasts it only under its own size threshold
+        full = rows.join(goals, F.col("source").eqNullSafe(F.col("s_"))).drop("s_")
+        p = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+        full = full.withColumn("base", F.floor(p).cast("long")).withColumn("mass", (p - F.col("base")) * F.col("size"))
+        full = saved(full, "wanted")
+        choice = rounded(full.where("size > 0 AND mass > 0 AND mass < size").select("rid", "source", "h", "size", "mass"), seed)
+        copies = F.when(F.col("size") > 0, F.col("base") + F.coalesce("one", F.lit(0))).otherwise(0).cast("long")
+        return keep(saved(full.join(choice, "rid", "left").select(*rows.columns, "source_size", "target", copies.alias("copies")), "copies"))
+
+
+def _sized(docs: DataFrame, seed: int) -> list[Column]:
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return [size.alias("size"), F.xxhash64(F.lit(seed), "doc_id", size).alias("h")]
+
+
 def mixture(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 0) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs`` (doc_id, source, text)."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = saved(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", size.alias("size")), "sizes")
-    goals = targets(rows, weights, share, most).select(F.col("source").alias("s_"), "source_size", "target")
-    # one row a source: Spark broadcasts it only under its own size threshold
-    full = rows.join(goals, F.col("source").eqNullSafe(F.col("s_"))).drop("s_")
-    p = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    full = full.withColumn("base", F.floor(p).cast("long")).withColumn("mass", (p - F.col("base")) * F.col("size"))
-    full = saved(full, "wanted")
-    open_ = full.where("size > 0 AND mass > 0 AND mass < size")
-    choice = rounded(open_.select("rid", "source", F.xxhash64(F.lit(seed), "doc_id", "size").alias("h"), "size", "mass"), seed)
-    out = full.join(choice, "rid", "left")
-    copies = F.when(F.col("size") > 0, F.col("base") + F.coalesce("one", F.lit(0))).otherwise(0).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    rows = saved(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", *_sized(docs, seed)), "sizes")
+    out = _copies(rows, weights, share, most, seed)
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 0) -> DataFrame:
     """``docs`` with each row as many times as the mix takes it, all columns unchanged."""
-    plan = mixture(docs.select("doc_id", "source", "text"), weights, share, most, seed).where("copies > 0")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    keys = ["k_id", "k_source", "k_size"]
-    whole = docs.select(F.struct(*docs.columns).alias("row_"), F.col("doc_id").alias("k_id"), F.col("source").alias("k_source"), size.alias("k_size"), F.xxhash64("text").alias("t_"))
-    # repeated rows are told apart by number
-    rows = whole.withColumn("k_n", F.row_number().over(Window.partitionBy(*keys).orderBy("t_")))
-    plan = plan.select(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"), "copies")
-    plan = plan.withColumn("p_n", F.row_number().over(Window.partitionBy("p_id", "p_source", "p_size").orderBy(F.desc("copies"))))
-    same = F.col("k_id").eqNullSafe(F.col("p_id")) & F.col("k_source").eqNullSafe(F.col("p_source")) & (F.col("k_size") == F.col("p_size")) & (F.col("k_n") == F.col("p_n"))
-    each = rows.join(plan, same).select("row_", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy_"))
+    numbered = saved(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row_")), "numbered")
+    of = lambda c: F.col(f"row_.{c}").alias(c)
+    rows = numbered.select("rid", of("doc_id"), of("source"), of("text")).select("rid", "source", *_sized(docs, seed))
+    plan = _copies(saved(rows, "sizes"), weights, share, most, seed).where("copies > 0").select("rid", "copies")
+    # both sides grow with the corpus, so it is a sort-merge join at any size
+    each = numbered.join(plan.hint("merge"), "rid").select("row_", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy_"))
     return each.select("row_.*")
 
 

@@ -66,6 +66,17 @@ def test_rounding_keeps_each_expectation(spark):
     assert max(taken.values()) < runs and min(taken.values()) >= 0
 
 
+def test_every_document_of_a_small_source_has_a_chance(spark):
+    sizes = [90, 80, 75, 70, 64, 33, 31, 20, 12, 5, 4, 3]
+    df = spark.createDataFrame([(i, "few", i * 7919, n, n * 0.4) for i, n in enumerate(sizes)], "rid long, source string, h long, size long, mass double")
+    taken, runs = Counter(), 40
+    for seed in range(runs):
+        got = {r.rid: r.one for r in mixing.rounded(df, seed).collect()}
+        assert abs(sum(n * got[i] for i, n in enumerate(sizes)) - 0.4 * sum(sizes)) <= 5
+        taken.update(i for i, one in got.items() if one)
+    assert all(0 < taken[i] < runs for i in range(9)) and 0.3 < sum(taken[i] for i in range(9)) / (9 * runs) < 0.5
+
+
 def test_nulls_repeats_and_no_rows(spark):
     rows = [(1, None, "a b"), (1, None, "a b"), (None, "s", None), (2, "s", ""), (3, "t", " x\ty\x0b"), (None, "t", "q")] + [(9, "u", "w " * 9)] * 300
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("copies", F.lit(1)).withColumn("target", F.lit("x"))
