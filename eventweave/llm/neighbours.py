@@ -13,9 +13,11 @@ How many lists to visit is measured: for up to ``CALIBRATION`` vectors the true
 neighbours are found among all rows, and as many lists are probed as hold the
 share ``recall`` of them. Data without clusters need about half of the lists.
 
-Equal vectors form one class with its smallest vec_ids and are searched once, so
-any number of copies neither slows the search nor breaks ties. Lists and queries
-are dealt into tiles of bounded size, whichever list is hot.
+Vectors of one direction (equal, or multiples of each other) form one class with
+its smallest vec_ids and are searched once, so any number of them neither slows
+the search nor breaks ties. A list is dealt into chunks of bounded size, whichever
+list is hot; each vector goes to one chunk once, and the queries that visit the
+list stream past it in Arrow batches.
 
 Vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part; nor do rows whose vec_id is null.
@@ -25,16 +27,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventweave.llm.common import saved, ship, table, unit_uniform
+from eventweave.llm.common import saved, scratch, ship, table, unit_uniform
 
 SAMPLE = 20_000
 MOST_LISTS = 1024
 CALIBRATION = 96
-ROW_TILE = 8192
-QUERY_TILE = 2048
+#: Vectors of a list held by one task at a time, and queries compared with them at once.
+CHUNK = 16_384
+QUERIES = 512
+#: Directions that agree to so many parts of one are the same.
+GRID = 1 << 36
 BLOCK = 16
 #: The margin of the hypothesis test, in units of 1 / sqrt(dimensions read).
 MARGIN = 2.1
@@ -112,23 +118,24 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & ~F.exists(vector, bad) & F.exists(vector, lambda x: x != 0)
 
 
-def pack(batches, kind):
-    """(vec_id, array of doubles) to (vec_id, 64-bit binary)."""
+def pack(batches):
+    """(vec_id, array of doubles) to (vec_id, v as 64-bit binary, d: 128 bits of its direction)."""
     for b in batches:
-        values = b.column(1)
-        flat = np.asarray(values.flatten(), np.float64)
-        rows = flat.reshape(b.num_rows, -1) + 0.0 if b.num_rows else []
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["vec_id", "v"])
+        flat = np.asarray(b.column(1).flatten(), np.float64)
+        rows = flat.reshape(b.num_rows, -1) + 0.0 if b.num_rows else np.zeros((0, 1))
+        grid = np.rint(unit(rows) * GRID).astype(np.int64) if b.num_rows else rows
+        cols = [pa.array([r.tobytes() for r in rows], pa.binary()), pa.array([xxhash.xxh3_128_digest(g.tobytes()) for g in grid], pa.binary())]
+        yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["vec_id", "v", "d"])
 
 
 def classes(vectors: DataFrame, keep: int) -> DataFrame:
-    """(class_id, v, ids): equal vectors with their ``keep`` smallest ids, from rows (vec_id, v)."""
+    """(class_id, v, ids): directions with their ``keep`` smallest ids and the vector of the smallest, from rows (vec_id, v, d)."""
     n = vectors.count()
     salts = max(16, n // 50_000)
-    few = F.slice(F.array_sort(F.collect_list("vec_id")), 1, keep)
-    part = vectors.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(salts)).alias("salt")).agg(few.alias("ids"))
+    few = F.slice(F.array_sort(F.collect_set("vec_id")), 1, keep)
+    part = vectors.groupBy("d", F.pmod(F.xxhash64("vec_id"), F.lit(salts)).alias("salt")).agg(few.alias("ids"), F.min(F.struct("vec_id", "v")).alias("first"))
     ids = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep)
-    return part.groupBy("v").agg(ids.alias("ids")).select(F.element_at("ids", 1).alias("class_id"), "v", "ids")
+    return part.groupBy("d").agg(ids.alias("ids"), F.min("first").alias("first")).select(F.col("first.vec_id").alias("class_id"), "d", F.col("first.v").alias("v"), "ids")
 
 
 def assign(batches, dim: int, centre: np.ndarray):
@@ -139,15 +146,17 @@ def assign(batches, dim: int, centre: np.ndarray):
         )
 
 
-def visit(batches, dim: int, centre: np.ndarray, probes: int):
-    """(class_id, v) to one row for each probed list."""
+def visit(batches, dim: int, centre: np.ndarray, probes: int, sizes: np.ndarray, least: int):
+    """(class_id, v) to one row for each probed list: ``probes`` lists, and further ones until they hold ``least`` vectors."""
     for b in batches:
         if not b.num_rows:
             continue
-        x = unit(stack(b.column(1), dim)) @ centre.T
-        lists = np.argpartition(-x, probes - 1, axis=1)[:, :probes].astype(np.int32)
-        rows = pa.array(np.repeat(np.arange(b.num_rows), probes))
-        yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(lists.reshape(-1))], ["q_id", "v", "list"])
+        order = np.argsort(-(unit(stack(b.column(1), dim)) @ centre.T), axis=1, kind="stable").astype(np.int32)
+        enough = (np.cumsum(sizes[order], axis=1) < least).sum(axis=1) + 1
+        counts = np.minimum(np.maximum(probes, enough), len(sizes))
+        rows = np.repeat(np.arange(b.num_rows), counts)
+        lists = order[rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)]
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), b.column(1).take(pa.array(rows)), pa.array(lists)], ["q_id", "v", "list"])
 
 
 def true_lists(batches, dim: int, queries: np.ndarray, centre: np.ndarray, k: int):
@@ -168,25 +177,62 @@ def true_lists(batches, dim: int, queries: np.ndarray, centre: np.ndarray, k: in
     yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int32(), pa.float64(), pa.int32()))], ["query", "score", "place"])
 
 
-def tile_scan(key, left: pa.Table, right: pa.Table, dim: int, k: int, turn: np.ndarray) -> pa.Table:
-    """The k nearest of a tile's rows for each of its queries, scored on the original vectors."""
-    names = ["q_id", "class_id", "score"]
-    if not (left.num_rows and right.num_rows):
-        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
-    cv, qv = stack(left["v"], dim), stack(right["v"], dim)
-    found, _ = scan(unit(qv) @ turn, unit(cv) @ turn, k)
-    i, j = np.nonzero(found >= 0)
-    c = found[i, j]
-    a, b = qv[i], cv[c]
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row, in double precision, free of overflow."""
     a, b = a / np.abs(a).max(1, keepdims=True), b / np.abs(b).max(1, keepdims=True)
-    score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
-    return pa.table([right["q_id"].take(pa.array(i)), left["class_id"].take(pa.array(c)), pa.array(score)], names=names)
+    return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
+
+
+def stream_scan(batches, dim: int, k: int, turn: np.ndarray):
+    """Arrow batches (list, chunk, side, id, v) sorted by list, chunk and side: a chunk's vectors (side 0), then the queries that visit it (side 1).
+
+    Yields (q_id, class_id, score): the k nearest of the chunk for each query. One chunk is held at a time.
+    """
+    key, ids, held, chunk = None, [], [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for at, end in zip(cuts[:-1], cuts[1:], strict=True):
+            if key != tuple(keys[at, :2]):
+                key, ids, held, chunk = tuple(keys[at, :2]), [], [], None
+            names, v = batch.column(3).slice(at, end - at).to_numpy(zero_copy_only=False), stack(batch.column(4).slice(at, end - at), dim)
+            if keys[at, 2] == 0:
+                ids.append(names)
+                held.append(v)
+                continue
+            if not held:
+                continue
+            if chunk is None:
+                ids, held = [np.concatenate(ids)], [np.concatenate(held)]
+                chunk = unit(held[0]) @ turn
+            for q in range(0, len(v), QUERIES):
+                some = v[q : q + QUERIES]
+                found, _ = scan(unit(some) @ turn, chunk, k)
+                i, j = np.nonzero(found >= 0)
+                c = found[i, j]
+                cols = [pa.array(names[q : q + QUERIES][i]), pa.array(ids[0][c]), pa.array(cosines(some[i], held[0][c]))]
+                yield pa.RecordBatch.from_arrays(cols, ["q_id", "class_id", "score"])
+
+
+def score_pairs(batches, dim: int):
+    """(query_id, vec_id, near, a, b) to (query_id, vec_id, near, score)."""
+    for b in batches:
+        s = cosines(stack(b.column(3), dim), stack(b.column(4), dim)) if b.num_rows else np.zeros(0)
+        yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(s)], ["query_id", "vec_id", "near", "score"])
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = 0.97, vec_id: str = "vec_id", vector: str = "embedding", seed: int = 0) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that meets ``is_query`` its k nearest other rows found, ties to the smaller vec_id."""
     spark = vectors.sparkSession
     ship(spark)
+    with scratch(spark) as keep:
+        return keep(saved(_nearest(vectors, is_query, k, recall, vec_id, vector, seed), "neighbours"))
+
+
+def _nearest(vectors: DataFrame, is_query: Column, k: int, recall: float, vec_id: str, vector: str, seed: int) -> DataFrame:
+    spark = vectors.sparkSession
     picked = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("is_query"))
     picked = picked.where(F.col("vec_id").isNotNull() & _valid(F.col("v")))
     dims = picked.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -195,7 +241,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = 0.
         return spark.createDataFrame([], schema)
     dim = dims.d
     rows = picked.where(F.size("v") == dim)
-    packed = saved(rows.select("vec_id", "v").mapInArrow(lambda it: pack(it, None), "vec_id long, v binary"), "vectors")
+    packed = saved(rows.select("vec_id", "v").mapInArrow(pack, "vec_id long, v binary, d binary"), "vectors")
     queries = rows.where("is_query").select("vec_id").distinct()
     kinds = saved(classes(packed, k + 1), "classes")
     n = kinds.count()
@@ -217,25 +263,33 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = 0.
     turn = rotation(dim, seed)
     placed = saved(kinds.select("class_id", "v").mapInArrow(lambda it: assign(it, dim, centre), "class_id long, v binary, list int"), "lists")
     # every id of a query row with the class of its vector
-    asked = packed.join(queries, "vec_id").join(kinds.select(F.col("v").alias("w"), "class_id"), F.col("v") == F.col("w")).select("vec_id", "class_id").distinct()
+    asked = packed.join(queries, "vec_id").join(kinds.select("d", "class_id"), "d").select("vec_id", "class_id").distinct()
     asked = saved(asked, "queries")
     wanted = kinds.join(asked.select("class_id").distinct(), "class_id").select("class_id", "v")
-    sizes = placed.groupBy("list").agg(F.ceil(F.count("*") / ROW_TILE).cast("int").alias("chunks"))
-    query_tiles = max(1, -(-asked.select("class_id").distinct().count() // QUERY_TILE))
-    left = placed.join(sizes, "list").withColumn("chunk", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int"))
-    left = left.select("list", "chunk", F.explode(F.sequence(F.lit(0), F.lit(query_tiles - 1))).alias("tile"), "class_id", "v")
-    right = wanted.mapInArrow(lambda it: visit(it, dim, centre, probes), "q_id long, v binary, list int").join(sizes, "list")
-    right = right.select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.pmod(F.xxhash64("q_id"), F.lit(query_tiles)).cast("int").alias("tile"), "q_id", "v")
-    keys = ["list", "chunk", "tile"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        lambda key, a, b: tile_scan(key, a, b, dim, k + 1, turn), "q_id long, class_id long, score double"
-    )
+    per = saved(placed.groupBy("list").agg(F.count("*").alias("n")), "list-sizes")  # at most MOST_LISTS rows
+    held = np.zeros(lists, np.int64)
+    for r in per.collect():
+        held[r.list] = r.n
+    sizes = per.select("list", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int").alias("chunk")
+    left = placed.join(sizes, "list").select("list", chunk, F.lit(0).alias("side"), F.col("class_id").alias("id"), "v")
+    right = wanted.mapInArrow(lambda it: visit(it, dim, centre, probes, held, k + 2), "q_id long, v binary, list int").join(sizes, "list")
+    right = right.select("list", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("side"), F.col("q_id").alias("id"), "v")
+    order = ["list", "chunk", "side"]
+    met = left.unionByName(right).repartition("list", "chunk").sortWithinPartitions(*order).select(*order, "id", "v")
+    found = met.mapInArrow(lambda it: stream_scan(it, dim, k + 1, turn), "q_id long, class_id long, score double")
     top = found.withColumn("r", F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc("score"), "class_id"))).where(F.col("r") <= k + 1)
-    named = top.join(kinds.select("class_id", "ids"), "class_id").select("q_id", "score", F.explode("ids").alias("vec_id"))
+    named = top.join(kinds.select("class_id", "ids"), "class_id").select("q_id", F.col("score").alias("near"), F.explode("ids").alias("vec_id"))
     each = asked.select(F.col("vec_id").alias("query_id"), F.col("class_id").alias("q_id")).join(named, "q_id").where("vec_id <> query_id")
-    each = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    each = each.groupBy("query_id", "vec_id").agg(F.max("near").alias("near"))
+    # members of a class are as near as its first; ties go to the smaller vec_id
+    order = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
+    best = saved(each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "nearest")
+    one = packed.groupBy("vec_id").agg(F.min("v").alias("v"))
+    pairs = best.join(one.select(F.col("vec_id").alias("query_id"), F.col("v").alias("a")), "query_id").join(one.select("vec_id", F.col("v").alias("b")), "vec_id")
+    exact = pairs.select("query_id", "vec_id", "near", "a", "b").mapInArrow(lambda it: score_pairs(it, dim), "query_id long, vec_id long, near double, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id"))
+    return exact.select("query_id", rank.alias("rank"), "vec_id", "score")
 
 
 def op7_nearest_neighbours(spark, sf_dir):
