@@ -15,8 +15,9 @@ A digest's grouping is combined on the map side, so a line that all documents
 share costs one row a task; marking occurrences is a join that Spark splits
 where one digest has very many rows.
 
-Nulls: null and empty texts have no units; a null doc_id ranks last. Rows with
-equal doc_id count as one document: repeats between them stay.
+Nulls: null and empty texts have no units; a null doc_id ranks last. Rows are
+told apart by a number of their own: of rows with equal doc_id, or without one,
+the earlier row of the table keeps a unit and the later ones repeat it.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventweave.llm.common import saved, ship, table
+from eventweave.llm.common import saved, scratch, ship, table, tidy
 
 MIN_WORDS = 20
 FIRM = 4
@@ -69,16 +70,16 @@ def units(text: str) -> list[tuple[int, int, str]]:
 
 
 def unit_batches(batches):
-    """(rank, text) to a row for each unit; ``again`` if an earlier unit of the same text is equal."""
-    names = ["rank", "pos", "start", "end", "words", "h1", "h2", "again"]
+    """(rid, rank, text) to a row for each unit; ``again`` if an earlier unit of the same text is equal."""
+    names = ["rid", "rank", "pos", "start", "end", "words", "h1", "h2", "again"]
     for b in batches:
-        ranks, rows = b.column(0).to_pylist(), [[] for _ in names]
+        rows = [[] for _ in names]
         held = 0
-        for rank, x in zip(ranks, b.column(1), strict=True):
+        for rid, rank, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
             seen = set()
             for pos, (start, end, norm) in enumerate(units(x.as_py() or "")):
                 h = xxhash.xxh3_128_intdigest(norm.encode("utf-8", "surrogatepass"))
-                for col, v in zip(rows, (rank, pos, start, end, norm.count(" ") + 1, h >> 64, h & (1 << 32) - 1, h in seen), strict=True):
+                for col, v in zip(rows, (rid, rank, pos, start, end, norm.count(" ") + 1, h >> 64, h & (1 << 32) - 1, h in seen), strict=True):
                     col.append(v)
                 seen.add(h)
             held = len(rows[0])
@@ -90,42 +91,61 @@ def unit_batches(batches):
 
 
 def _batch(rows, names):
-    kinds = [np.int64, np.int32, np.int32, np.int32, np.int32]
-    cols = [pa.array(np.array(c, k)) for c, k in zip(rows[:5], kinds, strict=True)]
-    cols += [pa.array(np.array(rows[5], np.uint64).view(np.int64)), pa.array(np.array(rows[6], np.uint32).view(np.int32))]
-    return pa.RecordBatch.from_arrays([*cols, pa.array(rows[7], pa.bool_())], names)
+    kinds = [np.int64, np.int64, np.int32, np.int32, np.int32, np.int32]
+    cols = [pa.array(np.array(c, k)) for c, k in zip(rows[:6], kinds, strict=True)]
+    cols += [pa.array(np.array(rows[6], np.uint64).view(np.int64)), pa.array(np.array(rows[7], np.uint32).view(np.int32))]
+    return pa.RecordBatch.from_arrays([*cols, pa.array(rows[8], pa.bool_())], names)
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, span_start, span_end, n_units, n_words, kept_doc_id): what is removed, in characters of the original text.
+def row_spans(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(rid, rank, span_start, span_end, n_units, n_words, kept) of ``rows`` (rid, doc_id, text); ranks are doc_ids, ``LAST`` for null."""
+    ship(rows.sparkSession)
+    with scratch(rows.sparkSession) as keep:
+        return keep(saved(_runs(rows, min_words), "spans"))
 
-    kept_doc_id is the smallest document that keeps one of the run's units.
-    """
-    ship(docs.sparkSession)
-    ranked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text")
-    schema = "rank long, pos int, start int, `end` int, words int, h1 long, h2 int, again boolean"
+
+def _runs(rows: DataFrame, min_words: int) -> DataFrame:
+    ranked = rows.select("rid", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text")
+    schema = "rid long, rank long, pos int, start int, `end` int, words int, h1 long, h2 int, again boolean"
     all_units = saved(ranked.mapInArrow(unit_batches, schema), "units")
-    kept = all_units.groupBy("h1", "h2").agg(F.min("rank").alias("kept"), F.max("rank").alias("other"))
-    shared = saved(kept.where("kept < other").select("h1", "h2", "kept"), "repeated-units")
+    kept = all_units.groupBy("h1", "h2").agg(F.min("rank").alias("kept"), F.min("rid").alias("low"), F.max("rid").alias("high"))
+    shared = saved(kept.where("low < high").select("h1", "h2", "kept"), "repeated-units")
+    tidy(rows.sparkSession)  # the grouping's shuffle is done with
     # the digest alone leads back to every occurrence after the first
-    later = all_units.join(shared, ["h1", "h2"]).where("rank > kept").select("rank", "pos", "start", "end", "words", "kept")
-    inside = all_units.where("again").select("rank", "pos", "start", "end", "words", F.col("rank").alias("kept"))
-    marked = later.unionByName(inside).groupBy("rank", "pos", "start", "end", "words").agg(F.min("kept").alias("kept"))
-    run = F.col("pos") - F.row_number().over(Window.partitionBy("rank").orderBy("pos", "start"))
-    runs = marked.withColumn("run", run).groupBy("rank", "run").agg(
+    met = all_units.join(shared, ["h1", "h2"])
+    columns = ["rid", "rank", "pos", "start", "end", "words", "kept"]
+    marked = met.where("rank > kept").select(*columns).unionByName(all_units.where("again").select(*columns[:-1], F.col("rank").alias("kept")))
+    # ranks that several rows have; none where doc_ids are unique
+    several = saved(all_units.groupBy("rank").agg(F.min("rid").alias("low"), F.max("rid").alias("high")).where("low < high").select("rank"), "shared-ranks")
+    if not several.isEmpty():
+        own = met.where("rank = kept").join(several, "rank", "left_semi")
+        first = saved(own.groupBy("h1", "h2").agg(F.min("rid").alias("first")), "first-rows")
+        marked = marked.unionByName(own.join(first, ["h1", "h2"]).where("rid > first").select(*columns))
+    marked = marked.groupBy(*columns[:-1]).agg(F.min("kept").alias("kept"))
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
+    runs = marked.withColumn("run", run).groupBy("rid", "rank", "run").agg(
         F.min("start").alias("span_start"), F.max("end").alias("span_end"), F.count("*").alias("n_units"),
         F.sum("words").alias("n_words"), F.min("kept").alias("kept"), F.sum(F.when(F.col("words") >= FIRM, F.col("words"))).alias("firm"),
     )
+    return runs.where(F.col("firm") >= min_words).drop("run", "firm")
+
+
+def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, span_start, span_end, n_units, n_words, kept_doc_id): what is removed, in characters of the original text.
+
+    kept_doc_id is the smallest document that keeps one of the run's units.
+    """
+    spans = row_spans(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), min_words)
     real = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    long_runs = runs.where(F.col("firm") >= min_words)
-    return long_runs.select(real("rank").alias("doc_id"), "span_start", "span_end", "n_units", "n_words", real("kept").alias("kept_doc_id"))
+    return spans.select(real("rank").alias("doc_id"), "span_start", "span_end", "n_units", "n_words", real("kept").alias("kept_doc_id"))
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated spans cut out of ``text`` and ``removed``, their offsets in the original, added."""
-    spans = repeated_spans(docs, min_words).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("removed_"))
-    spans = spans.withColumnRenamed("doc_id", "cut_id")
-    joined = docs.select(F.struct(*docs.columns).alias("row_"), F.col("doc_id").alias("own_id")).join(spans, F.col("own_id").eqNullSafe(F.col("cut_id")), "left")
+    """``docs`` with repeated spans cut out of ``text`` and ``removed``, their offsets in the original, added in place of a column of that name."""
+    numbered = saved(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row_")), "numbered")
+    spans = row_spans(numbered.select("rid", F.col("row_.doc_id").alias("doc_id"), F.col("row_.text").alias("text")), min_words)
+    cut = spans.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("removed_"))
+    joined = numbered.join(cut, "rid", "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
     text = F.col("row_.text")
     walked = F.aggregate(
@@ -135,7 +155,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     clean = F.when(F.col("removed_").isNull(), text).otherwise(walked)
     none = F.array().cast("array<struct<span_start:int,span_end:int>>")
-    others = [clean.alias(c) if c == "text" else F.col("row_")[c].alias(c) for c in docs.columns]
+    others = [clean.alias(c) if c == "text" else F.col("row_")[c].alias(c) for c in docs.columns if c != "removed"]
     return joined.select(*others, F.coalesce("removed_", none).alias("removed"))
 
 

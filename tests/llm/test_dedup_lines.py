@@ -61,7 +61,8 @@ def test_substring_edges(spark):
     rows = [(1, None, 1), (2, "", 1), (3, text, 1), (3, text, 1), (None, text, 1), (4, text + "\n" + text, 1), (5, "ab cd ef gh. " * 100_000, 1)]
     docs = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.doc_id or 0, r.span_start, r.kept_doc_id) for r in substring_dedup.repeated_spans(docs).collect())
-    assert got == [(0, 0, 3), (4, 0, 3), (5, 13, 5)]
+    # the second row of document 3 repeats the first
+    assert got == [(0, 0, 3), (3, 0, 3), (4, 0, 3), (5, 13, 5)]
     assert substring_dedup.without_repeats(docs).columns == ["doc_id", "text", "rank", "removed"]
     assert substring_dedup.repeated_spans(docs.limit(0)).count() == 0
 
@@ -101,3 +102,22 @@ def test_every_removed_chunk_stays_somewhere(spark):
     removed = {(r.doc_id, x.first) for r in line_dedup.repeated_chunks(docs).select("doc_id", F.col("removed")).collect() for x in r.removed}
     kept = {t for k, t in chunks.items() if k not in removed}
     assert removed and all(chunks[k] in kept for k in removed)
+
+
+def test_rows_with_one_id_or_none_keep_their_own_texts(spark):
+    rng = random.Random(6)
+    shared, other, third, fourth = (passage(rng, 4) for _ in range(4))
+    rows = [(1, shared, 0), (None, shared, 1), (None, other, 2), (2, third, 3), (2, fourth, 4), (2, third + " " + other, 5), (None, other, 6)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("removed", F.lit("x")).repartition(3)
+    clean = substring_dedup.without_repeats(docs)
+    assert clean.columns == ["doc_id", "text", "rank", "removed"]
+    texts = {r.rank: r.text.strip() for r in clean.collect()}
+    assert texts[0] == shared and texts[1] == "" and texts[4] == fourth
+    # of the two null rows and of the rows with id 2 the first in the table keeps the text, whichever that is
+    assert sorted([texts[3], texts[5]], key=len)[0] == "" or texts[5] == ""
+    left = " ".join(texts.values())
+    assert all(left.count(t) == 1 for t in (shared, other, third, fourth))
+    lines = [(None, "\n".join(passage(rng, 1) for _ in range(30)), k) for k in range(3)] + [(5, "\n".join(passage(rng, 1) for _ in range(30)), k) for k in (3, 4)]
+    docs = spark.createDataFrame([*lines, (4, lines[0][1], 5)], SCHEMA)
+    texts = {r.rank: r.text for r in line_dedup.without_repeats(docs).collect()}
+    assert all(texts[k] == t for _, t, k in lines[1:]) and texts[5] == lines[0][1] and len(texts[0]) < len(lines[0][1]) / 2
