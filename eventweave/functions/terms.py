@@ -75,3 +75,9 @@ def template_names(report: Column) -> Column:
 
 def month_name(day: Column) -> Column:
     return F.date_format(day, "MMMM_yyyy")
+
+
+def without_suffix(text: Column, suffix: Column) -> Column:
+    """A text without what it ends with; an empty or absent suffix takes nothing away."""
+    ends = F.endswith(text, suffix) & (suffix != "")
+    return F.when(ends, F.substring(text, F.lit(1), F.char_length(text) - F.char_length(suffix))).otherwise(text)

@@ -339,3 +339,38 @@ def sparql_ordered_top(spark, sf_dir):
 
     t = graph.topics(spark, sf_dir).where("s NOT LIKE 'topic/region/%'")
     return sparql(t, "SELECT ?topic ?article (COUNT(*) AS ?n) WHERE { OPTIONAL { ?x no_such_predicate ?y } ?topic label ?l OPTIONAL { ?topic article ?article } } GROUP BY ?topic ?article ORDER BY ?topic LIMIT 20")
+
+
+@query("SELECT DISTINCT 'Template:Infobox_' || lower(p_type) AS template FROM part")
+def place_templates(spark, sf_dir):
+    """Templates that a list page's anchors name; other anchors are left alone."""
+    from eventweave.sources import articles
+
+    anchor = F.concat(F.lit('<a href="/wiki/Template:Infobox_'), F.lower("p_type"), F.lit('">Template:Infobox '), "p_type", F.lit('</a> <a href="/wiki/Other_'), "p_type", F.lit('">Other</a>'))
+    html = F.concat(F.lit('<div class="mw-parser-output">'), F.concat_ws(" ", F.collect_list(anchor)), F.lit("</div>"))
+    page = table(spark, sf_dir, "part").select("p_type").distinct().groupBy().agg(html.alias("html"))
+    return articles.place_templates(page)
+
+
+@query(extracted.ORDERS + "SELECT strftime(m, '%B_%Y') AS month FROM range(DATE '1994-10-01', DATE '1996-01-01', INTERVAL 1 MONTH) t(m) WHERE strftime(m, '%B_%Y') NOT IN (SELECT month FROM w)")
+def months_to_build(spark, sf_dir):
+    """Months of a range that no module has yet."""
+    wanted = datetimes.month_range(spark, "1994-10", "1995-12").select(F.col("name").alias("month"))
+    return triples.missing_months(wanted, extracted.built(spark, sf_dir))
+
+
+@query("SELECT event_id, CAST(event_id AS VARCHAR) || ' text' AS plain FROM events")
+def text_without_source(spark, sf_dir):
+    """A text without the source that it ends with; of three rows one has an empty source and one none."""
+    source = F.when(F.col("event_id") % 3 == 0, " (News)").when(F.col("event_id") % 3 == 1, "")
+    text = F.concat(F.col("event_id").cast("string"), F.lit(" text"), F.coalesce(source, F.lit("")))
+    return table(spark, sf_dir, "events").select("event_id", terms.without_suffix(text, source).alias("plain"))
+
+
+@query("SELECT 'n' || n_nationkey AS area, 54 AS box FROM nation WHERE n_regionkey = 2")
+def shape_cache(spark, sf_dir):
+    """Shapes cached with their boxes, and those inside one region's polygon read back."""
+    path = extracted._shared(spark, f"shapes-{abs(hash(sf_dir))}")
+    eventmap.save_shapes(_shapes(spark, sf_dir).where(F.col("area").startswith("n")), path)
+    back = eventmap.load_shapes(spark, path, within="POLYGON ((-1 199, 200 199, 200 298, -1 298, -1 199))")
+    return back.select("area", F.round("box").cast("long").alias("box"))

@@ -24,10 +24,11 @@ class Node:
 
     def walk(self):
         """This element and all below, in document order."""
-        yield self
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.walk()
+        stack = [self]
+        while stack:
+            n = stack.pop()
+            yield n
+            stack.extend(c for c in reversed(n.children) if isinstance(c, Node))
 
     def find(self, tag: str | None = None, cls: str | None = None, ident: str | None = None) -> Node | None:
         return next(self.find_all(tag, cls, ident), None)

@@ -123,8 +123,17 @@ def _categories(body: Node) -> dict:
     return out
 
 
-def _day(root: Node, year: int, month: int, day: int) -> Node | None:
-    box = root.find(ident=f"{year}_{calendar.month_name[month]}_{day}")
+def _by_id(root: Node) -> dict[str, Node]:
+    """The first element of each id: one walk for all days of a page."""
+    out: dict[str, Node] = {}
+    for n in root.walk():
+        if "id" in n.attrs:
+            out.setdefault(n.attrs["id"], n)
+    return out
+
+
+def _day(boxes: dict[str, Node], year: int, month: int, day: int) -> Node | None:
+    box = boxes.get(f"{year}_{calendar.month_name[month]}_{day}")
     if box is None:
         return None
     body = box.find(cls="description")
@@ -141,9 +150,10 @@ def parse_page(month: str, url: str, html: str) -> tuple[list[dict], list[dict]]
     name, year = month.split("_")
     number = list(calendar.month_name).index(name)
     root = parse(html)
+    boxes = _by_id(root)
     refs, events, topics = references(root), [], []
     for day in range(1, calendar.monthrange(int(year), number)[1] + 1):
-        body = _day(root, int(year), number, day)
+        body = _day(boxes, int(year), number, day)
         if body is None:
             continue
         date = pd.Timestamp(int(year), number, day).date()
