@@ -84,7 +84,7 @@ def lengths(texts, model: str, piece: int = PIECE_BYTES, batch: int = BATCH_BYTE
         for part in split_safely(text, piece) if can_split else [text]:
             parts.append(part)
             owners.append(i)
-            size += len(part)
+            size += len(part) if part.isascii() else len(part.encode("utf-8", "surrogatepass"))
             if size >= batch:
                 encode()
                 size = 0
