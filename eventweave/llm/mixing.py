@@ -185,7 +185,8 @@ def _copies(rows: DataFrame, weights, share: float, most: int, seed: int) -> Dat
         full = saved(full, "wanted")
         choice = rounded(full.where("size > 0 AND mass > 0 AND mass < size").select("rid", "source", "h", "size", "mass"), seed)
         copies = F.when(F.col("size") > 0, F.col("base") + F.coalesce("one", F.lit(0))).otherwise(0).cast("long")
-        return keep(saved(full.join(choice, "rid", "left").select(*rows.columns, "source_size", "target", copies.alias("copies")), "copies"))
+        # row numbers compress so well that Spark would take the choices for small and broadcast them
+        return keep(saved(full.join(choice.hint("merge"), "rid", "left").select(*rows.columns, "source_size", "target", copies.alias("copies")), "copies"))
 
 
 def _sized(docs: DataFrame, seed: int) -> list[Column]:
