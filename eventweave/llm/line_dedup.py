@@ -100,10 +100,11 @@ def without_repeats(docs: DataFrame, span: int = SPAN, every: int = EVERY, multi
     rows = numbered.select("rid", F.col("row_.doc_id").alias("doc_id"), F.col("row_.text").alias("text"))
     cut = repeated_chunks(rows, span, every, multi).where(F.size("removed") > 0).select("rid", "removed")
     joined = numbered.join(cut, "rid", "left")
-    lines = F.flatten(F.transform("removed", lambda r: F.sequence(r["first"], r["first"] + r["lines"] - 1)))
-    joined = joined.withColumn("lines_", F.split("row_.text", "\n"))
-    left = F.array_except(F.sequence(F.lit(1), F.size("lines_")), lines)
-    kept = F.array_join(F.transform(left, lambda i: F.get("lines_", i - 1)), "\n")
+    gone = F.flatten(F.transform("removed", lambda r: F.sequence(r["first"], r["first"] + r["lines"] - 1)))
+    left = lambda ls: F.array_except(F.sequence(F.lit(1), F.size(ls)), gone)
+    # the lines as a variable: as an expression they would be split again for each line
+    joining = lambda ls: F.array_join(F.transform(left(ls), lambda i: F.get(ls, i - 1)), "\n")
+    kept = F.element_at(F.transform(F.array(F.split("row_.text", "\n")), joining), 1)
     text = F.when(F.col("removed").isNull(), F.col("row_.text")).otherwise(kept)
     return joined.select(*[text.alias(c) if c == "text" else F.col("row_")[c].alias(c) for c in docs.columns])
 
