@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventweave.llm.common import saved, scratch, ship, table, tidy
+from eventweave.llm.common import saved, scratch, ship, table
 
 MIN_WORDS = 20
 FIRM = 4
@@ -108,20 +108,18 @@ def _runs(rows: DataFrame, min_words: int) -> DataFrame:
     ranked = rows.select("rid", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text")
     schema = "rid long, rank long, pos int, start int, `end` int, words int, h1 long, h2 int, again boolean"
     all_units = saved(ranked.mapInArrow(unit_batches, schema), "units")
-    kept = all_units.groupBy("h1", "h2").agg(F.min("rank").alias("kept"), F.min("rid").alias("low"), F.max("rid").alias("high"))
-    shared = saved(kept.where("low < high").select("h1", "h2", "kept"), "repeated-units")
-    tidy(rows.sparkSession)  # the grouping's shuffle is done with
-    # the digest alone leads back to every occurrence after the first
-    met = all_units.join(shared, ["h1", "h2"])
+    kept = all_units.groupBy("h1", "h2").agg(F.min("rank").alias("kept"), F.count("*").alias("n"))
+    repeated = saved(kept.where("n > 1").select("h1", "h2", "kept"), "repeated-units")
+    # the digest alone leads back to every occurrence; an equal unit before it in its own text, or in an earlier document, makes it a repeat
+    met = all_units.join(repeated, ["h1", "h2"])
     columns = ["rid", "rank", "pos", "start", "end", "words", "kept"]
-    marked = met.where("rank > kept").select(*columns).unionByName(all_units.where("again").select(*columns[:-1], F.col("rank").alias("kept")))
+    marked = met.where("rank > kept OR again").select(*columns)
     # ranks that several rows have; none where doc_ids are unique
     several = saved(all_units.groupBy("rank").agg(F.min("rid").alias("low"), F.max("rid").alias("high")).where("low < high").select("rank"), "shared-ranks")
     if not several.isEmpty():
-        own = met.where("rank = kept").join(several, "rank", "left_semi")
+        own = met.where("rank = kept AND NOT again").join(several, "rank", "left_semi")
         first = saved(own.groupBy("h1", "h2").agg(F.min("rid").alias("first")), "first-rows")
         marked = marked.unionByName(own.join(first, ["h1", "h2"]).where("rid > first").select(*columns))
-    marked = marked.groupBy(*columns[:-1]).agg(F.min("kept").alias("kept"))
     run = F.col("pos") - F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
     runs = marked.withColumn("run", run).groupBy("rid", "rank", "run").agg(
         F.min("start").alias("span_start"), F.max("end").alias("span_end"), F.count("*").alias("n_units"),
