@@ -84,8 +84,11 @@ def repeated_chunks(docs: DataFrame, span: int = SPAN, every: int = EVERY, multi
         narrow = lambda c: F.struct(c["first"].alias("first"), c["lines"].alias("lines"), solid(c["chunk"]).alias("solid"), *digests(c["chunk"]))
         parts = saved(rows.select("rid", "doc_id", "n_lines", F.transform("chunks", narrow).alias("chunks")), "chunks")
         each = parts.select("rid", rank.alias("rank"), F.posexplode("chunks").alias("pos", "c")).select("rid", "rank", "pos", "c.*")
-        nth = F.row_number().over(Window.partitionBy("rid", "d1", "d2").orderBy("first"))
-        found = each.join(twice, ["d1", "d2"]).withColumn("nth", nth).where((F.col("nth") > 1) | (F.col("rank") > F.col("kept")))
+        # by row alone: a window over digests would keep the join's dealing, and a line that all share would be one task's
+        inside = Window.partitionBy("rid").orderBy("d1", "d2", "first")
+        again = (F.lag("d1").over(inside) == F.col("d1")) & (F.lag("d2").over(inside) == F.col("d2"))
+        each = each.withColumn("again", F.coalesce(again, F.lit(False)))
+        found = each.join(twice, ["d1", "d2"]).where("again OR rank > kept")
         run = F.col("pos") - F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
         runs = found.select("rid", "pos", "first", "lines", "solid").withColumn("run", run)
         runs = runs.withColumn("all", F.sum("solid").over(Window.partitionBy("rid", "run"))).where(F.col("all") >= multi)
