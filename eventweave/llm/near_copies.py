@@ -1,18 +1,30 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles.
+"""Near-duplicates by the exact Jaccard similarity of word shingles, met by SimHash.
 
 Texts are sets of hashed five-word shingles, A-Z lower-cased; a text of one to
 four words is one shingle. Two texts are linked if their sets' similarity is 0.8
-or more. Candidates share one of 32 bands of 4 minhashes, which at similarity
-0.8 fails for one pair in twenty million; a candidate's similarity is then
-computed from the whole sets.
-
-Equal sets are grouped first. In each band's bucket all members are compared
-with the smallest one. Buckets of three or more whose members still belong to
-different groups are then searched by growth: a member is compared with those
-not reached yet, and what it links is reached with its whole group, so a bucket
-gives a spanning forest and not its pairs. Buckets with the same members are
-searched once; one with more than ``TILE`` shingles is dealt into tiles whose
-pairs are searched in separate tasks. No bucket, link or candidate is dropped.
+or more. Candidates are found by SimHash and anchors, as in ``simhash``, with a
+fingerprint wide enough for that similarity: at 0.8 about 15 of 100 bits differ,
+too many for 64 bits at once. 2480 bits are cut into 80 segments of 31, the
+length of the perfect Hamming code. In each segment a fingerprint goes to every
+code word within 2 bits, so two that differ in at most 2 bits of a segment meet
+there, since a code word is within 1 of the point halfway. Any two fingerprints
+within 239 bits therefore meet; at similarity 0.8 (about 376 bits) a pair meets
+in one segment in five, and in none of 80 for one pair in fifty million. Two that
+meet are candidates within ``NEAR`` of ``CHECKED`` bits. Sets of at most nine
+shingles have coarse fingerprints: they also meet at the sets with one shingle
+less, which no similar pair with nine shingles in all can miss, so sets of at
+most seven meet there alone.
+
+A candidate's similarity is computed from the whole sets. Equal sets are grouped
+first. At an anchor, clusters of up to ``FEW`` candidates give their pairs.
+Larger ones are buckets: all members are compared with the smallest one, and
+while they belong to different groups a bucket is searched by growth: a member
+is compared with those not reached yet, and what it links is reached with its
+whole group, so a bucket gives a spanning forest and not its pairs. Buckets with
+the same members are searched once; one with more than ``TILE`` shingles is
+dealt into tiles whose pairs are searched in separate tasks. No anchor, bucket,
+link or candidate is dropped. The segments take turns, so that only a few of
+them lie on disk at a time; after the first turns members of one group meet no more.
 
 Joins of two tables that both grow with the corpus are sort-merge joins at every
 size, so a small run shows the plan and the shuffles of a large one.
@@ -28,18 +40,27 @@ from pyspark.sql import functions as F
 
 from eventweave.llm.common import saved, scratch, ship, tidy
 from eventweave.llm.components import components
+from eventweave.llm.simhash import FLIPS, _syndromes
 
 SHINGLE = 5
 #: The least similarity of a link, as numerator and denominator.
 SIMILAR = (4, 5)
-BANDS, ROWS = 32, 4
+#: Bits of a segment, the length of the Hamming code, and segments of a fingerprint.
+BITS, SEGMENTS = 31, 80
+#: Segments whose anchors are met in one turn, and turns before the first links are made.
+TURN, FIRST = 4, 2
+#: Candidates differ in at most NEAR bits of the first CHECKED: at similarity 0.8 one pair in ten million does not.
+CHECKED, NEAR = 186, 57
+#: Sets up to this size also meet at the sets with one shingle less; up to the second they need no segments.
+SHORT, ALONE = 9, 7
+#: Members of a cluster whose pairs are listed, and fingerprints of an anchor that one task searches for clusters.
+FEW, CROWD = 32, 4096
 #: Shingles of a bucket, or of a tile of a larger bucket, in one task.
 TILE = 1 << 19
 #: Candidates compared with one set in one task.
 FAN = 2048
-_rng = np.random.default_rng(42)
-FACTORS = (_rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
-OFFSETS = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64)[:, None]
+FACTORS = np.random.default_rng(42).integers(0, 1 << 63, SEGMENTS // 2, np.uint64) << np.uint64(1) | np.uint64(1)
+TIES = np.random.default_rng(43).integers(0, 2, SEGMENTS * 32)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -52,30 +73,171 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(np.fromiter((digest(join(words[i : i + SHINGLE])) for i in range(last)), np.uint64, last))
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A signed key for each band; none for an empty set."""
-    if not len(hashes):
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The wide SimHash of a set of shingles, 31 bits of each 32-bit word; in a tie ``TIES`` decides."""
+    ones = np.zeros(SEGMENTS * 32, np.int64)
+    for at in range(0, len(hashes), 255):
+        h = hashes[at : at + 255, None] * FACTORS
+        h = (h ^ h >> np.uint64(32)) * np.uint64(0xC4CEB9FE1A85EC53)
+        h ^= h >> np.uint64(29)
+        bits = np.unpackbits(h.view(np.uint8), axis=1, bitorder="little")
+        ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones + TIES > len(hashes), bitorder="little").view(np.uint32) & np.uint32((1 << BITS) - 1)
+
+
+def short_keys(hashes: np.ndarray) -> list[int]:
+    """Keys of a short set and of the sets with one shingle less, apart from the segments' anchors."""
+    if not 0 < len(hashes) <= SHORT:
         return []
-    least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        np.minimum(least, (FACTORS * hashes[at : at + 2048] + OFFSETS).min(1), out=least)
-    keys = [xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+    near = [hashes, *(np.delete(hashes, i) for i in range(len(hashes)))] if len(hashes) > 1 else [hashes]
+    return [xxhash.xxh64_intdigest(x.tobytes()) >> 2 | 1 << 62 for x in near]
 
 
 def set_rows(batches):
-    """Arrow batches (rid, doc_id, text) to (rid, doc_id, sid, size, keys); sid stands for the set of shingles."""
+    """Arrow batches (rid, doc_id, text) to (rid, doc_id, sid, size, print, short); sid stands for the set of shingles."""
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            sids, sizes, keys = [], [], []
+            sids, sizes, prints, short = [], [], [], []
             for x in batch.column(2).cast(pa.binary()):
                 found = shingles(x.as_py() or b"")
                 sids.append(xxhash.xxh64_intdigest(found.tobytes()))
                 sizes.append(len(found))
-                keys.append(band_keys(found))
-            cols = [pa.array(np.array(sids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["rid", "doc_id", "sid", "size", "keys"])
+                prints.append(fingerprint(found).tobytes() if len(found) else b"")
+                short.append(short_keys(found))
+            cols = [pa.array(np.array(sids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary()), pa.array(short, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["rid", "doc_id", "sid", "size", "print", "short"])
+
+
+def anchors(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code words within 2 bits of each 31-bit number, and beside each the index of its number."""
+    part = part.astype(np.uint64)
+    syn = _syndromes(part)
+    mine = np.ones((len(part), FLIPS.shape[1]), bool)
+    mine[syn == 0, 1:] = False  # a code word has no other within 2 bits
+    return (part[:, None] ^ FLIPS[syn])[mine], np.nonzero(mine)[0]
+
+
+def replicate(batches, segments):
+    """Arrow batches (sid, root, print, short) to (anchor, sid, root, a, b, c): at each anchor of ``segments``, with the checked bits.
+
+    With segment 0 also at the short sets' keys, where every two are candidates.
+    """
+    shift = np.uint64(BITS)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1024):
+            batch = whole.slice(at, 1024)
+            sid, root = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(len(sid), SEGMENTS)
+            wide = prints[:, : CHECKED // BITS].astype(np.uint64)
+            check = wide[:, ::2] | wide[:, 1::2] << shift
+            short = batch.column(3)
+            counts = short.value_lengths().to_numpy(zero_copy_only=False)
+            long = np.flatnonzero((counts == 0) | (counts > ALONE + 1))
+            out = []
+            for s in segments:
+                words, who = anchors(prints[long, s])
+                out.append((words | np.uint64(s) << shift, long[who], check[long[who]]))
+            if 0 in segments:
+                keys = short.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                who = np.repeat(np.arange(len(sid)), counts)
+                out.append((keys, who, np.zeros((len(keys), 3), np.uint64)))
+            key, who, seen = (np.concatenate(x) for x in zip(*out, strict=True))
+            cols = [key.view(np.int64), sid[who], root[who], *(seen[:, i].copy().view(np.int64) for i in range(3))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["anchor", "sid", "root", "a", "b", "c"])
+
+
+def _bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
+
+
+def _clusters(check: np.ndarray) -> list[np.ndarray]:
+    """The indexes of each two or more rows that are connected by ``NEAR`` bits or fewer."""
+    out, rest = [], np.arange(len(check))
+    while len(rest):
+        queue, cluster, rest = [rest[0]], [rest[0]], rest[1:]
+        while queue and len(rest):
+            near = _bits_apart(check[rest], check[queue.pop()]) <= NEAR
+            queue += rest[near].tolist()
+            cluster += rest[near].tolist()
+            rest = rest[~near]
+        if len(cluster) > 1:
+            out.append(np.array(cluster))
+    return out
+
+
+def met_at_anchors(batches):
+    """Arrow batches (anchor, sid, root, a, b, c), sorted by anchor, to rows (kind, u, v).
+
+    Kind 0 is a candidate pair of different roots. Kind 1 is (bucket, sid) of a
+    bucket whose members have different roots, or of an anchor with over
+    ``CROWD`` rows, which is a bucket as it is. No more than one anchor's
+    ``CROWD`` rows are held between batches.
+    """
+
+    def pairs(u, v):
+        u, v = np.minimum(u, v), np.maximum(u, v)
+        return np.zeros(len(u), np.int32), u, v
+
+    def bucket(key, sid):
+        return np.ones(len(sid), np.int32), np.full(len(sid), key, np.int64), sid
+
+    def batch_of(out):
+        kind, u, v = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(u), pa.array(v)], ["kind", "u", "v"])
+
+    def finished(key, sid, root, check):
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[starts, len(key)])
+        out = []
+        for s, n in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
+            if n > CROWD:
+                out.append(bucket(key[s], sid[s : s + n]))
+                continue
+            for at in _clusters(check[s : s + n]):
+                at = at + s
+                if len(at) > FEW:
+                    if (root[at] != root[at[0]]).any():
+                        members = np.sort(sid[at])
+                        out.append(bucket(np.uint64(xxhash.xxh64_intdigest(members.tobytes())).view(np.int64), members))
+                    continue
+                i, j = np.triu_indices(len(at), 1)
+                near = (_bits_apart(check[at[i]], check[at[j]]) <= NEAR) & (root[at[i]] != root[at[j]])
+                out.append(pairs(sid[at[i[near]]], sid[at[j[near]]]))
+        small = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
+        key, sid, root, check = key[small], sid[small], root[small], check[small]
+        for lag in range(1, FEW):
+            at = np.flatnonzero(key[lag:] == key[:-lag])
+            if not len(at):
+                break
+            near = at[(root[at] != root[at + lag]) & (_bits_apart(check[at], check[at + lag]) <= NEAR)]
+            out.append(pairs(sid[near], sid[near + lag]))
+        if sum(len(kind) for kind, _, _ in out):
+            yield batch_of(out)
+
+    held = (*(np.empty(0, np.int64) for _ in range(3)), np.empty((0, 3), np.uint64))
+    hot = None
+    for batch in batches:
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        new = (*cols[:3], np.stack(cols[3:], axis=1).view(np.uint64))
+        key, sid, root, check = (np.concatenate(x) for x in zip(held, new, strict=True))
+        if hot is not None and len(key):
+            end = int(np.searchsorted(key, hot, "right"))
+            if end:
+                yield batch_of([bucket(hot, sid[:end])])
+            if end < len(key):
+                hot = None
+            key, sid, root, check = key[end:], sid[end:], root[end:], check[end:]
+        cut = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
+        if cut:
+            yield from finished(key[:cut], sid[:cut], root[:cut], check[:cut])
+        held = key[cut:], sid[cut:], root[cut:], check[cut:]
+        if len(held[0]) > CROWD:
+            hot = held[0][0]
+            yield batch_of([bucket(hot, held[1])])
+            held = tuple(x[:0] for x in held)
+    if len(held[0]):
+        yield from finished(*held)
 
 
 def hash_rows(batches):
@@ -193,8 +355,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _grown_links(shared: DataFrame, roots: DataFrame, sets: DataFrame, tile: int) -> DataFrame:
-    """Links inside buckets of three or more members that are not one group yet."""
-    rest = shared.where("n > 2").join(roots, "sid", "left").select("key", "sid", "size", F.coalesce("root", "sid").alias("root"))
+    """Links inside buckets (key, sid, size) whose members are not one group yet."""
+    rest = shared.join(roots.hint("merge"), "sid", "left").select("key", "sid", "size", F.coalesce("root", "sid").alias("root"))
     rest = saved(rest, "bucket-roots")
     facts = rest.groupBy("key").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.col("size").cast("long")).alias("weight"),
@@ -211,32 +373,61 @@ def _grown_links(shared: DataFrame, roots: DataFrame, sets: DataFrame, tile: int
     return saved(rows.mapInArrow(links_in_buckets, "u long, v long").distinct(), "grown-links")
 
 
+def _met(groups: DataFrame, segments: range) -> DataFrame:
+    """(kind, u, v) that meet in ``segments``, some at a time: each turn's shuffle goes before the next."""
+    out = None
+    for at in range(segments.start, segments.stop, TURN):
+        turn = segments[at - segments.start : at - segments.start + TURN]
+        rows = groups.mapInArrow(lambda it, turn=turn: replicate(it, turn), "anchor long, sid long, root long, a long, b long, c long")
+        rows = rows.repartition("anchor").sortWithinPartitions("anchor")
+        found = saved(rows.mapInArrow(met_at_anchors, "kind int, u long, v long").distinct(), "met")
+        out = found if out is None else out.unionByName(found)
+        del rows
+        tidy(groups.sparkSession)
+    return out
+
+
+def _sets_of(met: DataFrame, groups: DataFrame, rows: DataFrame) -> DataFrame:
+    """(sid, hashes) of all that ``met``."""
+    who = met.where("kind = 0").select(F.explode(F.array("u", "v")).alias("sid")).unionByName(met.where("kind = 1").select(F.col("v").alias("sid")))
+    wanted = saved(groups.select("sid", "rid").join(who.distinct().hint("merge"), "sid", "left_semi"), "candidates")
+    texts = rows.select("rid", "text").join(wanted.hint("merge"), "rid").select("sid", "text")
+    return saved(texts.mapInArrow(hash_rows, "sid long, hashes binary"), "candidate-sets")
+
+
 def classes(rows: DataFrame, tile: int = TILE) -> DataFrame:
     """(rid, doc_id, class) for every row of ``rows`` (rid, doc_id, text), which is read more than once and must not change."""
     spark = rows.sparkSession
     ship(spark)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     keyed = rows.select("rid", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+    def rooted(groups, roots):
+        return groups.join(roots.hint("merge"), "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "print", "short")
+
     with scratch(spark) as keep:
-        sets = saved(keyed.mapInArrow(set_rows, f"rid long, doc_id {id_type}, sid long, size int, keys array<long>"), "shingle-sets")
         with scratch(spark) as keep_in:
-            groups = saved(sets.groupBy("sid").agg(F.min("rid").alias("rid"), F.first("size").alias("size"), F.first("keys").alias("keys")), "distinct-sets")
-            members = groups.select("sid", "size", F.explode("keys").alias("key"))
-            stats = saved(members.groupBy("key").agg(F.min("sid").alias("head"), F.count("*").alias("n")).where("n > 1"), "buckets")
-            shared = keep_in(saved(members.join(stats.hint("merge"), "key"), "shared-bands"))
-            wanted = saved(groups.join(shared.select("sid").distinct(), "sid", "left_semi").select("sid", "rid"), "candidates")
-            tidy(spark)
-            texts = rows.select("rid", "text").join(wanted.hint("merge"), "rid").select("sid", "text")
-            hashed = keep_in(saved(texts.mapInArrow(hash_rows, "sid long, hashes binary"), "candidate-sets"))
-            heads = groups.select(F.col("sid").alias("head"), F.col("size").alias("head_size"))
-            to_head = shared.where("sid <> head").select("head", "sid", "size").distinct().join(heads, "head")
-            near = F.least("size", "head_size") * SIMILAR[1] >= F.greatest("size", "head_size") * SIMILAR[0]
-            tried = keep_in(saved(to_head.where(near).select(F.col("head").alias("u"), F.col("sid").alias("v")), "candidate-pairs"))
-        links = _linked(tried, hashed)
+            sets = saved(keyed.mapInArrow(set_rows, f"rid long, doc_id {id_type}, sid long, size int, print binary, short array<long>"), "shingle-sets")
+            groups = keep_in(saved(sets.groupBy("sid").agg(F.min("rid").alias("rid"), *(F.first(c).alias(c) for c in ("size", "print", "short"))), "distinct-sets"))
+            members = keep_in(saved(sets.select("rid", "doc_id", "sid"), "members"))
+        worded = groups.where("size > 0")
+        first = _met(worded.select("sid", F.col("sid").alias("root"), "print", "short"), range(0, FIRST * TURN))
+        with scratch(spark) as keep_in:
+            heads = saved(first.where("kind = 1").groupBy("u").agg(F.min("v").alias("head")), "bucket-heads")
+            to_head = first.where("kind = 1").join(heads.hint("merge"), "u").where("v <> head").select(F.col("head").alias("u"), "v")
+            links = keep_in(_linked(first.where("kind = 0").select("u", "v").unionByName(to_head).distinct(), _sets_of(first, groups, rows)))
+        roots = saved(components(links), "set-roots").withColumnRenamed("node", "sid")
+        with scratch(spark) as keep_in:
+            rest = saved(rooted(worded, roots), "rooted-sets")
+            later = _met(rest, range(FIRST * TURN, SEGMENTS))
+            later = keep_in(saved(later.distinct(), "met-later"))
+        hashed = _sets_of(first.where("kind = 1").unionByName(later), groups, rows)
+        links = links.unionByName(_linked(later.where("kind = 0").select("u", "v"), hashed))
         roots = saved(components(links), "set-roots").withColumnRenamed("node", "sid")
-        more = _grown_links(shared, roots, hashed, tile)
-        roots = saved(components(links.unionByName(more)), "set-roots").withColumnRenamed("node", "sid")
-        found = sets.select("rid", "doc_id", "sid").join(roots.hint("merge"), "sid", "left").select("rid", "doc_id", F.coalesce("root", "sid").alias("class"))
+        buckets = first.unionByName(later).where("kind = 1").select(F.col("u").alias("key"), F.col("v").alias("sid")).distinct()
+        shared = buckets.join(groups.select("sid", "size").hint("merge"), "sid")
+        roots = saved(components(links.unionByName(_grown_links(shared, roots, hashed, tile))), "set-roots").withColumnRenamed("node", "sid")
+        found = members.join(roots.hint("merge"), "sid", "left").select("rid", "doc_id", F.coalesce("root", "sid").alias("class"))
         return keep(saved(found, "classes"))
 
 
