@@ -22,9 +22,11 @@ while they belong to different groups a bucket is searched by growth: a member
 is compared with those not reached yet, and what it links is reached with its
 whole group, so a bucket gives a spanning forest and not its pairs. Buckets with
 the same members are searched once; one with more than ``TILE`` shingles is
-dealt into tiles whose pairs are searched in separate tasks. No anchor, bucket,
-link or candidate is dropped. The segments take turns, so that only a few of
-them lie on disk at a time; after the first turns members of one group meet no more.
+dealt into tiles whose pairs are searched in separate tasks. No anchor, bucket
+or candidate is dropped; of the links of a group a spanning forest goes on to
+the components, since a large group of near copies has very many. The segments
+take turns, so that only a few of them lie on disk at a time; after the first
+turns members of one group meet no more.
 
 Joins of two tables that both grow with the corpus are sort-merge joins at every
 size, so a small run shows the plan and the shuffles of a large one.
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventweave.llm.common import saved, scratch, ship, tidy
-from eventweave.llm.components import components
+from eventweave.llm.components import components, forest
 from eventweave.llm.simhash import FLIPS, _syndromes
 
 SHINGLE = 5
@@ -395,6 +397,13 @@ def _sets_of(met: DataFrame, groups: DataFrame, rows: DataFrame) -> DataFrame:
     return saved(texts.mapInArrow(hash_rows, "sid long, hashes binary"), "candidate-sets")
 
 
+def _joined(links: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """(sid, root) of all that ``links`` connect, together with groups found before."""
+    if roots is not None:
+        links = links.unionByName(roots.select(F.col("sid").alias("u"), F.col("root").alias("v")))
+    return saved(components(forest(links)), "set-roots").withColumnRenamed("node", "sid")
+
+
 def classes(rows: DataFrame, tile: int = TILE) -> DataFrame:
     """(rid, doc_id, class) for every row of ``rows`` (rid, doc_id, text), which is read more than once and must not change."""
     spark = rows.sparkSession
@@ -416,17 +425,16 @@ def classes(rows: DataFrame, tile: int = TILE) -> DataFrame:
             heads = saved(first.where("kind = 1").groupBy("u").agg(F.min("v").alias("head")), "bucket-heads")
             to_head = first.where("kind = 1").join(heads.hint("merge"), "u").where("v <> head").select(F.col("head").alias("u"), "v")
             links = keep_in(_linked(first.where("kind = 0").select("u", "v").unionByName(to_head).distinct(), _sets_of(first, groups, rows)))
-        roots = saved(components(links), "set-roots").withColumnRenamed("node", "sid")
+        roots = _joined(links)
         with scratch(spark) as keep_in:
             rest = saved(rooted(worded, roots), "rooted-sets")
             later = _met(rest, range(FIRST * TURN, SEGMENTS))
             later = keep_in(saved(later.distinct(), "met-later"))
         hashed = _sets_of(first.where("kind = 1").unionByName(later), groups, rows)
-        links = links.unionByName(_linked(later.where("kind = 0").select("u", "v"), hashed))
-        roots = saved(components(links), "set-roots").withColumnRenamed("node", "sid")
+        roots = _joined(_linked(later.where("kind = 0").select("u", "v"), hashed), roots)
         buckets = first.unionByName(later).where("kind = 1").select(F.col("u").alias("key"), F.col("v").alias("sid")).distinct()
         shared = buckets.join(groups.select("sid", "size").hint("merge"), "sid")
-        roots = saved(components(links.unionByName(_grown_links(shared, roots, hashed, tile))), "set-roots").withColumnRenamed("node", "sid")
+        roots = _joined(_grown_links(shared, roots, hashed, tile), roots)
         found = members.join(roots.hint("merge"), "sid", "left").select("rid", "doc_id", F.coalesce("root", "sid").alias("class"))
         return keep(saved(found, "classes"))
 

@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from eventweave.llm import near_copies, simhash
+from eventweave.llm import components, near_copies, simhash
 from tests.llm.test_simhash import parts
 
 DIR = "/root/testdata/sf0.001"
@@ -88,6 +89,44 @@ def test_buckets_of_one_template_with_unlike_members(spark, tile):
     assert groups(got) == groups(want)
 
 
+def test_a_group_of_near_copies_gives_fewer_edges_than_members(spark, monkeypatch):
+    rng = random.Random(10)
+    base = [f"n{i}" for i in range(200)]
+    # ten groups of 2 as well, so that not all edges are of one group
+    rows = [(k, edited(rng, base, 1)) for k in range(60)]
+    for k in range(10):
+        words = [f"o{k}x{i}" for i in range(90)]
+        rows += [(100 + 2 * k, " ".join(words)), (101 + 2 * k, edited(rng, words, 1))]
+    counts, real = [], near_copies.components
+
+    def counted(edges):
+        counts.append(edges.count())
+        return real(edges)
+
+    monkeypatch.setattr(near_copies, "components", counted)
+    got = near_copies.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == brute(rows)
+    assert counts and all(n <= 59 + 10 for n in counts)
+
+
+@pytest.mark.parametrize("room", [40, 1 << 20])
+def test_a_forest_connects_what_its_edges_do(spark, monkeypatch, room):
+    monkeypatch.setattr(components, "ROOM", room)
+    rng = random.Random(11)
+    edges = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(250)]
+    edges += [(1000 + i, 1000 + j) for i in range(40) for j in range(i)]
+    table = spark.createDataFrame(edges, "u long, v long")
+    got = [(r.u, r.v) for r in components.forest(table.repartition(7)).collect()]
+    linked = [(u, v) for u, v in edges if u != v]
+    assert parts(got) == parts(linked)
+    nodes = len({x for e in linked for x in e})
+    assert len(got) < (nodes if room > len(edges) else len(edges) - 500)
+    batches = pa.Table.from_pylist([{"u": u, "v": v} for u, v in edges]).to_batches(max_chunksize=9)
+    stars = [e for out in components.stars_of(batches) for e in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+    assert parts(stars) == parts(linked) and len(stars) < nodes
+    assert components.forest(table.limit(0)).count() == 0
+
+
 def test_growth_between_two_sides_connects_what_all_pairs_do():
     rng = np.random.default_rng(9)
     for _ in range(60):
