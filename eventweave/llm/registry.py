@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from eventweave.llm import centroids, decontaminate, hard_negatives, line_dedup, mixing, neighbours, quality, simhash, substring_dedup, token_counts, token_files, toxicity
+from eventweave.llm import centroids, decontaminate, hard_negatives, jaccard_join, line_dedup, mixing, neighbours, quality, simhash, substring_dedup, token_counts, token_files, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_substring_dedup": substring_dedup.op1_substring_dedup,
         "op10_line_dedup": line_dedup.op10_line_dedup,
+        "op11_ngram_jaccard_join": jaccard_join.op11_ngram_jaccard_join,
         "op12_centroid_clustering": centroids.op12_centroid_clustering,
         "op13_hard_negatives": hard_negatives.op13_hard_negatives,
         "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
@@ -26,6 +27,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op9_benchmark_decontamination": decontaminate.ORACLE,
         "op10_line_dedup": line_dedup.ORACLE,
+        "op11_ngram_jaccard_join": jaccard_join.op11_ngram_jaccard_join,
         "op12_centroid_clustering": centroids.ORACLE,
         "op13_hard_negatives": hard_negatives.ORACLE,
     }
