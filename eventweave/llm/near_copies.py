@@ -13,23 +13,18 @@ in one segment in five, and in none of 80 for one pair in fifty million. Two tha
 meet are candidates within ``NEAR`` of ``CHECKED`` bits. Sets of at most nine
 shingles have coarse fingerprints: they also meet at the sets with one shingle
 less, which no similar pair with nine shingles in all can miss, so sets of at
-most seven meet there alone.
-
-A candidate's similarity is computed from the whole sets. Equal sets are grouped
-first. At an anchor, clusters of up to ``FEW`` candidates give their pairs.
-Larger ones are buckets: all members are compared with the smallest one, and
-while they belong to different groups a bucket is searched by growth: a member
-is compared with those not reached yet, and what it links is reached with its
-whole group, so a bucket gives a spanning forest and not its pairs. Buckets with
-the same members are searched once; one with more than ``TILE`` shingles is
-dealt into tiles whose pairs are searched in separate tasks. No anchor, bucket
-or candidate is dropped; of the links of a group a spanning forest goes on to
-the components, since a large group of near copies has very many. The segments
-take turns, so that only a few of them lie on disk at a time; after the first
-turns members of one group meet no more.
-
-Joins of two tables that both grow with the corpus are sort-merge joins at every
-size, so a small run shows the plan and the shuffles of a large one.
+most seven meet there alone, and sets of three or fewer have no similar other.
+
+Equal sets are grouped first. What meets at an anchor is a cluster; a task gives
+its clusters as the edges of a forest, so that a group of near copies, which
+shares very many anchors, gives no more edges than members to any task. The
+edges' components are the meeting groups: every pair of candidates is in one. In
+these the similar pairs are found as said in ``similar``: hubs first, then what
+may link different roots, filtered by size and parity sketch, then verified on
+whole sets. A set is sent once for the group and tile, not for each anchor, so
+rows grow with a group's size and not with the square of it. No anchor, group or
+candidate is dropped. The segments take turns, so that only a few of them lie on
+disk at a time.
 """
 
 from __future__ import annotations
@@ -41,40 +36,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventweave.llm.common import saved, scratch, ship, tidy
-from eventweave.llm.components import components, forest
+from eventweave.llm.components import components, forest, stars_of
+from eventweave.llm.similar import TILE, connected, set_id, shingles, sketch
 from eventweave.llm.simhash import FLIPS, _syndromes
 
-SHINGLE = 5
-#: The least similarity of a link, as numerator and denominator.
-SIMILAR = (4, 5)
 #: Bits of a segment, the length of the Hamming code, and segments of a fingerprint.
 BITS, SEGMENTS = 31, 80
-#: Segments whose anchors are met in one turn, and turns before the first links are made.
-TURN, FIRST = 4, 2
+#: Segments whose anchors are met in one turn.
+TURN = 4
 #: Candidates differ in at most NEAR bits of the first CHECKED: at similarity 0.8 one pair in ten million does not.
 CHECKED, NEAR = 186, 57
 #: Sets up to this size also meet at the sets with one shingle less; up to the second they need no segments.
 SHORT, ALONE = 9, 7
-#: Members of a cluster whose pairs are listed, and fingerprints of an anchor that one task searches for clusters.
+#: The smallest set that another one may be similar to: 4 of 5 shingles.
+LEAST = 4
+#: Fingerprints of an anchor that are compared at their distance in the array, and that one task searches for clusters.
 FEW, CROWD = 32, 4096
-#: Shingles of a bucket, or of a tile of a larger bucket, in one task.
-TILE = 1 << 19
-#: Candidates compared with one set in one task.
-FAN = 2048
 FACTORS = np.random.default_rng(42).integers(0, 1 << 63, SEGMENTS // 2, np.uint64) << np.uint64(1) | np.uint64(1)
 TIES = np.random.default_rng(43).integers(0, 2, SEGMENTS * 32)
 
 
-def shingles(text: bytes) -> np.ndarray:
-    """The sorted distinct hashes of the text's shingles."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    last = max(1, len(words) - SHINGLE + 1)
-    return np.unique(np.fromiter((digest(join(words[i : i + SHINGLE])) for i in range(last)), np.uint64, last))
-
-
 def fingerprint(hashes: np.ndarray) -> np.ndarray:
     """The wide SimHash of a set of shingles, 31 bits of each 32-bit word; in a tie ``TIES`` decides."""
     ones = np.zeros(SEGMENTS * 32, np.int64)
@@ -89,9 +70,9 @@ def fingerprint(hashes: np.ndarray) -> np.ndarray:
 
 def short_keys(hashes: np.ndarray) -> list[int]:
     """Keys of a short set and of the sets with one shingle less, apart from the segments' anchors."""
-    if not 0 < len(hashes) <= SHORT:
+    if not LEAST <= len(hashes) <= SHORT:
         return []
-    near = [hashes, *(np.delete(hashes, i) for i in range(len(hashes)))] if len(hashes) > 1 else [hashes]
+    near = [hashes, *(np.delete(hashes, i) for i in range(len(hashes)))] if len(hashes) > LEAST else [hashes]
     return [xxhash.xxh64_intdigest(x.tobytes()) >> 2 | 1 << 62 for x in near]
 
 
@@ -103,11 +84,11 @@ def set_rows(batches):
             sids, sizes, prints, short = [], [], [], []
             for x in batch.column(2).cast(pa.binary()):
                 found = shingles(x.as_py() or b"")
-                sids.append(xxhash.xxh64_intdigest(found.tobytes()))
+                sids.append(set_id(found))
                 sizes.append(len(found))
-                prints.append(fingerprint(found).tobytes() if len(found) else b"")
+                prints.append(fingerprint(found).tobytes() if len(found) >= LEAST else b"")
                 short.append(short_keys(found))
-            cols = [pa.array(np.array(sids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary()), pa.array(short, pa.list_(pa.int64()))]
+            cols = [pa.array(sids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary()), pa.array(short, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["rid", "doc_id", "sid", "size", "print", "short"])
 
 
@@ -121,7 +102,7 @@ def anchors(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def replicate(batches, segments):
-    """Arrow batches (sid, root, print, short) to (anchor, sid, root, a, b, c): at each anchor of ``segments``, with the checked bits.
+    """Arrow batches (sid, print, short) to (anchor, sid, a, b, c): at each anchor of ``segments``, with the checked bits.
 
     With segment 0 also at the short sets' keys, where every two are candidates.
     """
@@ -129,11 +110,11 @@ def replicate(batches, segments):
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            sid, root = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(len(sid), SEGMENTS)
+            sid = batch.column(0).to_numpy(zero_copy_only=False)
+            prints = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(sid), SEGMENTS)
             wide = prints[:, : CHECKED // BITS].astype(np.uint64)
             check = wide[:, ::2] | wide[:, 1::2] << shift
-            short = batch.column(3)
+            short = batch.column(2)
             counts = short.value_lengths().to_numpy(zero_copy_only=False)
             long = np.flatnonzero((counts == 0) | (counts > ALONE + 1))
             out = []
@@ -145,8 +126,8 @@ def replicate(batches, segments):
                 who = np.repeat(np.arange(len(sid)), counts)
                 out.append((keys, who, np.zeros((len(keys), 3), np.uint64)))
             key, who, seen = (np.concatenate(x) for x in zip(*out, strict=True))
-            cols = [key.view(np.int64), sid[who], root[who], *(seen[:, i].copy().view(np.int64) for i in range(3))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["anchor", "sid", "root", "a", "b", "c"])
+            cols = [key.view(np.int64), sid[who], *(seen[:, i].copy().view(np.int64) for i in range(3))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["anchor", "sid", "a", "b", "c"])
 
 
 def _bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -169,272 +150,108 @@ def _clusters(check: np.ndarray) -> list[np.ndarray]:
 
 
 def met_at_anchors(batches):
-    """Arrow batches (anchor, sid, root, a, b, c), sorted by anchor, to rows (kind, u, v).
+    """Arrow batches (anchor, sid, a, b, c), sorted by anchor, to edges (u, v) that connect each cluster.
 
-    Kind 0 is a candidate pair of different roots. Kind 1 is (bucket, sid) of a
-    bucket whose members have different roots, or of an anchor with over
-    ``CROWD`` rows, which is a bucket as it is. No more than one anchor's
-    ``CROWD`` rows are held between batches.
+    No more than one anchor's ``CROWD`` rows are held between batches. An anchor
+    with more is taken as one cluster: what meets there is compared later on.
     """
 
-    def pairs(u, v):
-        u, v = np.minimum(u, v), np.maximum(u, v)
-        return np.zeros(len(u), np.int32), u, v
-
-    def bucket(key, sid):
-        return np.ones(len(sid), np.int32), np.full(len(sid), key, np.int64), sid
-
     def batch_of(out):
-        kind, u, v = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(u), pa.array(v)], ["kind", "u", "v"])
+        u, v = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    def finished(key, sid, root, check):
+    def finished(key, sid, check):
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[starts, len(key)])
         out = []
         for s, n in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
-            if n > CROWD:
-                out.append(bucket(key[s], sid[s : s + n]))
-                continue
-            for at in _clusters(check[s : s + n]):
-                at = at + s
-                if len(at) > FEW:
-                    if (root[at] != root[at[0]]).any():
-                        members = np.sort(sid[at])
-                        out.append(bucket(np.uint64(xxhash.xxh64_intdigest(members.tobytes())).view(np.int64), members))
-                    continue
-                i, j = np.triu_indices(len(at), 1)
-                near = (_bits_apart(check[at[i]], check[at[j]]) <= NEAR) & (root[at[i]] != root[at[j]])
-                out.append(pairs(sid[at[i[near]]], sid[at[j[near]]]))
+            for at in [np.arange(n)] if n > CROWD else _clusters(check[s : s + n]):
+                out.append((np.full(len(at) - 1, sid[s + at[0]]), sid[s + at[1:]]))
         small = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
-        key, sid, root, check = key[small], sid[small], root[small], check[small]
+        key, sid, check = key[small], sid[small], check[small]
         for lag in range(1, FEW):
             at = np.flatnonzero(key[lag:] == key[:-lag])
             if not len(at):
                 break
-            near = at[(root[at] != root[at + lag]) & (_bits_apart(check[at], check[at + lag]) <= NEAR)]
-            out.append(pairs(sid[near], sid[near + lag]))
-        if sum(len(kind) for kind, _, _ in out):
+            near = at[_bits_apart(check[at], check[at + lag]) <= NEAR]
+            out.append((sid[near], sid[near + lag]))
+        if sum(len(u) for u, _ in out):
             yield batch_of(out)
 
-    held = (*(np.empty(0, np.int64) for _ in range(3)), np.empty((0, 3), np.uint64))
-    hot = None
+    held = (*(np.empty(0, np.int64) for _ in range(2)), np.empty((0, 3), np.uint64))
+    hot = first = None
     for batch in batches:
         cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        new = (*cols[:3], np.stack(cols[3:], axis=1).view(np.uint64))
-        key, sid, root, check = (np.concatenate(x) for x in zip(held, new, strict=True))
+        new = (*cols[:2], np.stack(cols[2:], axis=1).view(np.uint64))
+        key, sid, check = (np.concatenate(x) for x in zip(held, new, strict=True))
         if hot is not None and len(key):
             end = int(np.searchsorted(key, hot, "right"))
             if end:
-                yield batch_of([bucket(hot, sid[:end])])
+                yield batch_of([(np.full(end, first), sid[:end])])
             if end < len(key):
                 hot = None
-            key, sid, root, check = key[end:], sid[end:], root[end:], check[end:]
+            key, sid, check = key[end:], sid[end:], check[end:]
         cut = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
         if cut:
-            yield from finished(key[:cut], sid[:cut], root[:cut], check[:cut])
-        held = key[cut:], sid[cut:], root[cut:], check[cut:]
+            yield from finished(key[:cut], sid[:cut], check[:cut])
+        held = key[cut:], sid[cut:], check[cut:]
         if len(held[0]) > CROWD:
-            hot = held[0][0]
-            yield batch_of([bucket(hot, held[1])])
+            hot, first = held[0][0], held[1][0]
+            yield batch_of([(np.full(len(held[1]), first), held[1])])
             held = tuple(x[:0] for x in held)
     if len(held[0]):
         yield from finished(*held)
 
 
-def hash_rows(batches):
-    """Arrow batches (sid, text) to (sid, hashes)."""
+def described(batches):
+    """Arrow batches (sid, text) to (sid, size, hashes, bits)."""
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
-            found = [shingles(x.as_py() or b"").tobytes() for x in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["sid", "hashes"])
-
-
-def _set(value) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), np.uint64) if value.is_valid else np.empty(0, np.uint64)
-
-
-def _alike(common, a, b):
-    """common / (a + b - common) at least the limit, in whole numbers."""
-    return common * (SIMILAR[0] + SIMILAR[1]) >= (a + b) * SIMILAR[0]
-
-
-def alike(batches):
-    """Arrow batches (u, v, part, hashes) sorted by u, part and v to the links (u, v): hashes are v's, and u's own where v is null, which comes first."""
-    own = np.empty(0, np.uint64)
-    for batch in batches:
-        us, vs = [], []
-        for u, v, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
-            found = _set(h)
-            if v is None:
-                own = found.copy()
-            elif len(own) and len(found):
-                at = np.searchsorted(own, found)
-                at[at == len(own)] = 0
-                if _alike(int((own[at] == found).sum()), len(own), len(found)):
-                    us.append(u)
-                    vs.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
-
-
-def grown(sets: list[np.ndarray], roots: np.ndarray, side: np.ndarray) -> tuple[list[int], list[int]]:
-    """Links (index, index) that, with equal ``roots``, connect what all similar pairs do.
-
-    Pairs are those of side 0 with side 1, or all pairs if there is one side only.
-    """
-    lengths = np.array([len(s) for s in sets], np.int64)
-    _, inv = np.unique(np.concatenate(sets), return_inverse=True)
-    begin = np.r_[0, np.cumsum(lengths)]
-    flag = np.zeros(int(inv.max()) + 1 if len(inv) else 1, bool)
-    _, label = np.unique(roots, return_inverse=True)
-    two = side.min() != side.max()
-    alive = np.ones(len(sets), bool)
-    left, right = [], []
-    rest: list = [None, None]
-
-    def renew():
-        for s in (0, 1):
-            who = np.flatnonzero(alive & ((side == s) if two else (s == 0)) & (lengths > 0))
-            n = lengths[who]
-            first = np.r_[0, np.cumsum(n)]
-            ids = inv[np.repeat(begin[who] - first[:-1], n) + np.arange(first[-1])] if len(who) else inv[:0]
-            rest[s] = (who, n, first[:-1], ids)
-
-    for seed in range(len(sets)):
-        if not alive[seed]:
-            continue
-        queue = np.flatnonzero(label == label[seed]).tolist()
-        alive[queue] = False
-        renew()
-        while queue:
-            now = queue.pop()
-            who, n, first, ids = rest[(1 - side[now]) if two else 0]
-            if not len(who):
-                continue
-            mine = inv[begin[now] : begin[now + 1]]
-            flag[mine] = True
-            hit = who[_alike(np.add.reduceat(flag[ids].astype(np.int32), first), n, lengths[now])]
-            flag[mine] = False
-            if len(hit):
-                labels, one = np.unique(label[hit], return_index=True)
-                left += [now] * len(labels)
-                right += hit[one].tolist()
-                reached = np.flatnonzero(np.isin(label, labels))
-                alive[reached] = False
-                queue += reached.tolist()
-                renew()
-    return left, right
-
-
-def links_in_buckets(batches):
-    """Arrow batches (group, side, sid, root, hashes) sorted by group to links (u, v)."""
-    held: list = []
-
-    def close():
-        sid, root, side = (np.array([h[c] for h in held], np.int64) for c in (2, 3, 1))
-        a, b = grown([h[4] for h in held], root, side)
-        held.clear()
-        u, v = sid[a], sid[b]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
-
-    for batch in batches:
-        for *row, h in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
-            if held and held[0][0] != row[0]:
-                yield close()
-            held.append((*row, _set(h).copy()))
-    if held:
-        yield close()
-
-
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (u, v) that are similar; the set of u is sent once for up to ``FAN`` of its pairs."""
-    parts = saved(pairs.groupBy("u").agg(F.ceil(F.count("*") / FAN).cast("int").alias("parts")), "heads")
-    own = parts.hint("merge").join(sets, F.col("u") == F.col("sid")).select("u", F.lit(None).cast("long").alias("v"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "hashes")
-    others = pairs.hint("merge").join(parts, "u").hint("merge").join(sets, F.col("v") == F.col("sid")).select("u", "v", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), "hashes")
-    rows = own.unionByName(others).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
-    return saved(rows.mapInArrow(alike, "u long, v long"), "similar-pairs")
-
-
-def _grown_links(shared: DataFrame, roots: DataFrame, sets: DataFrame, tile: int) -> DataFrame:
-    """Links inside buckets (key, sid, size) whose members are not one group yet."""
-    rest = shared.join(roots.hint("merge"), "sid", "left").select("key", "sid", "size", F.coalesce("root", "sid").alias("root"))
-    rest = saved(rest, "bucket-roots")
-    facts = rest.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.col("size").cast("long")).alias("weight"),
-        F.sum(F.xxhash64("sid").cast("decimal(38,0)")).alias("members"), F.count("*").alias("n"),
-    )
-    # buckets with the same members are one
-    once = facts.where("low <> high").groupBy("members", "n", "weight").agg(F.min("key").alias("key"))
-    open_ = saved(once.select("key", F.ceil(F.col("weight") / tile).cast("int").alias("tiles")), "open-buckets")
-    dealt = rest.join(open_, "key").withColumn("mine", F.pmod(F.xxhash64("sid", "key"), F.col("tiles")).cast("int"))
-    met = dealt.select("key", "sid", "root", "mine", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    group = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
-    sides = met.select(group.alias("g"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), "sid", "root")
-    rows = sides.hint("merge").join(sets, "sid").select("g", "side", "sid", "root", "hashes").repartition("g").sortWithinPartitions("g")
-    return saved(rows.mapInArrow(links_in_buckets, "u long, v long").distinct(), "grown-links")
+            found = [shingles(x.as_py() or b"") for x in batch.column(1).cast(pa.binary())]
+            cols = [pa.array([len(x) for x in found], pa.int32()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([sketch(x) for x in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["sid", "size", "hashes", "bits"])
 
 
 def _met(groups: DataFrame, segments: range) -> DataFrame:
-    """(kind, u, v) that meet in ``segments``, some at a time: each turn's shuffle goes before the next."""
+    """Edges (u, v) between what meets in ``segments``, some at a time: each turn's shuffle goes before the next."""
     out = None
     for at in range(segments.start, segments.stop, TURN):
         turn = segments[at - segments.start : at - segments.start + TURN]
-        rows = groups.mapInArrow(lambda it, turn=turn: replicate(it, turn), "anchor long, sid long, root long, a long, b long, c long")
+        rows = groups.mapInArrow(lambda it, turn=turn: replicate(it, turn), "anchor long, sid long, a long, b long, c long")
         rows = rows.repartition("anchor").sortWithinPartitions("anchor")
-        found = saved(rows.mapInArrow(met_at_anchors, "kind int, u long, v long").distinct(), "met")
+        found = saved(rows.mapInArrow(lambda it: stars_of(met_at_anchors(it)), "u long, v long"), "met")
         out = found if out is None else out.unionByName(found)
         del rows
         tidy(groups.sparkSession)
     return out
 
 
-def _sets_of(met: DataFrame, groups: DataFrame, rows: DataFrame) -> DataFrame:
-    """(sid, hashes) of all that ``met``."""
-    who = met.where("kind = 0").select(F.explode(F.array("u", "v")).alias("sid")).unionByName(met.where("kind = 1").select(F.col("v").alias("sid")))
-    wanted = saved(groups.select("sid", "rid").join(who.distinct().hint("merge"), "sid", "left_semi"), "candidates")
-    texts = rows.select("rid", "text").join(wanted.hint("merge"), "rid").select("sid", "text")
-    return saved(texts.mapInArrow(hash_rows, "sid long, hashes binary"), "candidate-sets")
-
-
-def _joined(links: DataFrame, roots: DataFrame | None = None) -> DataFrame:
-    """(sid, root) of all that ``links`` connect, together with groups found before."""
-    if roots is not None:
-        links = links.unionByName(roots.select(F.col("sid").alias("u"), F.col("root").alias("v")))
-    return saved(components(forest(links)), "set-roots").withColumnRenamed("node", "sid")
-
-
 def classes(rows: DataFrame, tile: int = TILE) -> DataFrame:
-    """(rid, doc_id, class) for every row of ``rows`` (rid, doc_id, text), which is read more than once and must not change."""
+    """(rid, doc_id, class) for every row of ``rows`` (rid, doc_id, text), which is read more than once and must not change.
+
+    A text may be of any length; a task that compares holds the sets of two texts,
+    and sketches of at most two tiles of a meeting group.
+    """
     spark = rows.sparkSession
     ship(spark)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     keyed = rows.select("rid", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-
-    def rooted(groups, roots):
-        return groups.join(roots.hint("merge"), "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "print", "short")
-
     with scratch(spark) as keep:
         with scratch(spark) as keep_in:
             sets = saved(keyed.mapInArrow(set_rows, f"rid long, doc_id {id_type}, sid long, size int, print binary, short array<long>"), "shingle-sets")
             groups = keep_in(saved(sets.groupBy("sid").agg(F.min("rid").alias("rid"), *(F.first(c).alias(c) for c in ("size", "print", "short"))), "distinct-sets"))
             members = keep_in(saved(sets.select("rid", "doc_id", "sid"), "members"))
-        worded = groups.where("size > 0")
-        first = _met(worded.select("sid", F.col("sid").alias("root"), "print", "short"), range(0, FIRST * TURN))
         with scratch(spark) as keep_in:
-            heads = saved(first.where("kind = 1").groupBy("u").agg(F.min("v").alias("head")), "bucket-heads")
-            to_head = first.where("kind = 1").join(heads.hint("merge"), "u").where("v <> head").select(F.col("head").alias("u"), "v")
-            links = keep_in(_linked(first.where("kind = 0").select("u", "v").unionByName(to_head).distinct(), _sets_of(first, groups, rows)))
-        roots = _joined(links)
+            edges = _met(groups.where(F.col("size") >= LEAST).select("sid", "print", "short"), range(SEGMENTS))
+            meeting = keep_in(saved(components(forest(edges)), "meeting-groups"))
         with scratch(spark) as keep_in:
-            rest = saved(rooted(worded, roots), "rooted-sets")
-            later = _met(rest, range(FIRST * TURN, SEGMENTS))
-            later = keep_in(saved(later.distinct(), "met-later"))
-        hashed = _sets_of(first.where("kind = 1").unionByName(later), groups, rows)
-        roots = _joined(_linked(later.where("kind = 0").select("u", "v"), hashed), roots)
-        buckets = first.unionByName(later).where("kind = 1").select(F.col("u").alias("key"), F.col("v").alias("sid")).distinct()
-        shared = buckets.join(groups.select("sid", "size").hint("merge"), "sid")
-        roots = _joined(_grown_links(shared, roots, hashed, tile), roots)
+            wanted = saved(groups.select("sid", "rid").join(meeting.select(F.col("node").alias("sid")).hint("merge"), "sid"), "sets-that-met")
+            texts = rows.select("rid", "text").join(wanted.hint("merge"), "rid").select("sid", "text")
+            known = keep_in(saved(texts.mapInArrow(described, "sid long, size int, hashes binary, bits binary"), "sets"))
+        tidy(spark)
+        buckets = meeting.select(F.col("root").alias("bucket"), F.col("node").alias("sid"), F.lit(0).alias("pos"))
+        roots = connected(buckets, buckets, known.select("sid", "size", "bits"), known.select("sid", "hashes"), tile)
         found = members.join(roots.hint("merge"), "sid", "left").select("rid", "doc_id", F.coalesce("root", "sid").alias("class"))
         return keep(saved(found, "classes"))
 

@@ -147,28 +147,36 @@ def listed(x: Members, y: Members | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hubs(x: Members, y: Members | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of the members of x with most candidates in y (or x) and these: each of y is paired with one hub, and hubs with one of an earlier hub's."""
+    """Pairs of the members of x with most candidates in y (or x) and these: each of y is paired with one hub, each of x with one of y."""
     if y is None and len(x) <= FEW:
         return listed(x, None)
     other = x if y is None else y
     found = np.concatenate([f for _, f in _blocks(x, other)])
     free = np.ones(len(other), bool)
     count = found.sum(axis=1)
-    left, right = [], []
+    left, right, alone = [], [], count > 0
+
+    def nearest(i, js):
+        return js[np.bitwise_count(other.bits[js] ^ x.bits[i]).sum(axis=1, dtype=np.int64).argmin()]
+
     while count.any():
         hub = int(count.argmax())
         mine = found[hub] & free
         met = np.flatnonzero(found[hub] & ~free)
         pick = np.flatnonzero(mine)
         if len(met):
-            near = np.bitwise_count(other.bits[met] ^ x.bits[hub]).sum(axis=1, dtype=np.int64)
-            pick = np.r_[pick, met[near.argmin()]]
+            pick = np.r_[pick, nearest(hub, met)]  # so that hubs of one group are linked
         left.append(np.full(len(pick), x.sid[hub]))
         right.append(other.sid[pick])
         if y is None:
             mine[hub] = free[hub]  # it stands in these pairs itself
         free &= ~mine
+        alone[hub] = False
         count -= found[:, mine].sum(axis=1)
+    if y is not None:
+        rest = np.flatnonzero(alone)
+        left.append(x.sid[rest])
+        right.append(y.sid[[nearest(i, np.flatnonzero(found[i])) for i in rest]] if len(rest) else y.sid[:0])
     if not left:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate(left), np.concatenate(right)

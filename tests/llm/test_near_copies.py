@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from eventweave.llm import components, near_copies, simhash
+from eventweave.llm import components, near_copies, similar, simhash
 from tests.llm.test_simhash import parts
 
 DIR = "/root/testdata/sf0.001"
@@ -127,18 +127,56 @@ def test_a_forest_connects_what_its_edges_do(spark, monkeypatch, room):
     assert components.forest(table.limit(0)).count() == 0
 
 
-def test_growth_between_two_sides_connects_what_all_pairs_do():
+def test_hubs_and_lists_of_a_bucket_leave_no_link_out():
     rng = np.random.default_rng(9)
-    for _ in range(60):
-        sets = [np.unique(np.r_[np.arange(40), rng.integers(40, 60, rng.integers(0, 9))]).astype(np.uint64) for _ in range(12)]
-        roots, side = rng.integers(0, 9, 12), rng.integers(0, 2, 12)
-        a, b = near_copies.grown(sets, roots, side)
-        similar = lambda i, j: 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
-        assert all(similar(i, j) and roots[i] != roots[j] for i, j in zip(a, b, strict=True))
-        two = side.min() != side.max()
-        every = [(i, j) for i in range(12) for j in range(i) if similar(i, j) and (side[i] != side[j] or not two)]
-        same = [(i, j) for i in range(12) for j in range(i) if roots[i] == roots[j]]
-        assert parts(every + same) == parts(list(zip(a, b, strict=True)) + same)
+    for n in (5, 12, 40):
+        for _ in range(30):
+            sets = [np.unique(np.r_[np.arange(40), rng.integers(40, 60, rng.integers(0, 9))]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(n)]
+            x = similar.Members(
+                np.arange(n), rng.integers(0, 9, n), np.array([len(s) for s in sets]), np.zeros(n, np.int64),
+                np.stack([np.frombuffer(similar.sketch(s), np.uint64) for s in sets]),
+            )
+            alike = lambda i, j: 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
+            side = rng.integers(0, 2, n)
+            for y in (None, 1):
+                one, two = (x, None) if y is None else (x.take(side == 0), x.take(side == 1))
+                if not len(one) or (two is not None and not len(two)):
+                    continue
+                links = {(i, j) for i in range(n) for j in range(i) if alike(i, j) and x.root[i] != x.root[j] and (two is None or side[i] != side[j])}
+                every = {(max(e), min(e)) for e in zip(*(v.tolist() for v in similar.listed(one, two)), strict=True)}
+                assert every >= links and all(x.root[i] != x.root[j] for i, j in every)
+                some = {(max(e), min(e)) for e in zip(*(v.tolist() for v in similar.hubs(one, two)), strict=True)}
+                assert some <= every and {i for e in every for i in e} == {i for e in some for i in e}
+                assert len(some) <= (28 if two is None and n <= 8 else 2 * n)
+
+
+@pytest.mark.parametrize("copies", [100, 200, 400])
+def test_rows_for_a_group_of_near_copies_grow_with_its_size(copies):
+    """One group (200 words, 1 to 8 edits): the edges of its anchors, and the pairs that are compared, are at most a constant times its members."""
+    rng = random.Random(12)
+    base = [f"n{i}" for i in range(200)]
+    texts = [edited(rng, base, rng.randrange(1, 9)) for _ in range(copies)]
+    sets = [near_copies.shingles(t.encode()) for t in texts]
+    ids = pa.array(range(copies), pa.int64())
+    rows = pa.RecordBatch.from_arrays([ids, pa.array([near_copies.fingerprint(s).tobytes() for s in sets]), pa.array([[] for _ in sets], pa.list_(pa.int64()))], ["sid", "print", "short"])
+    at = pa.Table.from_batches(list(near_copies.replicate([rows], range(8)))).sort_by("anchor")
+    edges = sum(b.num_rows for b in components.stars_of(near_copies.met_at_anchors(at.to_batches())))
+    assert 0 < edges < copies
+    x = similar.Members(np.arange(copies), np.arange(copies), np.array([len(s) for s in sets]), np.zeros(copies, np.int64), np.stack([np.frombuffer(similar.sketch(s), np.uint64) for s in sets]))
+    plain = [frozenset(s.tolist()) for s in sets]
+    alike = lambda i, j: 5 * len(plain[i] & plain[j]) >= 4 * len(plain[i] | plain[j])
+    compared = 0
+    for step in (similar.hubs, similar.hubs, similar.listed):
+        pairs = set(zip(*(v.tolist() for v in step(x, None)), strict=True))
+        compared += len(pairs)
+        for i, j in pairs:
+            if alike(i, j):
+                x.root[x.root == max(x.root[i], x.root[j])] = min(x.root[i], x.root[j])
+    assert compared < 6 * copies
+    got = dict(enumerate(x.root.tolist()))
+    want = brute([(k, t) for k, t in enumerate(texts)])
+    groups = lambda m: {frozenset(k for k in m if m[k] == r) for r in set(m.values())}
+    assert groups(got) == groups(want)
 
 
 def test_rows_are_told_apart_and_one_of_each_group_stays(spark):

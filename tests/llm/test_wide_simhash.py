@@ -11,13 +11,12 @@ def met(sets, segments=range(near_copies.SEGMENTS)):
     prints = [near_copies.fingerprint(s).tobytes() for s in sets]
     short = pa.array([near_copies.short_keys(s) for s in sets], pa.list_(pa.int64()))
     ids = pa.array(range(len(sets)), pa.int64())
-    rows = pa.RecordBatch.from_arrays([ids, ids, pa.array(prints, pa.binary()), short], ["sid", "root", "print", "short"])
+    rows = pa.RecordBatch.from_arrays([ids, pa.array(prints, pa.binary()), short], ["sid", "print", "short"])
     found = set()
     for s in segments:
         at = pa.Table.from_batches(list(near_copies.replicate([rows], [s]))).sort_by("anchor")
         for out in near_copies.met_at_anchors(at.to_batches(max_chunksize=997)):
-            assert set(out.column(0).to_pylist()) <= {0}
-            found |= set(zip(out.column(1).to_pylist(), out.column(2).to_pylist(), strict=True))
+            found |= {(min(e), max(e)) for e in zip(*(c.to_pylist() for c in out.columns), strict=True)}
     return found
 
 
