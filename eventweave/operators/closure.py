@@ -28,34 +28,45 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """Distinct (src, dst) joined by a path of one edge or more. ``rounds`` doublings reach any depth that fits a table."""
-    pairs = new = cut(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+def closure(edges: DataFrame, rounds: int = 64, by: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct (src, dst) joined by a path of one edge or more. ``rounds`` doublings reach any depth that fits a table.
+
+    Columns in ``by`` name the graph that an edge is of: a path stays in one graph, and all graphs take their rounds together.
+    """
+    ends = [*by, "src", "dst"]
+    pairs = new = cut(edges.select(*ends).dropna(subset=["src", "dst"]).distinct())
 
     def step(a: DataFrame, b: DataFrame) -> DataFrame:
-        met = a.select("src", F.col("dst").alias("via")).join(b.select(F.col("src").alias("via"), "dst"), "via")
-        return met.select("src", "dst")
+        met = a.select(*by, "src", F.col("dst").alias("via")).join(b.select(*by, F.col("src").alias("via"), "dst"), [*by, "via"])
+        return met.select(*ends)
 
     for _ in range(rounds):
         far = step(new, pairs).unionByName(step(pairs, new)).distinct()
-        new = cut(far.join(pairs, ["src", "dst"], "left_anti"))
+        new = cut(far.join(pairs, ends, "left_anti"))
         if new.isEmpty():
             return pairs
         pairs = cut(pairs.unionByName(new))
     raise RuntimeError(f"the closure did not settle in {rounds} rounds")
 
 
-def reach(edges: DataFrame, seeds: DataFrame, backward: bool = False) -> DataFrame:
-    """The closure's pairs (src, dst) whose src (``backward``: dst) is among the seeds (node): a walk of as many rounds as the longest path has edges."""
+def reach(edges: DataFrame, seeds: DataFrame, backward: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """The closure's pairs (src, dst) whose src (``backward``: dst) is among the seeds (node): a walk of as many rounds as the longest path has edges.
+
+    With ``by`` each graph is walked apart; seeds without these columns are seeds in every graph.
+    """
     near, far = ("dst", "src") if backward else ("src", "dst")
-    e = edges.select(F.col(near).alias("near"), F.col(far).alias("far")).where("near IS NOT NULL AND far IS NOT NULL").distinct()
-    front = seeds.select(F.col("node").alias("seed"), F.col("node").alias("near")).distinct()
+    e = edges.select(*by, F.col(near).alias("near"), F.col(far).alias("far")).dropna(subset=["near", "far"]).distinct()
+    own = [c for c in by if c in seeds.columns]
+    front = seeds.select(*own, F.col("node").alias("seed"), F.col("node").alias("near")).distinct()
+    if len(own) < len(by):
+        front = front.join(e.select(*by, "near").distinct(), [*own, "near"]).select(*by, "seed", "near")
     seen = None
     while True:
-        next_ = front.join(e, "near").select("seed", F.col("far").alias("near")).distinct()
-        front = cut(next_ if seen is None else next_.join(seen, ["seed", "near"], "left_anti"))
+        next_ = front.join(e, [*by, "near"]).select(*by, "seed", F.col("far").alias("near")).distinct()
+        front = cut(next_ if seen is None else next_.join(seen, [*by, "seed", "near"], "left_anti"))
         if front.isEmpty():
-            return (front if seen is None else seen).select(F.col("seed").alias(near), F.col("near").alias(far)).select("src", "dst")
+            out = (front if seen is None else seen).select(*by, F.col("seed").alias(near), F.col("near").alias(far))
+            return out.select(*by, "src", "dst")
         seen = front if seen is None else cut(seen.unionByName(front))
 
 

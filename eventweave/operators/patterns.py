@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from eventweave.operators.closure import closure, reach
 
 
-def triple(t: DataFrame, predicate: str, s: str, o: str) -> DataFrame:
-    """The (s, o) pairs of a predicate under the variables' names."""
-    return t.where(F.col("p") == predicate).select(F.col("s").alias(s), F.col("o").alias(o))
+def triple(t: DataFrame, predicate: str, s: str, o: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The (s, o) pairs of a predicate under the variables' names.
+
+    Columns in ``by`` say which graph a triple is of and are kept in every pattern, so that joins on common columns stay in one graph.
+    """
+    return t.where(F.col("p") == predicate).select(*by, F.col("s").alias(s), F.col("o").alias(o))
 
 
 def of_type(t: DataFrame, kind: str, s: str) -> DataFrame:
@@ -57,28 +60,48 @@ def sequence(t: DataFrame, predicates: list[str], s: str, o: str) -> DataFrame:
     return out.select(s, F.col(f"v{len(predicates) - 1}_").alias(o))
 
 
-def plus(t: DataFrame, predicate: str, s: str, o: str, start: DataFrame | None = None, end: DataFrame | None = None) -> DataFrame:
-    """p+: distinct pairs over one step or more. With nodes (one column) to ``start`` from or to ``end`` at, only these are walked."""
-    edges = triple(t, predicate, "src", "dst")
+def plus(t: DataFrame, predicate: str, s: str, o: str, start: DataFrame | None = None, end: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """p+: distinct pairs over one step or more. With nodes (one column beside those of ``by``) to ``start`` from or to ``end`` at, only these are walked."""
+    edges = triple(t, predicate, "src", "dst", by)
     if start is None and end is None:
-        pairs = closure(edges)
+        pairs = closure(edges, by=by)
     else:
         seeds = start if start is not None else end
-        pairs = reach(edges, seeds.select(F.col(seeds.columns[0]).alias("node")), backward=start is None)
-    return pairs.select(F.col("src").alias(s), F.col("dst").alias(o))
+        pairs = reach(edges, _nodes(seeds, "node", by), backward=start is None, by=by)
+    return pairs.select(*by, F.col("src").alias(s), F.col("dst").alias(o))
+
+
+def _nodes(nodes: DataFrame, name: str, by: tuple[str, ...]) -> DataFrame:
+    own = [c for c in by if c in nodes.columns]
+    return nodes.select(*own, F.col(next(c for c in nodes.columns if c not in by)).alias(name)).distinct()
 
 
-def star(t: DataFrame, predicate: str, s: str, o: str, nodes: DataFrame, start: DataFrame | None = None, end: DataFrame | None = None) -> DataFrame:
+def _selves(nodes: DataFrame, s: str, o: str, by: tuple[str, ...], t: DataFrame) -> DataFrame:
+    """Each node with itself, in every graph if the nodes name none."""
+    own = _nodes(nodes, s, by)
+    if any(c not in own.columns for c in by):
+        own = own.crossJoin(t.select(*by).distinct())
+    return own.select(*by, s, F.col(s).alias(o))
+
+
+def star(
+    t: DataFrame, predicate: str, s: str, o: str, nodes: DataFrame, start: DataFrame | None = None, end: DataFrame | None = None, by: tuple[str, ...] = ()
+) -> DataFrame:
     """p*: p+ and every node (one column) with itself; a ``start`` or ``end`` stands for all nodes."""
     given = start if start is not None else end if end is not None else nodes
-    own = given.select(F.col(given.columns[0]).alias(s)).distinct().select(s, F.col(s).alias(o))
-    return plus(t, predicate, s, o, start, end).unionByName(own).distinct()
+    return plus(t, predicate, s, o, start, end, by).unionByName(_selves(given, s, o, by, t)).distinct()
 
 
-def maybe(t: DataFrame, predicate: str, s: str, o: str, nodes: DataFrame) -> DataFrame:
-    """p?: one step or none."""
-    own = nodes.select(F.col(nodes.columns[0]).alias(s)).distinct().select(s, F.col(s).alias(o))
-    return triple(t, predicate, s, o).unionByName(own).distinct()
+def maybe(
+    t: DataFrame, predicate: str, s: str, o: str, nodes: DataFrame, start: DataFrame | None = None, end: DataFrame | None = None, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """p?: one step or none; a ``start`` or ``end`` stands for all nodes."""
+    step = triple(t, predicate, s, o, by)
+    for nodes_, c in ((start, s), (end, o)):
+        if nodes_ is not None:
+            step = step.join(_nodes(nodes_, c, by), [*(k for k in by if k in nodes_.columns), c], "left_semi")
+    given = start if start is not None else end if end is not None else nodes
+    return step.unionByName(_selves(given, s, o, by, t)).distinct()
 
 
 def arg_min(df: DataFrame, keys: list[str], order: list[Column], keep: list[str]) -> DataFrame:

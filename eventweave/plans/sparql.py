@@ -3,6 +3,7 @@
 SELECT [DISTINCT] with variables, (COUNT(*) AS ?n), (COUNT([DISTINCT] ?x) AS ?n), (MIN(?x) AS ?y), (MAX(...) AS ?y); ASK.
 In a group: triples with ``;`` and ``,``, paths ``a/b``, ``p*``, ``p+``, ``p?``, OPTIONAL, UNION, FILTER with
 comparisons, ``&&``, ``||``, ``!``, DAY/MONTH/YEAR/LANG-free terms and [NOT] EXISTS, BIND. Then GROUP BY, ORDER BY, LIMIT.
+DELETE { template } WHERE { group }, with WITH <graph>: see :func:`update`; FROM <graph> limits a query to named graphs.
 Prefixed names stand for their local part's term: ``:during`` and ``during`` are the predicate "during".
 Sequences have bag semantics, ``* + ?`` set semantics. A graph pattern's joins are left to Catalyst.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventweave.operators import patterns
@@ -33,10 +34,14 @@ def tokens(text: str) -> list[str]:
 
 
 class Query:
-    """One query over one triples DataFrame."""
+    """One query over one triples DataFrame; with ``graph``, the name of a column, over each of its graphs apart."""
 
-    def __init__(self, triples: DataFrame, text: str):
-        self.t, self.ts, self.at, self.fresh = triples.select("s", "p", "o"), tokens(text), 0, 0
+    def __init__(self, triples: DataFrame, text: str, graph: str | None = None):
+        self.by = (graph,) if graph else ()
+        self.all, self.t = triples, triples.select(*self.by, "s", "p", "o")
+        self.ts, self.at, self.fresh = tokens(text), 0, 0
+        self.named: list[str] = []
+        self.loose: set[str] = set()  # variables that a solution may leave unbound
 
     # tokens
     def peek(self, ahead: int = 0) -> str:
@@ -68,18 +73,77 @@ class Query:
         self.fresh += 1
         return f"_h{self.fresh}"
 
-    # query forms
-    def run(self) -> DataFrame:
+    def both(self, a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
+        """Join on common variables; one that a side may leave unbound agrees with anything there and takes the other side's value."""
+        common = [c for c in a.columns if c in b.columns]
+        loose = [c for c in common if c in self.loose]
+        if not loose:
+            return patterns.both(a, b, how)
+        names = {c: self.hidden() for c in common}
+        other = b.select(*[F.col(c).alias(names.get(c, c)) for c in b.columns])
+        agree = F.lit(True)
+        for c, h in names.items():
+            same = F.col(c) == F.col(h)
+            agree &= same | F.col(c).isNull() | F.col(h).isNull() if c in loose else same
+        out = a.join(other, agree, how)
+        return out.withColumns({c: F.coalesce(c, names[c]) for c in loose}).drop(*names.values())
+
+    def prologue(self) -> None:
         while self.take("PREFIX"):
             self.next()
             self.next()
+
+    def graphs(self, word: str, column: str = "month") -> None:
+        """Named graphs limit the triples, so only their files are read."""
+        names = []
+        while self.take(word):
+            self.take("NAMED")
+            names.append(self.term(self.next()))
+        self.named = names
+        if names:
+            self.all = self.all.where(F.col(column).isin(*names))
+            self.t = self.all.select(*self.by, "s", "p", "o")
+
+    # query forms
+    def update(self, given: DataFrame | None) -> DataFrame:
+        """The triples of ``self.all`` that a DELETE takes out."""
+        self.prologue()
+        self.graphs("WITH")
+        self.next("DELETE")
+        self.next("{")
+        template = []
+        while not self.take("}"):
+            if not self.take("."):
+                template += self.template()
+        self.next("WHERE")
+        found = self.group(given)
+        term = lambda x: (F.col(x[1:]) if x.startswith("?") else F.lit(self.term(x))).cast("string")
+        rows = F.array(*[F.struct(*[term(x).alias(c) for x, c in zip(t, ("s", "p", "o"), strict=True)]) for t in template])
+        return found.select(*self.by, F.inline(rows)).dropna(subset=["s", "p", "o"]).distinct()
+
+    def template(self) -> list[tuple[str, str, str]]:
+        subject, out = self.next(), []
+        while True:
+            name = self.next()
+            while True:
+                out.append((subject, "type" if name == "a" else name, self.next()))
+                if not self.take(","):
+                    break
+            if not self.take(";"):
+                return out
+
+    def run(self) -> DataFrame:
+        self.prologue()
         if self.take("ASK"):
+            self.graphs("FROM")
             self.take("WHERE")
             found = self.group()
-            return found.limit(1).agg((F.count("*") > 0).alias("answer"))
+            if not self.by:
+                return found.limit(1).agg((F.count("*") > 0).alias("answer"))
+            return patterns.exists_flag(self.t.select(*self.by).distinct(), found, "answer")
         self.next("SELECT")
         distinct, shown = self.take("DISTINCT"), []
-        while self.word() not in ("WHERE", "{"):
+        while self.word() not in ("FROM", "WHERE", "{"):
             if self.take("("):
                 shown.append(self.aggregate())
                 self.next(")")
@@ -87,6 +151,7 @@ class Query:
                 shown = None
             else:
                 shown.append((self.next()[1:], None))
+        self.graphs("FROM")
         self.take("WHERE")
         df = self.group()
         keys = []
@@ -95,26 +160,33 @@ class Query:
             while self.peek().startswith("?"):
                 keys.append(self.next()[1:])
         if shown is None:
-            names = [c for c in df.columns if not c.startswith("_h")]
+            names = [c for c in df.columns if not c.startswith("_h") and c not in self.by]
         else:
             names = [n for n, _ in shown]
+            keys = [*self.by, *keys] if keys or self.by else keys
             if any(a is not None for _, a in shown):
                 df = df.groupBy(*keys).agg(*[a.alias(n) for n, a in shown if a is not None])
-            elif keys:
+            elif len(keys) > len(self.by):
                 df = df.select(*keys).distinct()
-        df = df.select(*names)
+        df = df.select(*self.by, *names)
+        order = []
         df = df.distinct() if distinct else df
         if self.take("ORDER"):
             self.next("BY")
-            order = []
             while self.peek() and self.word() != "LIMIT":
                 down = self.take("DESC")
                 self.take("(")
                 name = self.next()[1:]
                 self.take(")")
                 order.append(F.desc(name) if down else F.asc(name))
-            df = df.orderBy(*order)
-        return df.limit(int(self.next())) if self.take("LIMIT") else df
+            df = df.orderBy(*self.by, *order)
+        if not self.take("LIMIT"):
+            return df
+        n = int(self.next())
+        if not self.by:
+            return df.limit(n)
+        place = F.row_number().over(Window.partitionBy(*self.by).orderBy(*(order or [F.lit(0)])))
+        return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
     def aggregate(self) -> tuple[str, Column]:
         kind = self.next().upper()
@@ -129,17 +201,21 @@ class Query:
     # graph patterns
     def one_row(self) -> DataFrame:
         """The empty group's solution, which binds nothing."""
+        if self.by:
+            return self.t.select(*self.by).distinct()
         return self.t.sparkSession.range(1).select(F.lit(1).alias(self.hidden()))
 
-    def group(self) -> DataFrame:
-        """{ ... }: parts are joined in order; filters hold for the whole group."""
+    def group(self, df: DataFrame | None = None) -> DataFrame:
+        """{ ... }: parts are joined in order, to solutions given if there are; filters hold for the whole group."""
         self.next("{")
-        df, filters = None, []
+        filters: list = []
         while not self.take("}"):
             if self.take("."):
                 continue
             if self.take("OPTIONAL"):
-                df = patterns.both(self.one_row() if df is None else df, self.group(), "left")
+                df, more = self.one_row() if df is None else df, self.group()
+                df, new = self.both(df, more, "left"), set(more.columns) - set(df.columns)
+                self.loose |= new
             elif self.take("FILTER"):
                 negated = self.take("NOT")
                 if self.take("EXISTS"):
@@ -157,11 +233,13 @@ class Query:
             elif self.peek() == "{":
                 part = self.group()
                 while self.take("UNION"):
-                    part = patterns.union(part, self.group())
-                df = part if df is None else patterns.both(df, part)
+                    other = self.group()
+                    self.loose |= set(part.columns) ^ set(other.columns)
+                    part = patterns.union(part, other)
+                df = part if df is None else self.both(df, part)
             else:
                 for part in self.triples():
-                    df = part if df is None else patterns.both(df, part)
+                    df = part if df is None else self.both(df, part)
         df = self.one_row() if df is None else df
         for how, x in filters:
             if how is None:
@@ -196,21 +274,21 @@ class Query:
         for i, (name, sign) in enumerate(path):
             s, o = ends[i], ends[i + 1]
             if name.startswith("?"):
-                part = self.t.select(F.col("s").alias(s), F.col("p").alias(name[1:]), F.col("o").alias(o))
+                part = self.t.select(*self.by, F.col("s").alias(s), F.col("p").alias(name[1:]), F.col("o").alias(o))
             elif sign:
-                nodes = self.t.select("s").union(self.t.select("o"))
+                nodes = self.t.select(*self.by, "s").union(self.t.select(*self.by, "o"))
                 # a constant end is where the walk begins, so nothing else is built
                 at = lambda token: None if token.startswith("?") else self.t.sparkSession.range(1).select(F.lit(self.term(token)).alias("node"))
                 start = at(subject) if i == 0 else None
                 end = at(obj) if i == len(path) - 1 and start is None else None
                 if sign == "+":
-                    part = patterns.plus(self.t, self.term(name), s, o, start, end)
+                    part = patterns.plus(self.t, self.term(name), s, o, start, end, self.by)
                 elif sign == "*":
-                    part = patterns.star(self.t, self.term(name), s, o, nodes, start, end)
+                    part = patterns.star(self.t, self.term(name), s, o, nodes, start, end, self.by)
                 else:
-                    part = patterns.maybe(self.t, self.term(name), s, o, nodes)
+                    part = patterns.maybe(self.t, self.term(name), s, o, nodes, start, end, self.by)
             else:
-                part = patterns.triple(self.t, self.term(name), s, o)
+                part = patterns.triple(self.t, self.term(name), s, o, self.by)
             df = part if df is None else patterns.both(df, part)
         for end, token in ((ends[0], subject), (ends[-1], obj)):
             if token.startswith("?"):
@@ -261,3 +339,34 @@ class Query:
 
 def sparql(triples: DataFrame, text: str) -> DataFrame:
     return Query(triples, text).run()
+
+
+def deleted(store: DataFrame, text: str, given: DataFrame | None = None, graph: str | None = None) -> DataFrame:
+    """The triples (s, p, o), with ``graph`` in front, that ``DELETE { template } WHERE { group }`` takes out of the store.
+
+    ``given`` are values for some variables, one row for each entity, so one job
+    deletes for all of them. A row of the template with an unbound variable names
+    nothing; a group without solutions deletes nothing. With ``graph`` every
+    graph is matched apart.
+    """
+    found = Query(store, text, graph)
+    doomed = found.update(given)
+    return doomed.join(found.all, doomed.columns, "left_semi").distinct()
+
+
+def update(store: DataFrame, text: str, given: DataFrame | None = None, graph: str | None = None, column: str = "month") -> DataFrame:
+    """The store without what the text deletes; rows keep all their columns. WITH <name> deletes in that graph of ``column`` alone."""
+    query = Query(store, text, graph)
+    doomed = query.update(given)
+    if not query.named:
+        return store.join(doomed, doomed.columns, "left_anti").select(*store.columns)
+    doomed = doomed.select("s", "p", "o").withColumn(column, F.lit(query.named[0]))
+    return store.join(doomed, [column, "s", "p", "o"], "left_anti").select(*store.columns)
+
+
+def sparql_by_graph(triples: DataFrame, text: str, graph: str = "month") -> DataFrame:
+    """The query's solutions in each graph apart, with the graph's name before the variables; a join or a path never leaves its graph.
+
+    All graphs are evaluated in one plan: the name is one more join and grouping key.
+    """
+    return Query(triples, text, graph).run()
