@@ -38,6 +38,20 @@ TEXT_AT_ONCE = 6 << 20
 BLOCK_IDS = 1 << 20
 END = 0
 _encoders: dict = {}
+#: White space in any reading; letters and digits of Latin and Cyrillic, then signs; lines of pieces without white space.
+WHITE = r"\t\n\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WORD_AND_SIGNS = r"^(?P<word>[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2af}\x{400}-\x{481}\x{48a}-\x{52f}]+)(?P<signs>[!-/:-@\[-`{-~]+)\z"
+LINES = rf"^[^{WHITE}]+(\n[^{WHITE}]+)+\z"
+EMPTY = pa.scalar(b"", pa.large_binary())
+
+
+def _strings(x: list) -> pa.Array:
+    return pa.array(x, pa.large_string())
+
+
+def _binaries(x: list) -> pa.Array:
+    return pa.array(x, pa.large_binary())
+
 
 
 class Encoder:
@@ -58,94 +72,130 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Which ids begin with a space.
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        #: Ids of what begins a text, and of chunks that follow a space; ``odd`` chunks are left to whole texts.
+        self.bare: dict[str, bytes] = {}
+        self.keys, self.parts, self.odd = _strings([""]), _binaries([b""]), np.array([True])
+        newline = self._encode(["\n"])[0]
+        self.newline = np.frombuffer(newline, f"<u{self.width}")
+        self.splits &= len(self.newline) == 1
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: set) -> dict[str, bytes]:
-        """The ids of chunks that follow a space. They are encoded in one text and told apart by the spaces they begin with."""
-        memo, whole, tailed = self.later, set(), []
-        for c in chunks:
-            if c[-1:] in SIGNS and (stem := c[:-1]).isalnum() and max(stem) < "\u0600":
-                tailed.append(c)  # a sign after letters or digits is a pre-token of its own
-                if stem not in memo:
-                    whole.add(stem)
-            else:
-                whole.add(c)
-        whole, out = sorted(whole), {}
-        if whole:
-            ids = np.frombuffer(self._encode([" " + " ".join(whole)])[0], f"<u{self.width}")
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        new = sorted(set(texts).difference(self.bare))
+        ids = dict(zip(new, self._encode(new), strict=True)) if new else {}
+        if len(self.bare) + len(ids) <= MEMO:
+            self.bare.update(ids)
+        return [ids.get(t) or self.bare.get(t, b"") for t in texts]
+
+    def _joined(self, pieces: pa.Array, sign: str) -> pa.Array:
+        """The ids of pieces that stand after a space or a newline. They are encoded in one text and told apart by it."""
+        if not len(pieces):
+            return _binaries([])
+        text = sign.join(pieces.to_pylist())
+        ids = np.frombuffer(self._encode([" " + text if sign == " " else text])[0], f"<u{self.width}")
+        if sign == " ":
             starts = np.flatnonzero(self.spaced[ids])
-            if len(starts) == len(whole) and whole[0]:
-                raw, at = ids.tobytes(), [*(starts * self.width).tolist(), len(ids) * self.width]
-                out = dict(zip(whole, [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)], strict=True))
-            else:
-                out = dict(zip(whole, self._encode([" " + c for c in whole]), strict=True))
-        for c in tailed:
-            out[c] = (out.get(c[:-1]) or memo[c[:-1]]) + self._bare(c[-1])
-        if len(memo) + len(out) <= MEMO:  # what comes first is what is frequent
-            memo.update(out)
-        return out
-
-    def _bare(self, chunk: str) -> bytes:
-        ids = self.first.get(chunk)
-        if ids is None:
-            ids = self._encode([chunk])[0]
-            if len(self.first) < MEMO:
-                self.first[chunk] = ids
-        return ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        else:
+            kept = ids != self.newline[0]
+            starts = np.r_[0, np.cumsum(kept)[~kept]]
+            ids = ids[kept]
+        if len(starts) != len(pieces):
+            return _binaries(self._encode([sign * (sign == " ") + p for p in pieces.to_pylist()]))
+        ends = np.r_[starts, len(ids)].astype(np.int64) * self.width
+        return pa.Array.from_buffers(pa.large_binary(), len(pieces), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(ids.tobytes())])
+
+    def _pieces(self, pieces: pa.Array, sign: str) -> pa.Array:
+        """The ids of pieces without white space; signs at the end of a word are a pre-token of their own."""
+        coded = pieces.dictionary_encode()
+        cut = pc.extract_regex(coded.dictionary, WORD_AND_SIGNS)
+        stems = pc.coalesce(pc.struct_field(cut, 0), coded.dictionary).dictionary_encode()
+        signs = pc.fill_null(pc.struct_field(cut, 1), "").dictionary_encode()
+        if sign == " ":
+            at = pc.fill_null(pc.index_in(stems.dictionary, value_set=self.keys), -1).to_numpy(zero_copy_only=False).copy()
+        else:
+            at = np.full(len(stems.dictionary), -1)
+        new = np.flatnonzero(at < 0)
+        at[new] = len(self.keys) + np.arange(len(new))
+        ids = pa.concat_arrays([self.parts, self._joined(stems.dictionary.take(pa.array(new)), sign)]).take(pa.array(at)).take(stems.indices)
+        tails = _binaries(self._alone(signs.dictionary.to_pylist())).take(signs.indices)
+        return pc.binary_join_element_wise(ids, tails, EMPTY).take(coded.indices)
+
+    def _learn(self, chunks: pa.Array) -> pa.Array:
+        """The ids of chunks that follow a space: without white space, or lines of such pieces, or anything."""
+        lines = pc.match_substring_regex(chunks, LINES).to_numpy(zero_copy_only=False)
+        plain = ~lines & ~pc.match_substring_regex(chunks, f"[{WHITE}]").to_numpy(zero_copy_only=False)
+        rest = np.flatnonzero(~lines & ~plain)
+        out = [self._pieces(chunks.filter(pa.array(plain)), " "), _binaries(self._encode([" " + c for c in chunks.take(pa.array(rest)).to_pylist()]))]
+        if lines.any():
+            lists = pc.split_pattern(chunks.filter(pa.array(lines)), "\n")
+            begin = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.values.slice(lists.offsets[0].as_py(), int(begin[-1]))
+            first = np.zeros(len(flat), bool)
+            first[begin[:-1]] = True
+            later = pc.binary_join_element_wise(pa.scalar(self.newline.tobytes(), pa.large_binary()), self._pieces(flat.filter(pa.array(~first)), "\n"), EMPTY)
+            both = pa.concat_arrays([self._pieces(flat.filter(pa.array(first)), " "), later])
+            order = np.empty(len(flat), np.int64)
+            order[np.flatnonzero(first)] = np.arange(first.sum())
+            order[np.flatnonzero(~first)] = np.arange(first.sum(), len(flat))
+            laid = both.take(pa.array(order))
+            ends = np.frombuffer(laid.buffers()[1], np.int64)[begin]
+            out.append(pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends.tobytes()), laid.buffers()[2]]))
+        place = np.empty(len(chunks), np.int64)
+        place[np.r_[np.flatnonzero(plain), rest, np.flatnonzero(lines)]] = np.arange(len(chunks))
+        return pa.concat_arrays(out).take(pa.array(place))
+
+    def encode(self, texts) -> list[bytes]:
+        """The ids of each text of a list or an Arrow column (null: empty)."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        texts = pc.fill_null(texts, "")
+        apart = pc.equal(pc.binary_length(texts), 0)
+        for a in self.added:
+            apart = pc.or_(apart, pc.match_substring(texts, a))
+        apart = apart.to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(texts)
-        split, whole = [], []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            (split if self.splits and not any(a in text for a in self.added) else whole).append(i)
-        self._split(texts, split, whole, out)
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
+        whole = np.flatnonzero(apart if self.splits else np.ones(len(out), bool)).tolist()
+        if self.splits and not apart.all():
+            whole += self._split(texts.filter(pa.array(~apart)), np.flatnonzero(~apart), out)
+        some = [texts[i].as_py() for i in whole]
+        for i, ids in zip(whole, self._encode(some), strict=True):
             out[i] = ids
         return out
 
-    def _split(self, texts: list[str], split: list[int], whole: list[int], out: list[bytes]) -> None:
-        """Encode the texts of ``split`` by chunks; those with a space after white space are left to ``whole``."""
-        if not split:
-            return
-        # Arrow splits and numbers the chunks, so that Python sees each different chunk of the batch once
-        lists = pc.split_pattern(pa.array([texts[i] for i in split], pa.large_string()), " ")
+    def _split(self, texts: pa.Array, places: np.ndarray, out: list[bytes]) -> list[int]:
+        """Encode texts by chunks to their ``places`` in ``out``; returns the places of those with a space after white space, which are left."""
+        # Arrow splits the texts and looks the chunks up, so that Python sees each new chunk of the batch once
+        lists = pc.split_pattern(texts, " ")
         offsets = lists.offsets.to_numpy()
-        coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        codes, chunks = coded.indices.to_numpy().copy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets = offsets - offsets[0]
-        spaced = np.array([not c or c[-1].isspace() for c in chunks])
-        odd = np.logical_or.reduceat(spaced[codes], offsets[:-1])
-        known = self.later.get
-        parts = list(map(known, chunks))
-        if None in parts:
-            new = self._learn({c for c, p in zip(chunks, parts, strict=True) if p is None})
-            parts = [new[c] if p is None else p for c, p in zip(chunks, parts, strict=True)]
-        first = [chunks[c] for c in codes[offsets[:-1]]]
-        new = list(set(first).difference(self.first))
-        heads = dict(zip(new, self._encode(new), strict=True))
-        if len(self.first) + len(new) <= MEMO:
-            self.first.update(heads)
-        codes[offsets[:-1]] = len(parts)  # a text's first chunk has no space before it
-        laid = pa.array([*parts, b""], pa.large_binary()).take(pa.array(codes))
+        heads = offsets[:-1]
+        codes = pc.fill_null(pc.index_in(flat, value_set=self.keys), -1).to_numpy(zero_copy_only=False).copy()
+        codes[heads] = 0  # a text's first chunk has no space before it
+        unknown = codes < 0
+        met = flat.filter(pa.array(unknown)).dictionary_encode()
+        chunks = met.dictionary
+        odd = pc.match_substring_regex(chunks, f"(^|[{WHITE}])\\z").to_numpy(zero_copy_only=False)
+        new = self._learn(pc.if_else(pa.array(odd), "", chunks))  # those are not used
+        codes[unknown] = met.indices.to_numpy() + len(self.keys)
+        parts, odds = pa.concat_arrays([self.parts, new]), np.r_[self.odd, odd]
+        first = flat.take(pa.array(heads)).to_pylist()
+        left = odds[codes]
+        left[heads] = [not c or c[-1].isspace() for c in first]
+        left = np.logical_or.reduceat(left, heads)
+        if len(parts) <= MEMO:
+            self.keys, self.parts, self.odd = pa.concat_arrays([self.keys, chunks]), parts, odds
+        laid = parts.take(pa.array(codes))
         _, ends, data = laid.buffers()
         cut = np.frombuffer(ends, np.int64)[offsets].tolist()
         raw = memoryview(data) if data is not None else memoryview(b"")
-        for i, head, a, b, left in zip(split, first, cut[:-1], cut[1:], odd.tolist(), strict=True):
-            if left:
-                whole.append(i)
-            else:
-                out[i] = (self.first.get(head) or heads[head]) + raw[a:b]
+        for i, head, a, b, skip in zip(places.tolist(), self._alone(first), cut[:-1], cut[1:], left.tolist(), strict=True):
+            if not skip:
+                out[i] = head + raw[a:b]
+        return places[left].tolist()
 
 
-#: Signs that stand alone after letters or digits.
-SIGNS = ".,;:!?"
-
 def encoder(name: str) -> Encoder:
     if name not in _encoders:
         _encoders[name] = Encoder(name)
@@ -160,15 +210,13 @@ def encode_batches(batches, name: str):
     total, id_type = np.zeros(len(enc.spaced), np.int64), None
     names = ["doc_id", "ids", "counts"]
     for b in batches:
-        texts, id_type = b.column(1), b.column(0).type
+        id_type = b.column(0).type
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
-        while at < len(texts):
-            end, size, some = at, 0, []
-            while end < len(texts) and (size < TEXT_AT_ONCE or end == at):
-                some.append(texts[end].as_py() or "")
-                size += len(some[-1])
-                end += 1
-            ids = [x + end_id for x in enc.encode(some)]
+        while at < b.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + TEXT_AT_ONCE, "right")))
+            ids = [x + end_id for x in enc.encode(b.column(1).slice(at, end - at))]
             total += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(total))
             yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), pa.array(ids, pa.binary()), pa.nulls(end - at, pa.binary())], names)
             at = end
@@ -218,32 +266,35 @@ BLOCKS = "part int, block int, first long, doc_ids array<{id}>, n_ids array<long
 
 
 def write_blocks(batches, rank_of: np.ndarray, width: int):
-    """(doc_id, ids) in file order to rows of blocks."""
+    """(doc_id, ids) in file order to rows of blocks; a block ends with the document that brings it to ``BLOCK_IDS``."""
     part, block, first = TaskContext.get().partitionId(), 0, 0
-    doc_ids, arrays, held, kind = [], [], 0, None
-
-    def row():
-        control, data = encode_ranks(rank_of[np.concatenate(arrays)])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()), pa.array([doc_ids], pa.list_(kind)),
-                pa.array([[len(a) for a in arrays]], pa.list_(pa.int64())), pa.array([control], pa.binary()), pa.array([data], pa.binary()),
-            ],
-            ["part", "block", "first", "doc_ids", "n_ids", "control", "data"],
-        )
+    names = ["part", "block", "first", "doc_ids", "n_ids", "control", "data"]
+    held: list = []
+
+    def row(docs, n, values):
+        control, data = encode_ranks(values)
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), x) for x in (docs, pa.array(n))]
+        whole = [pa.array([x], t) for x, t in ((part, pa.int32()), (block, pa.int32()), (first, pa.int64()))]
+        return pa.RecordBatch.from_arrays([*whole, *lists, pa.array([control], pa.binary()), pa.array([data], pa.binary())], names)
 
     for b in batches:
-        kind = b.column(0).type
-        for d, x in zip(b.column(0), b.column(1), strict=True):
-            doc_ids.append(d.as_py())
-            arrays.append(np.frombuffer(x.as_py(), f"<u{width}"))
-            held += len(arrays[-1])
-            if held >= BLOCK_IDS:
-                yield row()
-                block, first = block + 1, first + held
-                doc_ids, arrays, held = [], [], 0
-    if arrays:
-        yield row()
+        if not b.num_rows:
+            continue
+        ids = b.column(1)
+        ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+        n = np.diff(ends).astype(np.int64) // width
+        values = rank_of[np.frombuffer(ids.buffers()[2], f"<u{width}")[ends[0] // width : ends[-1] // width]]
+        held.append((b.column(0), n, values))
+        docs, n, values = held[0] if len(held) == 1 else (pa.concat_arrays([h[0] for h in held]), *(np.concatenate([h[i] for h in held]) for i in (1, 2)))
+        ends, at, done = np.cumsum(n), 0, 0
+        while done + BLOCK_IDS <= len(values):
+            end = int(np.searchsorted(ends, done + BLOCK_IDS)) + 1
+            yield row(docs.slice(at, end - at), n[at:end], values[done : ends[end - 1]])
+            block, first = block + 1, first + int(ends[end - 1]) - done
+            at, done = end, int(ends[end - 1])
+        held = [(docs.slice(at), n[at:], values[done:])] if at < len(n) else []
+    if held:
+        yield row(*held[0])
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", doc_id: str = "doc_id", text: str = "text") -> None:
