@@ -2,7 +2,7 @@
 
 extract   a folder of cached portal pages to module files, months that are there already left out
 merge     all months of a folder of module files as one dataset
-turtle    module files to N-Triples
+turtle    module files to Turtle
 load      module files into a store of named graphs; drop and list change and show it
 query     a SPARQL query over a store's graphs, as JSON lines
 """
@@ -72,7 +72,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "merge":
         modules.save(modules.merged(modules.load(spark, a.folder), a.name), a.folder)
     elif a.command == "turtle":
-        modules.turtle(modules.load(spark, a.folder), a.target, tuple(a.modules))
+        modules.turtle(modules.load(spark, a.folder), a.target, tuple(a.modules), grouped=True)
     elif a.command == "load":
         modules.Store(spark, a.store).load(modules.load(spark, a.folder))
     elif a.command == "drop":

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventweave.functions import terms
+from eventweave.sources import rdf
 
 TERM = ["s", "p", "o", "o_kind", "o_datatype", "o_lang"]
-NODE = "`@id` string, facts map<string,array<struct<`@id`:string,`@value`:string,`@type`:string,`@language`:string>>>"
 
 
 def uri(p: str, o: Column) -> Column:
@@ -99,21 +99,13 @@ def missing_months(wanted: DataFrame, built: DataFrame) -> DataFrame:
 
 
 def to_jsonld(triples: DataFrame) -> DataFrame:
-    """(module, month, value): one JSON node object a line for each subject."""
-    o, lit = F.col("o"), F.col("o_kind") == "literal"
-    term = F.struct(F.when(~lit, o).alias("@id"), F.when(lit, o).alias("@value"), F.col("o_datatype").alias("@type"), F.col("o_lang").alias("@language"))
-    per = triples.select("module", "month", *TERM).distinct().groupBy("module", "month", "s", "p").agg(F.array_sort(F.collect_list(term)).alias("v"))
-    node = per.groupBy("module", "month", "s").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("p", "v")))).alias("facts"))
-    return node.select("module", "month", F.to_json(F.struct(F.col("s").alias("@id"), "facts")).alias("value"))
+    """(module, month, value): an expanded JSON-LD node object a line for each subject."""
+    return rdf.node_objects(triples, ["module", "month"])
 
 
 def from_jsonld(lines: DataFrame) -> DataFrame:
     """The triples of :func:`to_jsonld`'s rows."""
-    node = lines.select("module", "month", F.from_json("value", NODE).alias("n"))
-    fact = node.select("module", "month", F.col("n.@id").alias("s"), F.explode("n.facts").alias("p", "vs")).select("module", "month", "s", "p", F.explode("vs").alias("v"))
-    lit = F.col("v.@value").isNotNull()
-    kind = F.when(lit, "literal").when(F.col("v.@id").startswith("_:"), "bnode").otherwise("uri")
-    return fact.select("module", "month", "s", "p", F.coalesce("v.@value", "v.@id").alias("o"), kind.alias("o_kind"), F.col("v.@type").alias("o_datatype"), F.col("v.@language").alias("o_lang"))
+    return rdf.facts_of_lines(lines, ["module", "month"])
 
 
 def to_ntriples(triples: DataFrame, base: str = "https://example.org/", keep: tuple[str, ...] = ()) -> DataFrame:
