@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.functions import datetimes
+from eventweave.operators.closure import cut
 from eventweave.sources import modules, pages, portal, triples
 
 
@@ -52,23 +53,31 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def extract(spark: SparkSession, a) -> None:
+def extract(spark: SparkSession, a) -> int:
+    """Publish the months that can be parsed; those that cannot are listed in ``_status`` and on stderr, stay unbuilt and so are tried again next time."""
     months = datetimes.month_range(spark, a.start, a.end)
     if not a.force:
         built = [r.name for r in months.collect() if modules.exists(spark, a.folder, r.name)]
         months = months.where(~F.col("name").isin(built)) if built else months
     snapshot = pages.portal_snapshot(pages.cached_pages(spark, a.pages), months)
-    parsed = portal.parse_pages(snapshot)
+    every = cut(portal.parse_pages(snapshot))
+    status = portal.page_status(every)
+    status.coalesce(1).write.mode("overwrite").json(f"{a.folder}/_status")  # a row a month
+    failed = status.where("status = 'failed'").select("month", "error").collect()
+    for r in failed:
+        print(f"{r.month}: {r.error}", file=sys.stderr)
+    parsed = portal.whole_months(every)
     first, last = a.first_day or f"{a.start}-01", a.last_day or "9999-12-31"
     events, topics = (pages.in_days(f(parsed), first, last) for f in (portal.portal_events, portal.portal_topics))
     modules.save(triples.event_triples(events).unionByName(triples.topic_triples(topics)).unionByName(triples.news_triples(events)), a.folder)
+    return 1 if failed else 0
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("eventweave").getOrCreate()
     if a.command == "extract":
-        extract(spark, a)
+        return extract(spark, a)
     elif a.command == "merge":
         modules.save(modules.merged(modules.load(spark, a.folder), a.name), a.folder)
     elif a.command == "turtle":

@@ -76,9 +76,9 @@ def linked_entities(texts: DataFrame, entity_links: DataFrame) -> DataFrame:
 
 
 def article_links(events: DataFrame) -> DataFrame:
-    """(date, event_index, sentence, url) for each link of an event that leads to an article."""
+    """(date, event_index, sentence, url, start_pos) for each link of an event that leads to an article; start_pos is its place in the sentence."""
     link = events.select("date", "event_index", F.inline("sentences")).select("date", "event_index", F.col("idx").alias("sentence"), F.explode("links").alias("l"))
-    return link.where(terms.is_article_url(F.col("l.href"))).select("date", "event_index", "sentence", terms.without_fragment(F.col("l.href")).alias("url"))
+    return link.where(terms.is_article_url(F.col("l.href"))).select("date", "event_index", "sentence", terms.without_fragment(F.col("l.href")).alias("url"), F.col("l.start_pos").alias("start_pos"))
 
 
 def expanded(urls: DataFrame, articles: DataFrame, rounds: int = 2) -> DataFrame:
@@ -159,7 +159,7 @@ def contained_places(located: DataFrame, parents: DataFrame) -> DataFrame:
 
 def location_counts(article_links: DataFrame, places: DataFrame) -> DataFrame:
     """One row: sentences with more than one place, events with a place, events with more than one. ``places``: (url)."""
-    hits = article_links.join(places.select("url").distinct(), "url", "left_semi").distinct()
+    hits = article_links.select("date", "event_index", "sentence", "url").join(places.select("url").distinct(), "url", "left_semi").distinct()
     sentence = hits.groupBy("date", "event_index", "sentence").count().agg(F.count_if(F.col("count") > 1).alias("sentences_with_more"))
     event = hits.select("date", "event_index", "url").distinct().groupBy("date", "event_index").count()
     counted = event.agg(F.count("*").alias("events_with"), F.count_if(F.col("count") > 1).alias("events_with_more"))
@@ -170,5 +170,5 @@ def location_counts(article_links: DataFrame, places: DataFrame) -> DataFrame:
 def events_with_location(article_links: DataFrame, events: DataFrame, places: DataFrame) -> DataFrame:
     """Flat rows of events that name a place: (date, event_index, text, place_url), the first located link by place in the text."""
     located = article_links.join(places.select("url").distinct(), "url", "left_semi")
-    first = located.groupBy("date", "event_index").agg(F.min(F.struct("sentence", "url")).alias("x"))
+    first = located.groupBy("date", "event_index").agg(F.min(F.struct("sentence", "start_pos", "url")).alias("x"))
     return events.join(first, ["date", "event_index"]).select("date", "event_index", "text", F.col("x.url").alias("place_url"))

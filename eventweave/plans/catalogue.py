@@ -111,12 +111,13 @@ def path_plus(spark, sf_dir):
     return patterns.plus(graph.places(spark, sf_dir), "locatedIn", "place", "within")
 
 
-@query("""WITH RECURSIVE e(a, b) AS (VALUES ('ECONOMY','BUSINESS'),('PROMO','BUSINESS'),('BUSINESS','COMPANY'),('STANDARD','PRODUCT'),('LARGE','SIZE'),('MEDIUM','SIZE'),('SMALL','SIZE'),('SIZE','PRODUCT')),
-n AS (SELECT a AS x FROM e UNION SELECT b FROM e), p AS (SELECT x AS class, x AS super FROM n UNION SELECT p.class, e.b FROM p JOIN e ON e.a = p.super) SELECT class, super FROM p""")
+@query("""WITH e AS (SELECT 'place/supplier/' || s_suppkey AS a, 'place/nation/' || s_nationkey AS b FROM supplier UNION ALL SELECT 'place/nation/' || n_nationkey, 'place/region/' || n_regionkey FROM nation),
+n AS (SELECT 'place/supplier/' || s_suppkey AS x FROM supplier UNION ALL SELECT 'place/nation/' || n_nationkey FROM nation UNION ALL SELECT 'place/region/' || r_regionkey FROM region)
+SELECT x AS place, x AS within FROM n UNION ALL SELECT a, b FROM e UNION ALL SELECT e.a, f.b FROM e JOIN e f ON f.a = e.b""")
 def path_star(spark, sf_dir):
-    t = graph.class_edges(spark).select(F.lit("subclass").alias("p"), F.col("src").alias("s"), F.col("dst").alias("o"))
-    nodes = t.select("s").union(t.select("o"))
-    return patterns.star(t, "subclass", "class", "super", nodes)
+    """locatedIn*: every place with itself and with all that it lies in."""
+    t = graph.places(spark, sf_dir)
+    return patterns.star(t, "locatedIn", "place", "within", t.where("p = 'type'").select("s"))
 
 
 @query("""SELECT 'place/nation/' || n_nationkey AS place, 'place/region/' || n_regionkey AS within FROM nation
@@ -496,26 +497,17 @@ def topological_levels(spark, sf_dir):
     return closure.levels(_shortcuts(spark, sf_dir)[1])
 
 
-@query()
-def acyclic_topic_tree(spark, sf_dir):
-    """A pruned tree for each region: nations under it, customers under nations, by first mention."""
-    o, c, n = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    first = o.join(c, o.o_custkey == c.c_custkey).groupBy("c_custkey", "c_nationkey").agg(F.min("o_orderdate").cast("date").alias("day"))
-    named = first.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    graph_ = F.col("n_regionkey").cast("string").alias("graph")
-    low = named.select(graph_, key_("nation", "n_nationkey").alias("src"), key_("customer", "c_custkey").alias("dst"), "day")
-    high = named.groupBy("n_regionkey", "n_nationkey").agg(F.min("day").alias("day")).select(graph_, F.lit("root").alias("src"), key_("nation", "n_nationkey").alias("dst"), "day")
-    return closure.topic_trees(low.unionByName(high), "root")
-
-
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("SELECT strftime(m, '%B_%Y') AS name FROM range(DATE '2019-11-01', DATE '2021-03-01', INTERVAL 1 MONTH) t(m)")
+@query("""SELECT strftime(m, '%B_%Y') AS name FROM (SELECT unnest(range(date_trunc('month', min(o_orderdate))::TIMESTAMP, date_trunc('month', max(o_orderdate))::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 MONTH)) AS m FROM orders)""")
 def month_range(spark, sf_dir):
-    return datetimes.month_range(spark, "2019-11", "2021-02").select("name")
+    """All months from the first order's to the last's."""
+    month = lambda f: F.date_format(f("o_orderdate"), "yyyy-MM")
+    ends = table(spark, sf_dir, "orders").agg(month(F.min).alias("first"), month(F.max).alias("last")).first()
+    return datetimes.month_range(spark, ends.first, ends.last).select("name")
 
 
 @query("SELECT c_custkey, 'k1=' || c_mktsegment || ',k2=' || n_name AS merged FROM customer JOIN nation ON n_nationkey = c_nationkey")

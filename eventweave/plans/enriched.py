@@ -82,10 +82,10 @@ def geocoded_texts(spark, sf_dir):
     return enrich.geocoded_text(n.select(F.col("n_name").alias("text")), hit.unionByName(more)).select("text", "osm_type", "osm_id")
 
 
-@query(extracted.ORDERS + "SELECT id, 'https://en.wikipedia.org/wiki/' || n AS url, CASE WHEN n IN (SELECT n_name FROM nation) THEN 'Q' || (nk + 1000) END AS entity, nk % 3 < 2 AS is_place FROM w")
+@query(extracted.ORDERS + "SELECT id, 'https://en.wikipedia.org/wiki/' || n AS url, CASE WHEN n IN (SELECT n_name FROM nation) THEN 'Q' || (nk + 1000) END AS entity, nk % 3 < 2 AS is_place FROM w UNION ALL SELECT id, u || 'Supplier_' || j, CASE WHEN s_suppkey IS NOT NULL THEN 'Q' || (j + 2000) END, CASE WHEN s_suppkey IS NOT NULL THEN FALSE END FROM w LEFT JOIN supplier ON s_suppkey = j")
 def links_resolved(spark, sf_dir):
-    """First sentences' links with the articles that they lead to."""
-    links = enrich.article_links(portal.portal_events(extracted.parsed(spark, sf_dir))).where("sentence = 0")
+    """All sentences' links with the articles that they lead to."""
+    links = enrich.article_links(portal.portal_events(extracted.parsed(spark, sf_dir)))
     found = enrich.resolved(links, extracted.known_articles(spark, sf_dir))
     return found.select(terms.event_id(F.col("date"), F.col("event_index")).alias("id"), "url", enrich.entity_id(F.col("entity")).alias("entity"), "is_place")
 
@@ -102,12 +102,27 @@ def flat_located_events(spark, sf_dir):
     """Flat rows of events with the first place that they name, by way of a JSON-lines file."""
     events = portal.portal_events(extracted.parsed(spark, sf_dir))
     places = extracted.known_articles(spark, sf_dir).where("is_place").select("url")
-    path = extracted._shared(spark, f"located-{abs(hash(sf_dir))}")
+    path = extracted._shared(spark, f"located-{extracted._name(sf_dir)}")
     enrich.save_locations(enrich.events_with_location(enrich.article_links(events), events, places), path)
     back = spark.read.schema("date date, event_index int, text string, place_url string").json(path)
     return back.select(terms.event_id(F.col("date"), F.col("event_index")).alias("id"), "place_url")
 
 
+@query("""WITH r AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS date, a.n_name AS first, a.n_nationkey AS fk, b.n_name AS second, b.n_nationkey AS sk FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation a ON a.n_nationkey = c_nationkey JOIN nation b ON b.n_nationkey = (c_nationkey * 7 + 3) % 25)
+SELECT k, 'https://en.wikipedia.org/wiki/' || CASE WHEN fk % 3 < 2 THEN first ELSE second END AS place_url FROM r WHERE fk % 3 < 2 OR sk % 3 < 2""")
+def first_places_by_offset(spark, sf_dir):
+    """Of two places that a sentence links the one that stands first in it, whatever their names."""
+    o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    a, b = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("first")), n.select(F.col("n_nationkey").alias("other"), F.col("n_name").alias("second"))
+    rows = o.join(c, o.o_custkey == c.c_custkey).join(a, "c_nationkey").withColumn("other", (F.col("c_nationkey") * 7 + 3) % 25).join(b, "other")
+    link = lambda name, at: F.struct(F.concat(F.lit("https://en.wikipedia.org/wiki/"), name).alias("href"), at.alias("start_pos"))
+    links = F.array(link(F.col("second"), F.length("first") + 5), link(F.col("first"), F.lit(0)))
+    sentence = F.struct(F.lit(0).alias("idx"), links.alias("links"))
+    events = rows.select(F.to_date("o_orderdate").alias("date"), F.col("o_orderkey").alias("event_index"), F.concat_ws(" and ", "first", "second").alias("text"), F.array(sentence).alias("sentences"))
+    places = n.where("n_nationkey % 3 < 2").select(F.concat(F.lit("https://en.wikipedia.org/wiki/"), "n_name").alias("url"))
+    return enrich.events_with_location(enrich.article_links(events), events, places).select(F.col("event_index").alias("k"), "place_url")
+
+
 DATE_FORMS = [
     ("MMMM d, yyyy", None, None, None), ("MMMM d,yyyy", None, None, None), ("MMMM d/yyyy", None, None, None), ("MMMM/d/yyyy", None, None, None), ("d MMMM yyyy", None, None, None), ("MMMM d yyyy", None, None, "none"),
     ("MMMM d, yyyy", " - ", "MMMM d, yyyy", None), ("d MMMM yyyy", " until ", "d MMMM yyyy", None), ("MMMM d, yyyy", " – ", "present", "open"), ("d MMMM yyyy", " to ", "ongoing", "open"),
@@ -203,16 +218,17 @@ def unlisted_articles(spark, sf_dir):
 @query("SELECT user_id AS name, arg_max(event_type = 'click', event_id) AS flag FROM events GROUP BY ALL")
 def last_log_records(spark, sf_dir):
     """A classifier's log: of each name's JSON lines the last one counts."""
-    path = extracted._shared(spark, f"log-{abs(hash(sf_dir))}")
+    path = extracted._shared(spark, f"log-{extracted._name(sf_dir)}")
     e = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.col("user_id").alias("name"), (F.col("event_type") == "click").alias("flag"))).alias("value"))
-    e.coalesce(1).sortWithinPartitions("event_id").select("value").write.mode("overwrite").text(path)
+    # files in the order of events: a part is a range of them
+    e.repartitionByRange("event_id").sortWithinPartitions("event_id").select("value").write.mode("overwrite").text(path)
     return metrics.last_records(metrics.scan_lines(spark, path, "name long, flag boolean")).select("name", "flag")
 
 
 @query("SELECT CAST(ts AS DATE) AS day, count(*) AS events, 0 AS absent, round(sum(value), 3) AS seconds, round(sum(value) / 60, 4) AS minutes FROM events GROUP BY ALL")
 def metrics_files(spark, sf_dir):
     """Daily metrics written as files and read under a schema: what a file lacks is 0; times also in minutes."""
-    path = extracted._shared(spark, f"metrics-{abs(hash(sf_dir))}")
+    path = extracted._shared(spark, f"metrics-{extracted._name(sf_dir)}")
     days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("events"), F.sum("value").alias("wait_s"), F.lit(9).alias("debug"))
     metrics.save_metrics(days, path, development=("debug",))
     m = metrics.in_units(metrics.load_metrics(spark, path, "day date, events long, absent long, debug long, wait_s double"))
@@ -370,7 +386,7 @@ def text_without_source(spark, sf_dir):
 @query("SELECT 'n' || n_nationkey AS area, 54 AS box FROM nation WHERE n_regionkey = 2")
 def shape_cache(spark, sf_dir):
     """Shapes cached with their boxes, and those inside one region's polygon read back."""
-    path = extracted._shared(spark, f"shapes-{abs(hash(sf_dir))}")
+    path = extracted._shared(spark, f"shapes-{extracted._name(sf_dir)}")
     eventmap.save_shapes(_shapes(spark, sf_dir).where(F.col("area").startswith("n")), path)
     back = eventmap.load_shapes(spark, path, within="POLYGON ((-1 199, 200 199, 200 298, -1 298, -1 199))")
     return back.select("area", F.round("box").cast("long").alias("box"))

@@ -5,6 +5,8 @@ Each query's SQL says from the tables alone what extraction must find.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -164,6 +166,11 @@ def jsonld_roundtrip(spark, sf_dir):
     return t.where(F.col("p").isin("hasTag", "hasMentionDate", "isIdentifiedBy", "isOccuringDuring")).select("month", "s", "p", "o")
 
 
+def _name(sf_dir: str) -> str:
+    """A folder's name for a table directory, the same in every process."""
+    return hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+
+
 def _shared(spark, what: str) -> str:
     cut(spark.range(1))  # sets the checkpoint folder if need be
     return f"{spark.sparkContext.getCheckpointDir()}/{what}"
@@ -173,12 +180,47 @@ def _folder(spark, sf_dir) -> str:
     """A folder of module files in the shared folder, written once for each session."""
     key = (spark.sparkContext.applicationId, sf_dir, "folder")
     if key not in _made:
-        path = _shared(spark, f"modules-{abs(hash(sf_dir))}")
+        path = _shared(spark, f"modules-{_name(sf_dir)}")
         modules.save(built(spark, sf_dir), path)
         _made[key] = path
     return _made[key]
 
 
+@query("SELECT module, 0 AS lost, 0 AS added FROM (VALUES ('base'), ('raw'), ('ohg'), ('osm')) m(module)")
+def module_files_whole(spark, sf_dir):
+    """All four modules of all months, every column, against what their JSON-LD documents hold."""
+    columns = ["module", "month", *triples.TERM]
+    there, back = built(spark, sf_dir), modules.load(spark, _folder(spark, sf_dir))
+    # a literal without datatype or language is a string, as RDF has it
+    kind = F.when((F.col("o_kind") == "literal") & F.col("o_lang").isNull(), F.coalesce("o_datatype", F.lit("xsd:string"))).otherwise(F.col("o_datatype"))
+    both = there.withColumn("o_datatype", kind).select(*columns, F.lit(1).alias("d")).unionByName(back.select(*columns, F.lit(-1).alias("d")))
+    diff = both.groupBy(*columns).agg(F.sum("d").alias("d"))
+    return diff.groupBy("module").agg(F.count_if(F.col("d") > 0).alias("lost"), F.count_if(F.col("d") < 0).alias("added"))
+
+
+@query(EVENT_FACTS + """SELECT month, s, p, o, CASE p WHEN 'hasTag' THEN 'xsd:string' WHEN 'hasMentionDate' THEN 'xsd:dateTime' END AS o_datatype FROM f""")
+def turtle_documents(spark, sf_dir):
+    """Months' events as Turtle documents, grouped by subject with prefixes, and read back."""
+    b = built(spark, sf_dir).where(F.col("s").startswith("event/") & F.col("p").isin("hasTag", "hasMentionDate", "isIdentifiedBy", "isOccuringDuring"))
+    path = _shared(spark, f"turtle-{_name(sf_dir)}")
+    modules.turtle(b, path, (), grouped=True)
+    return modules.from_turtle(spark, path).select("month", "s", "p", "o", "o_datatype")
+
+
+FAULTS = ORDERS + """, m AS (SELECT month, count(*) AS events, CAST(strftime(min(day), '%m') AS INT) % 5 AS f FROM w GROUP BY month) """
+
+
+@query(FAULTS + "SELECT month, CASE WHEN f = 0 THEN 'failed' ELSE 'published' END AS status, CASE WHEN f = 0 THEN 0 ELSE events END AS events, CASE WHEN f = 0 THEN 'ValueError' END AS error FROM m")
+def faulty_months(spark, sf_dir):
+    """Months whose page is malformed are listed with their error; the others are published."""
+    t = lambda n: table(spark, sf_dir, n)
+    pages = rendered.portal_pages(t("orders"), t("customer"), t("nation"))
+    number = F.month(F.to_date(F.concat(F.lit("1 "), F.replace("month", F.lit("_"), F.lit(" "))), "d MMMM yyyy"))
+    broken = F.when(number % 5 == 0, F.regexp_replace("html", '<div class="description">', "<div>")).otherwise(F.col("html"))
+    status = portal.page_status(cut(portal.parse_pages(pages.withColumn("html", broken))))
+    return status.select("month", "status", F.col("events").cast("long").alias("events"), F.substring_index("error", ":", 1).alias("error"))
+
+
 @query(ORDERS + "SELECT month, module, TRUE AS full_set FROM (SELECT DISTINCT month FROM w), (VALUES ('base'), ('raw'), ('ohg'), ('osm')) m(module)")
 def module_files(spark, sf_dir):
     """Every month has its four modules; a month counts as built only with all of them."""
@@ -287,7 +329,7 @@ def delete_outlines_and_news(spark, sf_dir):
 def named_graphs(spark, sf_dir):
     """Months loaded into a store as named graphs, one dropped, two scanned by name, the rest listed."""
     key = (spark.sparkContext.applicationId, sf_dir, "store")
-    store = modules.Store(spark, _shared(spark, f"store-{abs(hash(sf_dir))}"))
+    store = modules.Store(spark, _shared(spark, f"store-{_name(sf_dir)}"))
     if key not in _made:
         store.load(built(spark, sf_dir))
         store.drop("February_1996")

@@ -8,6 +8,8 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are named {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             ORACLES[f.__name__] = sql

@@ -191,19 +191,43 @@ def parse_page(month: str, url: str, html: str) -> tuple[list[dict], list[dict]]
     return events, topics
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """(events, topics) of each page (month, url, html), one row a page: a page is parsed once for both."""
+def parse_pages(pages: DataFrame, strict: bool = False) -> DataFrame:
+    """(month, url, error, events, topics) of each page (month, url, html), one row a page: a page is parsed once for both.
+
+    A page that cannot be parsed has an error and neither events nor topics; with
+    ``strict`` it fails the job.
+    """
     events, topics = _names(EVENTS), _names(TOPICS)
     kind = lambda names: "array<struct<" + ",".join(f"{c.split(' ', 1)[0]}:{c.split(' ', 1)[1]}" for c in names) + ">>"
 
+    def one(p) -> tuple:
+        try:
+            return (p.month, p.url, None, *parse_page(p.month, p.url, p.html))
+        except Exception as e:  # a page is outside input: whatever it breaks, the other months go on
+            if strict:
+                raise
+            return p.month, p.url, f"{type(e).__name__}: {e}", [], []
+
     def run(batches):
         for pdf in batches:
-            parsed = [parse_page(p.month, p.url, p.html) for p in pdf.itertuples()]
-            if parsed:
-                yield pd.DataFrame({"events": [p[0] for p in parsed], "topics": [p[1] for p in parsed]})
+            if len(pdf):
+                yield pd.DataFrame([one(p) for p in pdf.itertuples()], columns=["month", "url", "error", "events", "topics"])
 
     # a month's page is large and there are few; each is a row of work
-    return pages.select("month", "url", "html").mapInPandas(run, f"events {kind(events)}, topics {kind(topics)}")
+    return pages.select("month", "url", "html").mapInPandas(run, f"month string, url string, error string, events {kind(events)}, topics {kind(topics)}")
+
+
+def page_status(parsed: DataFrame) -> DataFrame:
+    """(month, status, pages, events, topics, error): a month is published if all its pages were parsed, else failed, with the first error."""
+    return parsed.groupBy("month").agg(
+        F.when(F.count("error") > 0, "failed").otherwise("published").alias("status"), F.count("*").alias("pages"), F.sum(F.size("events")).alias("events"),
+        F.sum(F.size("topics")).alias("topics"), F.min("error").alias("error"),
+    )
+
+
+def whole_months(parsed: DataFrame) -> DataFrame:
+    """The pages of months without an error, which can be published."""
+    return parsed.join(parsed.where("error IS NOT NULL").select("month").distinct(), "month", "left_anti")
 
 
 def _names(schema: str) -> list[str]:
