@@ -16,8 +16,8 @@ of ``CELLS`` cells, chosen by hash. The table has a fixed size; at a larger corp
 more shingles share a cell, so only more frequent ones are told from the rest.
 The classes decide how large the buckets are, never what is found.
 
-Equal sets are one set from the start. Texts are read three times and shuffled
-once, for those sets that met another; of the rest only prefixes move.
+Equal sets are one set from the start. Texts are read three times and do not move;
+prefixes do, and the sets of those that have a candidate.
 """
 
 from __future__ import annotations
@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventweave.llm.common import saved, scratch, ship, table, tidy
-from eventweave.llm.similar import SIMILAR, TILE, connected, may_meet, set_id, shingles, sketch
+from eventweave.llm.similar import SIMILAR, TILE, connected, least_common, set_id, shingles, sketch, texts_at
 
 #: Cells of the frequency table, and the blocks in which it is counted.
 CELLS = 1 << 21
 BLOCKS = 32
+#: Parts in which a block's counts are added up first.
+SALTS = 8
 CELL_SHIFT = np.uint64(64 - 21)
 #: Hashes counted at a time, and ids of sets that a task remembers as sent.
 AT_ONCE = 1 << 20
@@ -45,6 +47,11 @@ CROWD = 4096
 NEAR = 32
 
 
+def may_meet(size_a, pos_a, size_b, pos_b):
+    """Whether sets may be similar whose first common shingle of the prefixes stands at these places (from 0)."""
+    return np.minimum(size_a - pos_a, size_b - pos_b) >= least_common(size_a, size_b)
+
+
 def prefix_length(n):
     """How many of n shingles, in the global order, a similar set must meet."""
     return n + SIMILAR[0] * -n // SIMILAR[1] + 1
@@ -79,7 +86,7 @@ def rows_and_counts(batches):
     count()
     if id_type is None:
         return
-    salt = TaskContext.get().partitionId() % 64
+    salt = TaskContext.get().partitionId() % SALTS
     for block, part in enumerate(np.split(counts, BLOCKS)):
         if part.any():
             none = [pa.nulls(1, t) for t in (id_type, pa.int64(), pa.int64(), pa.int32())]
@@ -126,13 +133,13 @@ def frequency_classes(counts: DataFrame, shingles_in_all: int) -> np.ndarray:
 
 
 def prefixes(batches, classes: np.ndarray):
-    """Arrow batches (text) to (kind, key, who, size, pos): kind 0 is (group, set), kind 1 (shingle of the prefix, group)."""
+    """Arrow batches (text) to (kind, key, who, size, pos, bits): kind 0 is (group, set) with the set's sketch, kind 1 (shingle of the prefix, group)."""
     seen: set = set()
     groups: set = set()
 
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
-            out = []
+            out, bits = [], []
             for x in whole.slice(at, 512).column(0).cast(pa.binary()):
                 found = shingles(x.as_py() or b"")
                 if not len(found) or (sid := set_id(found)) in seen:
@@ -142,17 +149,19 @@ def prefixes(batches, classes: np.ndarray):
                 group = int(np.int64(np.uint64(xxhash.xxh64_intdigest(first.tobytes(), len(found))).view(np.int64)))
                 seen.add(sid)
                 out.append((np.zeros(1, np.int32), np.array([group]), np.array([sid]), np.array([len(found)]), np.zeros(1, np.int64)))
+                bits.append(sketch(found))
                 if group not in groups:
                     groups.add(group)
                     n = len(first)
+                    bits += [None] * n
                     out.append((np.ones(n, np.int32), first.view(np.int64), np.full(n, group), np.full(n, len(found)), np.arange(n)))
             if len(seen) > SENT:
                 seen.clear()
                 groups.clear()
             if out:
                 kind, key, who, size, pos = (np.concatenate(c) for c in zip(*out, strict=True))
-                cols = [pa.array(kind), pa.array(key), pa.array(who), pa.array(size.astype(np.int32)), pa.array(pos.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, ["kind", "key", "who", "size", "pos"])
+                cols = [pa.array(kind), pa.array(key), pa.array(who), pa.array(size.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(bits, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["kind", "key", "who", "size", "pos", "bits"])
 
 
 def _joinable(start: np.ndarray, n: np.ndarray, size: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -176,47 +185,69 @@ def _joinable(start: np.ndarray, n: np.ndarray, size: np.ndarray, pos: np.ndarra
     return out
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    h = x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    return h * np.uint64(0xD6E8FEB86659FD93)
+
+
 def met(batches):
-    """Arrow batches (kind, key, who, size, pos) sorted by key, kind and who to the same without repeats, and of kind 1 without groups that no other may join there.
+    """Arrow batches (kind, key, who, size, pos, bits) sorted by key, kind and who to (kind, key, who, size, bits): (group, set), and of kind 1 (bucket, group).
 
-    No more than ``CROWD`` rows of a key are held between batches; a larger run goes on as it is.
+    A bucket holds the groups that some other may join at a shingle and is named by
+    them, so that near copies, which meet at many shingles, give one bucket. No
+    more than ``CROWD`` rows of a key are held between batches; a larger run is a
+    bucket as it is.
     """
+    seen: set = set()
+
+    def batch_of(key, who):
+        n = len(key)
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.array(key), pa.array(who), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["kind", "key", "who", "size", "bits"])
 
     def finished(cols, hot: bool):
-        kind, key, who, size, pos = cols
-        new = np.r_[True, (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (who[1:] != who[:-1])]
-        kind, key, who, size, pos = (c[new] for c in cols)
-        stay = kind == 0
+        key, who, size, pos = cols
+        new = np.r_[True, (key[1:] != key[:-1]) | (who[1:] != who[:-1])]
+        key, who, size, pos = (c[new] for c in cols)
         if hot:
-            stay[:] = True
-        elif (~stay).any():
-            at = np.flatnonzero(~stay)
-            start = np.flatnonzero(np.r_[True, key[at][1:] != key[at][:-1]])
-            stay[at] = _joinable(start, np.diff(np.r_[start, len(at)]), size[at], pos[at])
-        cols = [pa.array(c[stay].astype(t)) for c, t in zip((kind, key, who, size, pos), (np.int32, np.int64, np.int64, np.int32, np.int32), strict=True)]
-        return pa.RecordBatch.from_arrays(cols, ["kind", "key", "who", "size", "pos"])
+            return batch_of(key, who)
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        at = np.flatnonzero(_joinable(start, np.diff(np.r_[start, len(key)]), size, pos))
+        start = np.flatnonzero(np.r_[True, key[at][1:] != key[at][:-1]]) if len(at) else at
+        n = np.diff(np.r_[start, len(at)])
+        names = np.add.reduceat(_mixed(who[at]), start).view(np.int64) if len(at) else at
+        fresh = np.array([x not in seen for x in names.tolist()], bool)
+        if len(seen) > SENT:
+            seen.clear()
+        seen.update(names.tolist())
+        return batch_of(np.repeat(names, n)[np.repeat(fresh, n)], who[at][np.repeat(fresh, n)])
 
     held, hot = None, None
     for b in batches:
+        kind = b.column(0).to_numpy(zero_copy_only=False)
+        if (kind == 0).any():
+            own = b.filter(pa.array(kind == 0))
+            yield pa.RecordBatch.from_arrays([own.column(i) for i in (0, 1, 2, 3, 5)], ["kind", "key", "who", "size", "bits"])
+            b = b.filter(pa.array(kind == 1))
         if not b.num_rows:
             continue
-        cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns]
+        cols = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2, 3, 4)]
         if held is not None:
             cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-        key = cols[1]
+        key = cols[0]
         if hot is not None:
             end = int(np.searchsorted(key, hot, "right"))
             if end:
                 yield finished([c[:end] for c in cols], True)
             hot = hot if end == len(key) else None
             cols = [c[end:] for c in cols]
-            key = cols[1]
+            key = cols[0]
         cut = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
         if cut:
             yield finished([c[:cut] for c in cols], False)
         held = [c[cut:] for c in cols]
         if len(held[0]) > CROWD:
-            hot = held[1][0]
+            hot = held[0][0]
             yield finished(held, True)
             held = [c[:0] for c in held]
     if held is not None and len(held[0]):
@@ -224,7 +255,7 @@ def met(batches):
 
 
 def sets_of(batches):
-    """Arrow batches (text) to (sid, size, hashes, bits)."""
+    """Arrow batches (text) to (sid, hashes), each set once for a while."""
     seen: set = set()
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
@@ -234,11 +265,10 @@ def sets_of(batches):
                 sid = set_id(found)
                 if sid not in seen:
                     seen.add(sid)
-                    rows.append((sid, len(found), found.tobytes(), sketch(found)))
+                    rows.append((sid, found.tobytes()))
             if len(seen) > SENT:
                 seen.clear()
-            types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["sid", "size", "hashes", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary()))], ["sid", "hashes"])
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tile: int = TILE) -> DataFrame:
@@ -262,27 +292,28 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         classes = frequency_classes(judged.where("block IS NOT NULL").select("block", "salt", "counts"), facts.n or 0)
         sent = spark.sparkContext.broadcast(classes)  # a byte for each cell
         with scratch(spark) as keep_in:
-            pairs = texts.select("text").mapInArrow(lambda it: prefixes(it, sent.value), "kind int, key long, who long, size int, pos int")
+            pairs = texts.select("text").mapInArrow(lambda it: prefixes(it, sent.value), "kind int, key long, who long, size int, pos int, bits binary")
             pairs = pairs.repartition("key").sortWithinPartitions("key", "kind", "who")
-            found = saved(pairs.mapInArrow(met, "kind int, key long, who long, size int, pos int"), "prefix-groups")
+            found = saved(pairs.mapInArrow(met, "kind int, key long, who long, size int, bits binary"), "prefix-groups")
             del pairs
             tidy(spark)
-            members = found.where("kind = 0").select(F.col("key").alias("group"), F.col("who").alias("sid"))
-            at_shingles = found.where("kind = 1").select(F.col("key").alias("bucket"), F.col("who").alias("group"), "pos")
-            many = members.groupBy("group").agg(F.count("*").alias("n"), F.min("sid").alias("head"))
-            own = many.where("n > 1").select("group").hint("merge").join(members, "group").select(F.col("group").alias("bucket"), "sid", F.lit(0).alias("pos"))
-            heads = at_shingles.hint("merge").join(many.select("group", F.col("head").alias("sid")), "group").select("bucket", "sid", "pos")
-            first = keep_in(saved(heads.unionByName(own), "buckets-of-heads"))
-            whole = at_shingles.hint("merge").join(members, "group").select("bucket", "sid", "pos")
+            members = found.where("kind = 0").groupBy(F.col("key").alias("group"), F.col("who").alias("sid")).agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
+            members = saved(members, "members")
+            at_shingles = saved(found.where("kind = 1").select(F.col("key").alias("bucket"), F.col("who").alias("group")).distinct(), "buckets-of-groups")
+            many = saved(members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"), "groups")
+            own = many.hint("merge").join(members, "group").select(F.col("group").alias("bucket"), "sid")
+            whole = at_shingles.hint("merge").join(members.select("group", "sid"), "group").select("bucket", "sid")
             buckets = keep_in(saved(whole.unionByName(own), "buckets"))
-        with scratch(spark) as keep_in:
-            wanted = saved(buckets.select("sid").distinct(), "sets-that-met")
-            places = rows.select("sid", "place").hint("merge").join(wanted, "sid").groupBy("sid").agg(F.min("place").alias("place")).select("place").distinct()
-            some = texts.select("place", "text").hint("merge").join(places, "place", "left_semi").select("text")
-            all_sets = some.mapInArrow(sets_of, "sid long, size int, hashes binary, bits binary")
-            sets = keep_in(saved(all_sets.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("size", "hashes", "bits"))), "sets"))
+            here = buckets.select("sid").distinct()
+            facts = keep_in(saved(members.select("sid", "size", "bits").join(here.hint("merge"), "sid", "left_semi"), "sets-that-met"))
         tidy(spark)
-        roots = connected(first, buckets, sets.select("sid", "size", "bits"), sets.select("sid", "hashes"), tile)
+
+        def sets(wanted: DataFrame) -> DataFrame:
+            places = rows.select("sid", "place").hint("merge").join(wanted, "sid").groupBy("sid").agg(F.min("place").alias("place"))
+            some = texts_at(texts.select("place", "text"), places, "place").select("text").mapInArrow(sets_of, "sid long, hashes binary")
+            return some.groupBy("sid").agg(F.first("hashes").alias("hashes"))
+
+        roots = connected(buckets, facts, sets, tile)
         named = rows.join(roots.hint("merge"), "sid", "left").select("doc_id", "size", F.coalesce("root", "sid").alias("class"))
         named = saved(named, "classes")
         # written first, so that the join deals both sides anew and Spark can split a class of very many rows

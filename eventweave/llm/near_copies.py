@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from eventweave.llm.common import saved, scratch, ship, tidy
 from eventweave.llm.components import components, forest, stars_of
-from eventweave.llm.similar import TILE, connected, set_id, shingles, sketch
+from eventweave.llm.similar import TILE, connected, set_id, shingles, sketch, texts_at
 from eventweave.llm.simhash import FLIPS, _syndromes
 
 #: Bits of a segment, the length of the Hamming code, and segments of a fingerprint.
@@ -77,19 +77,20 @@ def short_keys(hashes: np.ndarray) -> list[int]:
 
 
 def set_rows(batches):
-    """Arrow batches (rid, doc_id, text) to (rid, doc_id, sid, size, print, short); sid stands for the set of shingles."""
+    """Arrow batches (rid, doc_id, text) to (rid, doc_id, sid, size, print, short, bits); sid stands for the set of shingles."""
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
             batch = whole.slice(at, 1024)
-            sids, sizes, prints, short = [], [], [], []
+            sids, sizes, prints, short, bits = [], [], [], [], []
             for x in batch.column(2).cast(pa.binary()):
                 found = shingles(x.as_py() or b"")
                 sids.append(set_id(found))
                 sizes.append(len(found))
                 prints.append(fingerprint(found).tobytes() if len(found) >= LEAST else b"")
                 short.append(short_keys(found))
-            cols = [pa.array(sids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary()), pa.array(short, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["rid", "doc_id", "sid", "size", "print", "short"])
+                bits.append(sketch(found))
+            cols = [pa.array(sids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary()), pa.array(short, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["rid", "doc_id", "sid", "size", "print", "short", "bits"])
 
 
 def anchors(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,14 +204,13 @@ def met_at_anchors(batches):
         yield from finished(*held)
 
 
-def described(batches):
-    """Arrow batches (sid, text) to (sid, size, hashes, bits)."""
+def hash_rows(batches):
+    """Arrow batches (sid, text) to (sid, hashes)."""
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
-            found = [shingles(x.as_py() or b"") for x in batch.column(1).cast(pa.binary())]
-            cols = [pa.array([len(x) for x in found], pa.int32()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([sketch(x) for x in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["sid", "size", "hashes", "bits"])
+            found = [shingles(x.as_py() or b"").tobytes() for x in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["sid", "hashes"])
 
 
 def _met(groups: DataFrame, segments: range) -> DataFrame:
@@ -239,19 +239,21 @@ def classes(rows: DataFrame, tile: int = TILE) -> DataFrame:
     keyed = rows.select("rid", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     with scratch(spark) as keep:
         with scratch(spark) as keep_in:
-            sets = saved(keyed.mapInArrow(set_rows, f"rid long, doc_id {id_type}, sid long, size int, print binary, short array<long>"), "shingle-sets")
-            groups = keep_in(saved(sets.groupBy("sid").agg(F.min("rid").alias("rid"), *(F.first(c).alias(c) for c in ("size", "print", "short"))), "distinct-sets"))
+            sets = saved(keyed.mapInArrow(set_rows, f"rid long, doc_id {id_type}, sid long, size int, print binary, short array<long>, bits binary"), "shingle-sets")
+            groups = keep_in(saved(sets.groupBy("sid").agg(F.min("rid").alias("rid"), *(F.first(c).alias(c) for c in ("size", "print", "short", "bits"))), "distinct-sets"))
             members = keep_in(saved(sets.select("rid", "doc_id", "sid"), "members"))
         with scratch(spark) as keep_in:
             edges = _met(groups.where(F.col("size") >= LEAST).select("sid", "print", "short"), range(SEGMENTS))
             meeting = keep_in(saved(components(forest(edges)), "meeting-groups"))
-        with scratch(spark) as keep_in:
-            wanted = saved(groups.select("sid", "rid").join(meeting.select(F.col("node").alias("sid")).hint("merge"), "sid"), "sets-that-met")
-            texts = rows.select("rid", "text").join(wanted.hint("merge"), "rid").select("sid", "text")
-            known = keep_in(saved(texts.mapInArrow(described, "sid long, size int, hashes binary, bits binary"), "sets"))
-        tidy(spark)
-        buckets = meeting.select(F.col("root").alias("bucket"), F.col("node").alias("sid"), F.lit(0).alias("pos"))
-        roots = connected(buckets, buckets, known.select("sid", "size", "bits"), known.select("sid", "hashes"), tile)
+        met = meeting.select(F.col("root").alias("bucket"), F.col("node").alias("sid"))
+        facts = saved(groups.select("sid", "size", "bits").join(met.select("sid").hint("merge"), "sid", "left_semi"), "sets-that-met")
+
+        def known(wanted: DataFrame) -> DataFrame:
+            at = saved(groups.select("sid", "rid").join(wanted.hint("merge"), "sid"), "rows-of-sets")
+            texts = texts_at(rows.select("rid", "text"), at, "rid").hint("merge").join(at, "rid").select("sid", "text")
+            return texts.mapInArrow(hash_rows, "sid long, hashes binary")
+
+        roots = connected(met, facts, known, tile)
         found = members.join(roots.hint("merge"), "sid", "left").select("rid", "doc_id", F.coalesce("root", "sid").alias("class"))
         return keep(saved(found, "classes"))
 

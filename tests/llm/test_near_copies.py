@@ -132,10 +132,7 @@ def test_hubs_and_lists_of_a_bucket_leave_no_link_out():
     for n in (5, 12, 40):
         for _ in range(30):
             sets = [np.unique(np.r_[np.arange(40), rng.integers(40, 60, rng.integers(0, 9))]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(n)]
-            x = similar.Members(
-                np.arange(n), rng.integers(0, 9, n), np.array([len(s) for s in sets]), np.zeros(n, np.int64),
-                np.stack([np.frombuffer(similar.sketch(s), np.uint64) for s in sets]),
-            )
+            x = similar.Members.of(np.arange(n), rng.integers(0, 9, n), np.array([len(s) for s in sets]), [similar.sketch(s) for s in sets])
             alike = lambda i, j: 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))
             side = rng.integers(0, 2, n)
             for y in (None, 1):
@@ -150,6 +147,24 @@ def test_hubs_and_lists_of_a_bucket_leave_no_link_out():
                 assert len(some) <= (28 if two is None and n <= 8 else 2 * n)
 
 
+def test_sketches_of_sets_of_all_sizes_bound_their_difference():
+    rng = np.random.default_rng(13)
+    sets = []
+    for n in (3, 900, 1024, 1025, 5000, 6144, 6145, 20000):
+        base = rng.integers(0, 1 << 63, n, np.uint64)
+        sets += [np.unique(base), np.unique(np.r_[base[: n - n // 12], rng.integers(0, 1 << 63, n // 12, np.uint64)]), np.unique(np.r_[base[: n // 2], rng.integers(0, 1 << 63, n // 2, np.uint64)])]
+    x = similar.Members.of(np.arange(len(sets)), np.arange(len(sets)), np.array([len(s) for s in sets]), [similar.sketch(s) for s in sets])
+    found = similar.candidates(x, x)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            common = len(np.intersect1d(a, b))
+            if i != j and 5 * common >= 4 * (len(a) + len(b) - common):
+                assert found[i, j]
+    assert found.sum() <= 2 * len(sets)  # halves of other shingles are told apart at every size
+    part = x.take(np.arange(len(sets))[::-2])
+    assert (similar.candidates(part, x) == found[::-2]).all()
+
+
 @pytest.mark.parametrize("copies", [100, 200, 400])
 def test_rows_for_a_group_of_near_copies_grow_with_its_size(copies):
     """One group (200 words, 1 to 8 edits): the edges of its anchors, and the pairs that are compared, are at most a constant times its members."""
@@ -162,7 +177,7 @@ def test_rows_for_a_group_of_near_copies_grow_with_its_size(copies):
     at = pa.Table.from_batches(list(near_copies.replicate([rows], range(8)))).sort_by("anchor")
     edges = sum(b.num_rows for b in components.stars_of(near_copies.met_at_anchors(at.to_batches())))
     assert 0 < edges < copies
-    x = similar.Members(np.arange(copies), np.arange(copies), np.array([len(s) for s in sets]), np.zeros(copies, np.int64), np.stack([np.frombuffer(similar.sketch(s), np.uint64) for s in sets]))
+    x = similar.Members.of(np.arange(copies), np.arange(copies), np.array([len(s) for s in sets]), [similar.sketch(s) for s in sets])
     plain = [frozenset(s.tolist()) for s in sets]
     alike = lambda i, j: 5 * len(plain[i] & plain[j]) >= 4 * len(plain[i] | plain[j])
     compared = 0
