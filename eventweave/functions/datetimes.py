@@ -159,6 +159,90 @@ def fill_timespan(microformats: Column, rows: Column) -> Column:
     return _let(F.aggregate(F.coalesce(rows, empty), begin, step), closed)
 
 
+def combine_row(text: Column, ending: bool = False) -> Column:
+    """struct(start, until, ongoing) of an infobox's date row, or null without a date: :func:`combine` of what it says; in an ``ending`` row a single day is the end."""
+
+    def turned(x: Column) -> Column:
+        single = x["until"].isNull() & ~x["ongoing"]
+        start, until = F.when(~single, x["start"]), F.when(single, x["start"]).otherwise(x["until"])
+        return F.when(x.isNotNull(), F.struct(start.alias("start"), until.alias("until"), x["ongoing"].alias("ongoing")))
+
+    found = combine(parse_dates(text), parse_times(text))
+    return _let(found, turned) if ending else found
+
+
+def _has_time(t: Column) -> Column:
+    """A day's time is known if neither its hour nor its minute is 0."""
+    return F.coalesce((F.hour(t) != 0) & (F.minute(t) != 0), F.lit(False))
+
+
+def _set(t: Column, minute: Column) -> Column:
+    return F.timestamp_add("MINUTE", minute, F.to_date(t).cast("timestamp_ntz"))
+
+
+SPAN = "struct<start:timestamp_ntz,until:timestamp_ntz,ongoing:boolean,start_minute:int,end_minute:int,offset_minutes:int>"
+
+
+def timespan(microformats: Column, date_rows: Column, time_rows: Column) -> Column:
+    """struct(start, until, ongoing, start_minute, end_minute, offset_minutes): an article's time span from all its rows.
+
+    ``microformats``: struct(dtstart, dtend); ``date_rows``: array of
+    struct(start, until, ongoing) in row order; ``time_rows``: array of what
+    :func:`parse_times` gives. Microformats go first. A row fills what is still
+    open, and gives its time to a day that has none. Time rows then complete a start
+    without an end; without any date they stand alone. A start alone is its own end
+    unless ongoing. The first offset of a time row holds for the whole span.
+    """
+    minute = lambda t: F.when(_has_time(t), F.hour(t) * 60 + F.minute(t))
+    none = F.lit(None)
+
+    def made(start, until, ongoing, start_minute, end_minute, offset) -> Column:
+        parts = {"start": start, "until": until, "ongoing": ongoing, "start_minute": start_minute, "end_minute": end_minute, "offset_minutes": offset}
+        return F.struct(*[v.alias(k) for k, v in parts.items()]).cast(SPAN)
+
+    begin = _let(microformats, lambda m: made(m["dtstart"], m["dtend"], F.lit(False), none, none, none))
+
+    def better(old: Column, new: Column) -> Column:
+        """The old day if there is one, with the new one's time if only that has any."""
+        return F.when(old.isNull(), new).when(~_has_time(old) & _has_time(new), _set(old, minute(new))).otherwise(old)
+
+    def by_date(a: Column, r: Column) -> Column:
+        open_now = F.coalesce(r["ongoing"], F.lit(False)) & a["until"].isNull()
+        until = F.when(~open_now & ~a["ongoing"] & r["until"].isNotNull(), better(a["until"], r["until"])).otherwise(a["until"])
+        return made(better(a["start"], r["start"]), until, a["ongoing"] | open_now, none, none, none)
+
+    def by_time(a: Column, r: Column) -> Column:
+        half, free = a["start"].isNotNull() & a["until"].isNull(), a["start"].isNull() & a["until"].isNull()
+        start = F.when(half & r["start_minute"].isNotNull() & ~_has_time(a["start"]), _set(a["start"], r["start_minute"])).otherwise(a["start"])
+        until = F.when(half & r["end_minute"].isNotNull(), _set(a["start"], r["end_minute"])).otherwise(a["until"])
+        first = lambda c: F.when(free, F.coalesce(a[c], r[c])).otherwise(a[c])
+        return made(start, until, a["ongoing"], first("start_minute"), first("end_minute"), F.coalesce(a["offset_minutes"], r["offset_minutes"]))
+
+    def closed(x: Column) -> Column:
+        until = F.when(x["until"].isNull() & ~x["ongoing"], x["start"]).otherwise(x["until"])
+        return made(x["start"], until, x["ongoing"], x["start_minute"], x["end_minute"], x["offset_minutes"])
+
+    rows = F.coalesce(date_rows, F.array().cast("array<struct<start:timestamp_ntz,until:timestamp_ntz,ongoing:boolean>>"))
+    times = F.coalesce(time_rows, F.array().cast("array<struct<start_minute:int,end_minute:int,offset_minutes:int>>"))
+    return _let(F.aggregate(times, F.aggregate(rows, begin, by_date), by_time), closed)
+
+
+def zone(offset_minutes: Column) -> Column:
+    """An offset as in +02:00; null without one."""
+    size = F.abs(offset_minutes)
+    return F.when(offset_minutes.isNotNull(), F.format_string("%s%02d:%02d", F.when(offset_minutes < 0, "-").otherwise("+"), F.floor(size / 60).cast("int"), (size % 60).cast("int")))
+
+
+def clock(minute: Column, offset_minutes: Column) -> Column:
+    """Minutes of a day as in 13:05:00, with the offset behind if there is one."""
+    return F.when(minute.isNotNull(), F.concat(F.format_string("%02d:%02d:00", F.floor(minute / 60).cast("int"), (minute % 60).cast("int")), F.coalesce(zone(offset_minutes), F.lit(""))))
+
+
+def stamp(t: Column, offset_minutes: Column) -> Column:
+    """ISO text of a date and time, with the offset behind if there is one."""
+    return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.coalesce(zone(offset_minutes), F.lit("")))
+
+
 def month_range(spark, first: str, last: str):
     """One row (month date, name) for each month from first to last (yyyy-MM), both included."""
     months = spark.range(1).select(F.explode(F.sequence(F.lit(f"{first}-01").cast("date"), F.lit(f"{last}-01").cast("date"), F.expr("interval 1 month"))).alias("month"))

@@ -39,11 +39,12 @@ def known_articles(spark, sf_dir) -> DataFrame:
 
     def make():
         a = articles.articles(rendered.article_pages(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")))
-        times = datetimes.parse_times(F.get("time_texts", F.lit(0)))
-        rows = F.filter(F.transform("begin_texts", lambda t: datetimes.combine(datetimes.parse_dates(t), times)), lambda x: x.isNotNull())
+        some = lambda rows, f: F.filter(F.transform(rows, f), lambda x: x.isNotNull())
+        rows = F.concat(some("begin_texts", lambda t: datetimes.combine_row(t)), some("end_texts", lambda t: datetimes.combine_row(t, ending=True)))
+        times = some("time_texts", datetimes.parse_times)
         micro = F.struct(datetimes.microformat_date(F.col("dtstart")).alias("dtstart"), datetimes.microformat_date(F.col("dtend")).alias("dtend"))
         flag = articles.location_flag(F.col("classes"), F.col("templates"), F.array(F.lit("Infobox_settlement")))
-        more = {"is_place": flag, "lat": geo.dms_to_decimal(F.col("latitude_text")), "lon": geo.dms_to_decimal(F.col("longitude_text")), "span": datetimes.fill_timespan(micro, rows)}
+        more = {"is_place": flag, "lat": geo.dms_to_decimal(F.col("latitude_text")), "lon": geo.dms_to_decimal(F.col("longitude_text")), "span": datetimes.timespan(micro, rows, times)}
         return a.withColumns(more).withColumn("evidence", F.concat_ws("\n", "begin_texts", "end_texts", "time_texts"))
 
     return _once(spark, sf_dir, "articles", make)
@@ -75,7 +76,7 @@ def built(spark, sf_dir) -> DataFrame:
         mine = cut(named.join(a, "url"))
         inner = mine.where("is_topic OR is_place").select("month", "canonical", F.explode("location_links").alias("l"))
         up = inner.select("month", "canonical", terms.without_fragment(F.col("l.href")).alias("url")).join(a.where("is_place").select("url", F.col("canonical").alias("parent_canonical")), "url")
-        spans = mine.where("is_topic").select("month", "canonical", "span.start", "span.until", "span.ongoing", "evidence")
+        spans = mine.where("is_topic").select("month", "canonical", "span.*", "evidence")
         owners = mine.select("month", F.col("entity").alias("owner")).distinct()
         classes = claims(spark, sf_dir).join(owners.withColumnRenamed("owner", "s"), "s")
         parts = [
@@ -149,6 +150,16 @@ def articles_parsed(spark, sf_dir):
     return a.select("canonical", "name", enrich.entity_id(F.col("entity")).alias("entity"), "is_place", F.col("lat"), F.col("lon"), "location_label", "location_text", link, stamp("start"), stamp("until"))
 
 
+@query("""WITH s AS (SELECT s_suppkey AS k, TIMESTAMP '2020-05-01' + to_days(CAST(s_suppkey % 20 AS INT)) AS d FROM supplier)
+SELECT 'https://en.wikipedia.org/wiki/Supplier_' || k AS canonical, CASE WHEN k % 5 = 0 THEN '+02:00' END AS zone,
+strftime(CASE WHEN k % 6 = 0 THEN TIMESTAMP '2019-01-01' + to_days(CAST(k % 20 AS INT)) WHEN k % 2 = 0 THEN TIMESTAMP '2021-03-01' + to_days(CAST(k % 20 AS INT)) WHEN k % 5 = 0 THEN d + to_minutes(CAST((k % 12 + 10) * 60 + 15 AS INT)) ELSE d END, '%Y-%m-%dT%H:%M:%S') || CASE WHEN k % 5 = 0 THEN '+02:00' ELSE '' END AS start FROM s""")
+def timespan_zones(spark, sf_dir):
+    """Topics' time spans with the zone that their time rows name, also where a span of days has no use for the clock."""
+    a = known_articles(spark, sf_dir).where("canonical LIKE '%/Supplier_%'")
+    offset = F.col("span.offset_minutes")
+    return a.select("canonical", datetimes.zone(offset).alias("zone"), datetimes.stamp(F.col("span.start"), offset).alias("start"))
+
+
 EVENT_FACTS = ORDERS + """, f AS (SELECT month, 'event/' || id AS s, 'hasTag' AS p, category AS o FROM w
 UNION ALL SELECT month, 'event/' || id, 'hasMentionDate', strftime(day, '%Y-%m-%d') || 'T00:00:00' FROM w
 UNION ALL SELECT month, 'event/' || id, 'isIdentifiedBy', 'context/' || id FROM w

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.functions import terms
+from eventweave.functions import datetimes, terms
 from eventweave.sources import rdf
 
 TERM = ["s", "p", "o", "o_kind", "o_datatype", "o_lang"]
@@ -155,17 +155,20 @@ def nested_place_triples(pairs: DataFrame) -> DataFrame:
 
 
 def timespan_triples(spans: DataFrame) -> DataFrame:
-    """Topics' time spans, from rows (month, canonical, start, until, ongoing, evidence); spans without any part give nothing. Equal spans share their key."""
-    day, clock = lambda c: F.date_format(c, "yyyy-MM-dd"), lambda c: F.when(F.date_format(c, "HH:mm") != "00:00", F.date_format(c, "HH:mm"))
-    known = spans.where("start IS NOT NULL OR until IS NOT NULL OR ongoing")
-    none = F.lit(None).cast("string")
-    key = terms.timespan_uri(day("start"), day("until"), F.col("ongoing"), clock("start"), clock("until"), none)
+    """Topics' time spans, from rows (month, canonical, start, until, ongoing, evidence) and, if there, start_minute, end_minute, offset_minutes.
+
+    Spans without any part give nothing. Equal spans share their key, which has all parts, the time zone too.
+    """
+    more = {c: F.lit(None).cast("int") for c in ("start_minute", "end_minute", "offset_minutes") if c not in spans.columns}
+    known = spans.withColumns(more).where("start IS NOT NULL OR until IS NOT NULL OR ongoing OR start_minute IS NOT NULL OR end_minute IS NOT NULL")
+    offset = F.col("offset_minutes")
+    stamp, clock = lambda c: datetimes.stamp(F.col(c), offset), lambda c: datetimes.clock(F.col(c), offset)
+    key = terms.timespan_uri(stamp("start"), stamp("until"), F.col("ongoing"), clock("start_minute"), clock("end_minute"), datetimes.zone(offset))
     keyed = known.withColumn("key", key).withColumn("topic", F.concat(F.lit("topic/article/"), terms.last_segment(F.col("canonical"))))
-    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
     own = facts(
         keyed, "base", F.col("key"), uri("type", F.lit("Timespan")), literal("label", F.col("evidence")), literal("hasStartDate", stamp("start"), "xsd:dateTime"),
         literal("hasEndDate", stamp("until"), "xsd:dateTime"), literal("hasOngoingSpan", F.when(F.col("until").isNull() & F.col("ongoing"), F.lit("true")), "xsd:boolean"),
-        literal("hasStartTimestamp", clock("start"), "xsd:time"), literal("hasEndTimestamp", clock("until"), "xsd:time"),
+        literal("hasStartTimestamp", clock("start_minute"), "xsd:time"), literal("hasEndTimestamp", clock("end_minute"), "xsd:time"),
     )
     return own.unionByName(facts(keyed, "base", F.col("topic"), uri("hasTimespan", F.col("key"))))
 

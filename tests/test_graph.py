@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import pytest
@@ -168,3 +169,27 @@ def test_replacing_is_idempotent(spark):
     assert {tuple(r) for r in maintain.replace(once, fresh, ["T"]).collect()} == rows
     left = maintain.delete_matching(store, store.select("s"), ["type", "label"])
     assert {tuple(r) for r in left.collect()} == {("b", "type", "T"), ("c", "label", "x")}
+
+
+def test_time_spans_fill_their_slots_in_order(spark):
+    dates = "struct<start:timestamp_ntz,until:timestamp_ntz,ongoing:boolean>"
+    times = "struct<start_minute:int,end_minute:int,offset_minutes:int>"
+    day = lambda d, h=0, m=0: datetime.datetime(2020, 5, d, h, m)
+    cases = [
+        # microformats keep the day, a row brings the time
+        ((day(1), None), [(day(2, 13, 15), None, False)], [], (day(1, 13, 15), day(1, 13, 15), False, None, None, None)),
+        # 13:00 counts as no time, so the next row's is taken
+        ((None, None), [(day(1, 13, 0), day(3), False), (day(9, 10, 5), day(9, 11, 6), False)], [], (day(1, 10, 5), day(3, 11, 6), False, None, None, None)),
+        # ongoing keeps later ends out, but not an end that a time row gives
+        ((None, None), [(day(1), None, True), (None, day(9), False)], [], (day(1), None, True, None, None, None)),
+        ((None, None), [(day(1), None, True)], [(600, 660, 120)], (day(1, 10, 0), day(1, 11, 0), True, None, None, 120)),
+        ((None, None), [(day(1), day(2), False)], [(600, None, -210)], (day(1), day(2), False, None, None, -210)),
+        ((None, None), [], [(600, None, None), (700, 800, 60)], (None, None, False, 600, 800, 60)),
+        ((None, day(4)), [], [(600, None, None)], (None, day(4), False, None, None, None)),
+        ((None, None), [], [], (None, None, False, None, None, None)),
+    ]
+    df = spark.createDataFrame([(i, m, r, t) for i, (m, r, t, _) in enumerate(cases)], f"i int, m struct<dtstart:timestamp_ntz,dtend:timestamp_ntz>, r array<{dates}>, t array<{times}>")
+    got = {r.i: tuple(r.x) for r in df.select("i", datetimes.timespan(F.col("m"), F.col("r"), F.col("t")).alias("x")).collect()}
+    assert got == {i: want for i, (*_, want) in enumerate(cases)}
+    shown = spark.createDataFrame([(-210,), (None,), (780,)], "o int").select(datetimes.zone(F.col("o")), datetimes.clock(F.lit(605), F.col("o"))).collect()
+    assert [tuple(r) for r in shown] == [("-03:30", "10:05:00-03:30"), (None, "10:05:00"), ("+13:00", "10:05:00+13:00")]
