@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventweave.functions import geo
 from eventweave.operators import closure, eventmap, maintain, metrics
-from eventweave.plans.sparql import sparql
+from eventweave.plans.sparql import deleted, sparql
 from eventweave.sources import modules, pages, triples
 
 SCHEMA = "module string, month string, s string, p string, o string, o_kind string, o_datatype string, o_lang string"
@@ -129,3 +129,43 @@ def test_groups_that_begin_with_optional_or_bind(spark):
     assert rows(sparql(t, "SELECT ?x ?n WHERE { OPTIONAL { ?n nothing ?m } ?x q ?y }")) == [("c", None)]
     assert rows(sparql(t, 'SELECT ?x WHERE { "a" p+ ?x }')) == [("b",), ("c",)]
     assert rows(sparql(t, 'SELECT ?x WHERE { ?x p* "c" }')) == [("a",), ("b",), ("c",)]
+
+
+def test_deletes_and_merges_write_only_the_months_they_touch(spark, tmp_path):
+    fact = lambda m, s, p, o, kind="literal": ("base", m, s, p, o, kind, "xsd:string" if kind == "literal" else None, None)
+    facts = [fact(m, f"{m}{i}", p, o, k) for m in "abc" for i in range(3) for p, o, k in (("type", "OsmElement", "uri"), ("label", f"l{i}", "literal"), ("note", "kept", "literal"))]
+    store = modules.Store(spark, f"file://{tmp_path}/store")
+    store.load(spark.createDataFrame(facts, SCHEMA))
+    times = lambda: {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    before = times()
+    text = "DELETE { ?u a OsmElement ; label ?l } WHERE { ?u a OsmElement ; label ?l }"
+    given = spark.createDataFrame([("b0",), ("b1",), ("z",)], "u string")
+    assert store.delete(deleted(store.scan(), text, given, "month")) == ["b"]
+    after = times()
+    assert {m for m in after if after[m] != before[m]} == {"month=b"}
+    gone = {(s, p) for s in ("b0", "b1") for p in ("type", "label")}
+    assert {(r.month, r.s, r.p, r.o) for r in store.scan().collect()} == {(f[1], *f[2:5]) for f in facts if (f[2], f[3]) not in gone}
+    assert store.delete(deleted(store.scan(), text, given, "month")) == [] and times() == after  # a rerun changes nothing
+    # a month without triples leaves the list
+    store.delete(store.scan("a"))
+    assert store.graphs() == ["b", "c"]
+    # a new extraction of c0 in month d: its stale facts leave c, the rest stays
+    fresh = spark.createDataFrame([fact("d", "c0", "type", "OsmElement", "uri"), fact("d", "c0", "label", "new")], SCHEMA)
+    held = times()
+    assert store.put(fresh, delete_old=True) == ["c", "d"]
+    assert times()["month=b"] == held["month=b"]
+    assert {(r.month, r.p, r.o) for r in store.scan().where("s = 'c0'").collect()} == {("c", "note", "kept"), ("d", "type", "OsmElement"), ("d", "label", "new")}
+    seen = times()
+    assert store.put(fresh, delete_old=True) == [] and times() == seen
+    assert store.put(spark.createDataFrame([fact("b", "b9", "note", "x")], SCHEMA)) == ["b"]
+    assert not list(tmp_path.glob("store_staged*"))
+
+
+def test_from_prunes_months(spark, tmp_path):
+    store = modules.Store(spark, f"file://{tmp_path}/store")
+    store.load(spark.createDataFrame([("base", m, f"{m}1", "p", "x", "uri", None, None) for m in "abcd"], SCHEMA))
+    found = sparql(store.scan(), "SELECT ?s FROM <b> FROM <d> WHERE { ?s p ?o }")
+    assert sorted(r.s for r in found.collect()) == ["b1", "d1"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan or "PartitionFilters: [month" in plan
+    assert {p.rsplit("/", 2)[1] for p in store.scan("b", "d").inputFiles()} >= {"month=b", "month=d"}
