@@ -99,44 +99,70 @@ def levels(edges: DataFrame) -> DataFrame:
     return left.withColumn("level", F.lit(0)) if out is None else out
 
 
-def _reaches(adjacent: dict, a, b) -> bool:
-    stack, seen = [a], set()
+def _walk(near: dict, a, b):
+    """One step of a search at a time: None while it goes on, then whether it met ``b``."""
+    seen, stack = {a}, [iter(near.get(a, ()))]
     while stack:
-        x = stack.pop()
-        if x == b:
-            return True
-        if x not in seen:
+        x = next(stack[-1], None)
+        if x is None:
+            stack.pop()
+        elif x == b:
+            yield True
+            return
+        elif x not in seen:
             seen.add(x)
-            stack.extend(adjacent.get(x, ()))
-    return False
+            stack.append(iter(near.get(x, ())))
+        yield None
+    yield False
+
+
+def _reaches(below: dict, above: dict, a, b) -> bool:
+    """Does a path lead from ``a`` to ``b``? Searched from both ends in turn; the first to end decides, so a node with many children costs no more than its ancestors."""
+    if a == b:
+        return True
+    down, up = _walk(below, a, b), _walk(above, b, a)
+    while True:
+        for search in (up, down):
+            found = next(search)
+            if found is not None:
+                return found
 
 
 def _tree(pdf: pd.DataFrame, root: str) -> pd.DataFrame:
     """Insert edges by day unless their ends already reach each other, reduce, then prune from the newest."""
-    adjacent: dict = {root: set()}
-    days = {}
-    for r in pdf.sort_values(["day", "src", "dst"]).itertuples():
-        known = r.src in adjacent and r.dst in adjacent
-        if r.src == r.dst or known and (_reaches(adjacent, r.src, r.dst) or _reaches(adjacent, r.dst, r.src)):
+    below, above, days = {}, {}, {}  # nodes without children, or parents, have no entry
+
+    def link(a, b):
+        below.setdefault(a, {})[b] = None
+        above.setdefault(b, {})[a] = None
+
+    def cut_off(a, b):
+        for near, x, y in ((below, a, b), (above, b, a)):
+            del near[x][y]
+            if not near[x]:
+                del near[x]
+
+    ordered = pdf.sort_values(["day", "src", "dst"])
+    for a, b, day in zip(ordered["src"].tolist(), ordered["dst"].tolist(), ordered["day"].tolist(), strict=True):
+        if a == b or _reaches(below, above, a, b) or _reaches(below, above, b, a):
             continue
-        adjacent.setdefault(r.src, set()).add(r.dst)
-        adjacent.setdefault(r.dst, set())
-        days[r.src, r.dst] = r.day
+        link(a, b)
+        days[a, b] = day
     for a, b in list(days):
-        adjacent[a].discard(b)
-        if _reaches(adjacent, a, b):
+        cut_off(a, b)
+        if _reaches(below, above, a, b):
             del days[a, b]
         else:
-            adjacent[a].add(b)
+            link(a, b)
     parents = Counter(b for _, b in days)
     for (a, b), _ in sorted(days.items(), key=lambda x: (x[1], x[0]), reverse=True):
         if parents[b] > 1:
-            adjacent[a].discard(b)
-            if _reaches(adjacent, root, b):
+            cut_off(a, b)
+            if _reaches(below, above, root, b):
                 del days[a, b]
                 parents[b] -= 1
             else:
-                adjacent[a].add(b)
+                link(a, b)
     rows = [(a, b, d) for (a, b), d in days.items()]
     return pd.DataFrame(rows, columns=["src", "dst", "day"])
 
@@ -152,9 +178,10 @@ def label_graph(pairs: DataFrame, root: str) -> DataFrame:
 def topic_trees(edges: DataFrame, root: str) -> DataFrame:
     """(graph, src, dst, day): an acyclic, pruned tree for each ``graph``.
 
-    The order of insertion decides, so each graph is one task's work: every edge is
-    a search among the edges kept before it, so a graph of 10,000 edges is well
-    within a task and one of 1,000,000 is not.
+    The order of insertion decides, so each graph is one task's work. Every edge is
+    a search among the edges kept before it, from both ends at once: in trees and
+    the like it costs the shorter of a node's ancestors and its descendants. Where
+    both are many, each edge is a search through many.
     """
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

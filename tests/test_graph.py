@@ -1,6 +1,8 @@
 import datetime
 import random
+import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,52 @@ def test_tree_skips_loops_shortcuts_and_prunes_newest(spark):
     assert {(r.src, r.dst) for r in closure.topic_trees(df, "root").collect()} == {("root", "a"), ("a", "b"), ("root", "c"), ("c", "d")}
 
 
+def test_tree_of_wide_nodes_takes_time_in_proportion():
+    """30,000 topics below two parents, with edges back: a search down from a parent would pass all of them for each edge."""
+    topics = [(f"p{i % 2}", f"t{i}", 2) for i in range(30_000)]
+    rows = [("root", "p0", 1), ("root", "p1", 1), *topics, *((b, a, 3) for a, b, _ in topics)]
+    begin = time.monotonic()
+    got = closure._tree(pd.DataFrame(rows, columns=["src", "dst", "day"]), "root")
+    assert {tuple(r) for r in got.itertuples(index=False)} == {*rows[:2], *topics}
+    assert time.monotonic() - begin < 20
+
+
+def test_tree_agrees_with_plain_searches():
+    def reaches(edges, a, b):
+        seen, todo = set(), [a]
+        while todo:
+            x = todo.pop()
+            if x == b:
+                return True
+            if x not in seen:
+                seen.add(x)
+                todo += [d for s, d in edges if s == x]
+        return False
+
+    def plain(rows):
+        kept = {}
+        for a, b, day in sorted(rows, key=lambda r: (r[2], r[0], r[1])):
+            if a != b and not reaches(kept, a, b) and not reaches(kept, b, a):
+                kept[a, b] = day
+        for e in list(kept):
+            day = kept.pop(e)
+            if not reaches(kept, *e):
+                kept[e] = day
+        for e, day in sorted(kept.items(), key=lambda x: (x[1], x[0]), reverse=True):
+            if sum(b == e[1] for _, b in kept) > 1:
+                del kept[e]
+                if not reaches(kept, "0", e[1]):
+                    kept[e] = day
+        return {(*e, day) for e, day in kept.items()}
+
+    for seed in range(40):
+        r = random.Random(seed)
+        edges = {(str(r.randrange(9)), str(r.randrange(9))) for _ in range(25)}
+        rows = [(a, b, r.randrange(6)) for a, b in sorted(edges)]
+        got = closure._tree(pd.DataFrame(rows, columns=["src", "dst", "day"]), "0")
+        assert {tuple(x) for x in got.itertuples(index=False)} == plain(rows)
+
+
 @pytest.mark.parametrize(
     ("written", "date", "until", "ongoing"),
     [
