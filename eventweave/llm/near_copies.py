@@ -227,6 +227,22 @@ def _met(groups: DataFrame, segments: range) -> DataFrame:
     return out
 
 
+def _meeting(groups: DataFrame) -> DataFrame:
+    """(node, root): the components of what meets in any segment.
+
+    What meets in the first turn goes by one name in the others, so a group of near
+    copies, which meets again in every segment, gives its edges once and not in every
+    task of every turn. Renaming nodes to their roots leaves the components as they are.
+    """
+    spark = groups.sparkSession
+    with scratch(spark) as keep:
+        first = keep(saved(components(forest(_met(groups, range(TURN)))), "met-first"))
+    to_root = first.select(F.col("node").alias("sid"), "root").hint("merge")
+    named = saved(groups.join(to_root, "sid", "left").select(F.coalesce("root", "sid").alias("sid"), "print", "short"), "named")
+    more = _met(named, range(TURN, SEGMENTS))
+    return components(forest(first.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)))
+
+
 def classes(rows: DataFrame, tile: int = TILE) -> DataFrame:
     """(rid, doc_id, class) for every row of ``rows`` (rid, doc_id, text), which is read more than once and must not change.
 
@@ -243,8 +259,7 @@ def classes(rows: DataFrame, tile: int = TILE) -> DataFrame:
             groups = keep_in(saved(sets.groupBy("sid").agg(F.min("rid").alias("rid"), *(F.first(c).alias(c) for c in ("size", "print", "short", "bits"))), "distinct-sets"))
             members = keep_in(saved(sets.select("rid", "doc_id", "sid"), "members"))
         with scratch(spark) as keep_in:
-            edges = _met(groups.where(F.col("size") >= LEAST).select("sid", "print", "short"), range(SEGMENTS))
-            meeting = keep_in(saved(components(forest(edges)), "meeting-groups"))
+            meeting = keep_in(saved(_meeting(groups.where(F.col("size") >= LEAST).select("sid", "print", "short")), "meeting-groups"))
         met = meeting.select(F.col("root").alias("bucket"), F.col("node").alias("sid"))
         facts = saved(groups.select("sid", "size", "bits").join(met.select("sid").hint("merge"), "sid", "left_semi"), "sets-that-met")
 

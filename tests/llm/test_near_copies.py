@@ -203,3 +203,26 @@ def test_rows_are_told_apart_and_one_of_each_group_stays(spark):
         got = sorted(r["class"] for r in kept.collect())
         assert got[:3] == [2, got[1], 4] and got[1] in (3, 5) and got[3] == 6 and got[4] in (7, 8) and len(got) == 5
     assert simhash.keep_one(docs.limit(0), near_copies.classes).count() == 0
+
+
+def test_what_met_once_gives_no_edges_in_later_turns(spark, monkeypatch):
+    r = random.Random(11)
+    words = [f"w{r.randrange(5000)}" for _ in range(200)]
+    rows = []
+    for i in range(200):
+        own = list(words)
+        for _ in range(2):
+            own[r.randrange(len(own))] = f"x{r.randrange(9999)}"
+        rows.append((i, " ".join(own)))
+    made, real = [], near_copies.saved
+
+    def counted(df, what):
+        out = real(df, what)
+        if what == "met":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "saved", counted)
+    got = near_copies.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {x.component_id for x in got.collect()} == {0}
+    assert sum(made[1:]) < len(rows) // 4
