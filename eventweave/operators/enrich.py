@@ -130,9 +130,14 @@ def location_chain(articles: DataFrame, entity_links: DataFrame, sitelinks: Data
 
 
 def leaf_places(located: DataFrame, parents: DataFrame) -> DataFrame:
-    """(event, place) without the places that hold another place of the same event."""
-    holds = located.join(parents, "place").select("event", F.col("parent").alias("place"), F.col("place").alias("inner")).where("place <> inner")
-    return located.join(holds.select("event", "place").distinct(), ["event", "place"], "left_anti")
+    """(event, place) without the places that hold another place of the same event, as a set.
+
+    Places and what holds them go by one grouping: what is only held, or only holds, tells itself apart by its marks.
+    """
+    held = located.join(parents.where("place <> parent"), "place", "left")
+    own, holder = F.struct(F.col("place"), F.lit(False).alias("holds")), F.struct(F.col("parent").alias("place"), F.lit(True).alias("holds"))
+    marks = held.select("event", F.inline(F.array(own, holder))).where("place IS NOT NULL OR NOT holds")
+    return marks.groupBy("event", "place").agg(F.max("holds").alias("holds")).where("NOT holds").select("event", "place")
 
 
 def cited(citations: DataFrame, references: DataFrame) -> DataFrame:

@@ -193,12 +193,12 @@ def parent_relations_grouped(spark, sf_dir):
 
 
 def _event_places(spark, sf_dir):
-    """(event, place): each event's linked suppliers and, for every third event, their nations."""
-    link = graph.links(spark, sf_dir).select("event", "place").distinct()
+    """(event, place), a bag: each event's linked suppliers and, for every third event, their nations."""
+    link = graph.links(spark, sf_dir).select("event", "place")
     t = graph.places(spark, sf_dir)
     up = patterns.triple(t, "locatedIn", "place", "parent")
     third = terms.last_segment(F.col("event")).cast("long") % 3 == 0
-    return link.unionByName(link.where(third).join(up, "place").select("event", F.col("parent").alias("place"))).distinct(), up
+    return link.unionByName(link.where(third).join(up, "place").select("event", F.col("parent").alias("place"))), up
 
 
 PLACES = """WITH l AS (SELECT DISTINCT l_orderkey AS e, 'place/supplier/' || l_suppkey AS place, 'place/nation/' || s_nationkey AS parent FROM lineitem JOIN supplier ON s_suppkey = l_suppkey),
@@ -209,7 +209,8 @@ up AS (SELECT 'place/supplier/' || s_suppkey AS place, 'place/nation/' || s_nati
 @query(PLACES + " SELECT DISTINCT 'event/' || a.e AS event, a.place, b.place AS parent FROM ep a JOIN up USING (place) JOIN ep b ON b.e = a.e AND b.place = up.parent WHERE a.place <> b.place")
 def sibling_containment(spark, sf_dir):
     """A place is located in a parent that the same event links to."""
-    return enrich.contained_places(*_event_places(spark, sf_dir))
+    located, up = _event_places(spark, sf_dir)
+    return enrich.contained_places(located.distinct(), up)
 
 
 @query(PLACES + """ SELECT count(*) AS num FROM (SELECT e FROM ep WHERE NOT EXISTS (SELECT 1 FROM ep c JOIN up ON up.place = c.place WHERE c.e = ep.e AND up.parent = ep.place) GROUP BY e HAVING count(*) > 1)""")

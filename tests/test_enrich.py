@@ -55,3 +55,12 @@ def test_types_come_from_the_nearest_level(spark):
     assert rows(enrich.event_types(types, parents, topics)) == [("e1", ["X", "Y"]), ("e2", ["Z"])]
     located = make([("e1", "n"), ("e1", "c"), ("e2", "n")], "event string, place string")
     assert rows(enrich.contained_places(located, make([("n", "c"), ("n", "n")], "place string, parent string"))) == [("e1", "n", "c")]
+
+
+def test_leaf_places_take_one_pass_over_located(spark):
+    located = spark.createDataFrame([("e", "a"), ("e", "b"), ("e", "b"), ("f", "b"), ("f", None), ("g", "c"), ("g", "d"), ("h", "d")], "event string, place string")
+    parents = spark.createDataFrame([("a", "b"), ("b", "x"), ("c", "d"), ("c", "c"), ("d", "c")], "place string, parent string")
+    leaves = enrich.leaf_places(located.repartition(3), parents)
+    assert sorted((r.event, r.place or "") for r in leaves.collect()) == [("e", "a"), ("f", ""), ("f", "b"), ("h", "d")]
+    plan = leaves._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2 and plan.count("Join") == 1
