@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from eventweave.operators import patterns
 from eventweave.operators.closure import cut
 from eventweave.plans import graph
-from eventweave.plans.extracted import _shared
+from eventweave.plans.extracted import _name, _shared, by_predicate
 from eventweave.plans.graph import key, table
 from eventweave.plans.registry import query
 from eventweave.plans.sparql import deleted, sparql_by_graph, update
@@ -201,7 +201,7 @@ UNION ALL SELECT gone AND n % 2 = 0, 'link/' || k || '_' || n, unnest(['type', '
 @query(EVENTS + "SELECT DISTINCT s, p, o FROM t WHERE NOT gone AND o IS NOT NULL")
 def delete_text_events(spark, sf_dir):
     """Events with context, sentences and linked phrases; an event without raw text or sentence stays, and so does a phrase that links no article."""
-    store = cut(_event_store(spark, sf_dir).distinct())
+    store = by_predicate(spark, _event_store(spark, sf_dir).distinct(), _shared(spark, f"texts-{_name(sf_dir)}"))
     given = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(key("event", "o_orderkey").alias("u"))
     return update(store, DELETE_EVENT, given)
 
