@@ -208,6 +208,29 @@ def test_no_row_of_rendered_pages_holds_a_month(spark):
     assert pages.count() == 28 and portal.portal_events(pages).groupBy("month", "date").count().where("count = 2").count() == 28
 
 
+def test_no_row_of_rendered_pages_holds_a_day(spark, monkeypatch):
+    orders = spark.createDataFrame([(k, k % 8, "O", datetime.datetime(2022, 1, 1 + k % 2), "LOW" if k % 3 else "HIGH") for k in range(40)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string")
+    customer, nation = spark.createDataFrame([(c, 2) for c in range(8)], "c_custkey long, c_nationkey int"), spark.createDataFrame([(2, "N")], "n_nationkey int, n_name string")
+    seen = {}
+    for share in (3, 100):
+        monkeypatch.setattr(rendered, "SHARE", share)
+        pages = rendered.portal_pages(orders, customer, nation)
+        assert pages.agg(F.max(F.expr("(length(html) - length(replace(html, '<li>Order '))) / 10"))).first()[0] == min(share, 20)
+        parsed = portal.parse_pages(pages).cache()
+        kept = portal.one_a_row(parsed).cache()
+        seen[share] = [sorted(map(str, f(x).collect())) for x in (parsed, kept) for f in (portal.portal_events, portal.portal_topics)]
+        # numbers go on from part to part
+        assert [r.i for r in portal.portal_events(kept).groupBy("date").agg(F.array_sort(F.collect_list("event_index")).alias("i")).collect()] == [list(range(20))] * 2
+    assert seen[3] == seen[100] and seen[3][:2] == seen[3][2:]
+
+
+def test_kept_rows_have_one_event_and_errors_stay(spark):
+    html = '<div id="2022_January_1"><div class="description"><ul><li>A<ul><li>B</li><li>C</li></ul></li></ul></div></div>'
+    pages = spark.createDataFrame([("January_2022", "u", html), ("February_2022", "v", '<div id="2022_February_1"></div>')], "month string, url string, html string")
+    kept = portal.one_a_row(portal.parse_pages(pages))
+    assert sorted((r.month, r.error is None, r.event and r.event.text, r.topic and r.topic.text) for r in kept.collect()) == [("February_2022", False, None, None), ("January_2022", True, "B", "A"), ("January_2022", True, "C", None)]
+
+
 def test_article_page(spark):
     rows = articles.articles(fixtures.article_pages(spark)).collect()
     assert len(rows) == 1
