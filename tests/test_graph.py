@@ -309,3 +309,37 @@ def test_only_named_predicates_are_made_and_read(spark, tmp_path):
     assert set(stored.collect()) == set(every.select("s", "p", "o").collect()) and stored.columns == ["s", "p", "o"]
     scan = patterns.triple(stored, "hasTag", "s", "o")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(p" in scan and "hasTag" in scan
+
+
+def test_plain_pages_give_the_trees_of_the_standard_parser():
+    from eventweave.sources import dom
+
+    def shape(n):
+        return n if isinstance(n, str) else (n.tag, n.attrs, [shape(c) for c in n.children])
+
+    def both(html):
+        b = dom._Builder()
+        b.feed(html)
+        b.close()
+        return b.root, dom.parse_with_ids(html)[0]
+
+    rng, plain = random.Random(5), 0
+    bits = ["<ul>", "</ul>", "<li>", "<li>", "</li>", "</li>", '<li class="x y" id="i">', "<p>", "</p>", '<div id="i">', "</div>", "<br>", "<table>", "<tr>", "<td>", "</table>", '<a href="/w">', "</a>", '<a href="a" href="b">', "text", " > ", "&amp;", "it's", "'"]
+    odd = ["<!-- c -->", "<script>a<b</script>", "<LI>", "<a href=x>", '<a title="a&lt;b">', "a < b", "<br/>", "</p x>", "&", "<a", "<a title='x'>", "</br>"]
+    for i in range(3000):
+        html = "".join(rng.choice(bits + odd * (i % 3 == 0)) for _ in range(rng.randrange(1, 25)))
+        a, b = both(html)
+        plain += dom._plain(html) is not None
+        assert shape(a) == shape(b), html
+        # what an item keeps of the page is what it would be written as
+        assert [x.html() for x in a.walk() if x.tag == "li"] == [x.html() for x in b.walk() if x.tag == "li"], html
+    assert plain > 1800
+    # a rendered page is plain, and its items keep their piece of it
+    html = '<div id="2022_January_1"><div class="description"><ul><li>A <a class="external" href="u">b</a><ul><li>C</li></ul></li></ul></div></div>'
+    assert [x.kept for x in dom._plain(html)[0].find_all("li")] == ['<li>A <a class="external" href="u">b</a><ul><li>C</li></ul></li>', "<li>C</li>"]
+
+
+def test_a_source_inside_a_source_leaves_the_text_once():
+    html = '<div id="2022_January_1"><div class="description"><ul><li>Ab <a class="external" href="u">(X <a class="external" href="v">(Y)</a>)</a> cd. Ef<sup>1</sup>.</li></ul></div></div>'
+    event = portal.parse_page("January_2022", "u", html)[0][0]
+    assert event["text"] == "Ab  cd. Ef." and [x["text"] for x in event["sentences"]] == ["Ab  cd. ", "Ef."]
