@@ -169,3 +169,15 @@ def test_from_prunes_months(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan or "PartitionFilters: [month" in plan
     assert {p.rsplit("/", 2)[1] for p in store.scan("b", "d").inputFiles()} >= {"month=b", "month=d"}
+
+
+def test_packed_module_files_hold_the_same_and_take_less(spark, tmp_path):
+    facts = [("raw", "May_2020", f"a{i}", "p", f"<li>é {i} " + "x" * 200, "literal", "xsd:string", None) for i in range(200)]
+    graph = spark.createDataFrame(facts, SCHEMA)
+    size = {}
+    for packed in (False, True):
+        folder = f"file://{tmp_path}/{packed}"
+        modules.save(graph, folder, packed=packed)
+        assert rows(modules.load(spark, folder)) == sorted(facts, key=str) and modules.exists(spark, folder, "May_2020")
+        size[packed] = {r.module: r.bytes for r in modules.sizes(spark, folder).collect()}["raw"]
+    assert 5 * size[True] < size[False]
